@@ -13,6 +13,7 @@ from gleaner.vocabulary import RELATED_LIMIT, THRESHOLDS
 
 SIM_DIGITS = 6
 _SLACK = 1e-5
+MAX_PIVOTS = 1024
 
 
 def builds_on_refs(notes: DataFrame, column: str = "builds_on") -> DataFrame:
@@ -74,7 +75,7 @@ def _distinct_vectors(df: DataFrame, keep: int) -> tuple[DataFrame, DataFrame]:
 
 def related_to(
     queries: DataFrame, notes: DataFrame, k: int = RELATED_LIMIT, threshold: float = THRESHOLDS["edge_score"],
-    pivots: int = 64, block_rows: int = 4096,
+    pivots: int | None = None, block_rows: int = 4096,
 ) -> DataFrame:
     """The k most similar notes of the same profile with cosine >= threshold, exactly; not the query itself.
 
@@ -86,6 +87,8 @@ def related_to(
     keep = k + 1
     note_vecs, _ = _distinct_vectors(notes, keep)
     query_vecs, members = _distinct_vectors(queries, 1)
+    if pivots is None:
+        pivots = min(MAX_PIVOTS, note_vecs.count() // block_rows + 1)
     chosen = note_vecs.select("vkey", "vector").orderBy("vkey").limit(pivots).collect()
     empty = queries.select("profile", F.col("id").alias("source_id"), F.col("id").alias("target_id"),
                            F.lit(0.0).alias("score"), F.lit(0).alias("rank")).limit(0)
@@ -125,10 +128,13 @@ def related_to(
     query_side = visits.join(load, ["profile", "cell"]).select(
         "profile", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         F.pmod(F.xxhash64("qkey"), F.col("qblocks")).cast("int").alias("qblock"), "qkey", "qvector")
+    # the two sides of the cogroup come from the same tables: give the note side names of its own
+    note_group = [f"n_{g}" for g in group]
     note_side = placed.join(cells, ["profile", "cell"]).join(load, ["profile", "cell"]).select(
-        "profile", "cell", F.pmod(F.xxhash64("vkey"), F.col("blocks")).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1)).alias("qblock"), "vkey", "vector",
-        F.get("ids", F.lit(0)).alias("first_id"))
+        F.col("profile").alias("n_profile"), F.col("cell").alias("n_cell"),
+        F.pmod(F.xxhash64("vkey"), F.col("blocks")).cast("int").alias("n_block"),
+        F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1)).alias("n_qblock"), F.col("vkey").alias("vkey"),
+        F.col("vector").alias("vector"), F.get("ids", F.lit(0)).alias("first_id"))
     id_type = dict(notes.dtypes)["id"]
     profile_type = dict(notes.dtypes)["profile"]
 
@@ -148,7 +154,7 @@ def related_to(
             "vkey": n["vkey"].to_numpy()[cols][ok], "score": score[ok],
         })
 
-    found = query_side.groupBy(*group).cogroup(note_side.groupBy(*group)).applyInPandas(
+    found = query_side.groupBy(*group).cogroup(note_side.groupBy(*note_group)).applyInPandas(
         best_in_block, f"profile {profile_type}, qkey STRING, vkey STRING, score DOUBLE")
     ids = note_vecs.select("profile", "vkey", "ids")
     best = Window.partitionBy("profile", "qkey").orderBy(F.col("score").desc(), "first_id")
@@ -161,8 +167,8 @@ def related_to(
             "ids", lambda i: F.struct((-F.col("score")).alias("neg"), i.alias("id"))))).alias("cands"))
         .withColumn("cands", F.slice(F.array_sort("cands"), 1, keep))
     )
-    hits = members.join(top, (members.vkey == top.qkey) & (members.profile == top.profile)).select(
-        members.profile, F.col("id").alias("source_id"),
+    hits = members.withColumnRenamed("vkey", "qkey").join(top, ["profile", "qkey"]).select(
+        "profile", F.col("id").alias("source_id"),
         F.posexplode(F.slice(F.filter("cands", lambda c: c["id"] != F.col("id")), 1, k)).alias("pos", "c"))
     return hits.select(
         "profile", "source_id", F.col("c.id").cast(id_type).alias("target_id"), (-F.col("c.neg")).alias("score"),

@@ -15,12 +15,14 @@ from gleaner.operators.cascade import threshold
 from gleaner.operators.ordered import running
 from gleaner.operators.store import apply_rejection_guard
 from gleaner.schemas import REPAIR
+from gleaner.session import checkpoint_dir
 from gleaner.vocabulary import (
     ATTEMPT_CAP, COUNTED_FAILURE_STAGES, FULL_TEXT, REPAIR_LIMIT, TAGS, TEXT_ABSTRACT, TEXT_HTML, TEXT_PDF,
     TagVocabulary,
 )
 
-Hook = Callable[[DataFrame], DataFrame]
+#: what a stage does: a function of the selected rows giving one outcome row per note_id, or outcome columns
+Hook = Callable[[DataFrame], DataFrame] | dict[str, Column]
 
 
 def classify_failure(failure_stage: Column) -> Column:
@@ -87,7 +89,7 @@ def record_counted_failure(
 ) -> tuple[Column, Column]:
     """(counters, tags) after a counted failure of one stage; the terminal tag is added on reaching the cap."""
     attempts, last, message = repair_keys(stage)
-    base = F.coalesce(repair, F.from_json(F.lit("{}"), REPAIR.removeprefix("STRUCT<").removesuffix(">")))
+    base = F.coalesce(repair, F.from_json(F.lit("{}"), REPAIR))
     bumped = F.coalesce(base[attempts], F.lit(0)) + 1
     new = (
         base.withField(attempts, bumped).withField(last, F.coalesce(failure_stage, F.lit("")))
@@ -122,10 +124,18 @@ def archive_retry_args(notes: DataFrame) -> DataFrame:
     )
 
 
-def _outcomes(todo: DataFrame, hook: Hook | None, fields: str) -> DataFrame | None:
-    if hook is None:
-        return None
-    return hook(todo).selectExpr("note_id", *[f"{f} AS _{f}" for f in fields.split()])
+def _with_outcomes(df: DataFrame, selected: Column, hook: Hook, fields: str) -> DataFrame:
+    """Add the stage's outcome columns, null where the stage did not run.
+
+    Column outcomes are computed in place.  The rows of a function are checkpointed: it may call a model, so it runs
+    once, and the following stages build on what it gave.  They are few, since a sweep visits a capped queue.
+    """
+    names = fields.split()
+    if isinstance(hook, dict):
+        return df.withColumns({f"_{f}": F.when(selected, hook[f]) for f in names})
+    checkpoint_dir(df.sparkSession)
+    rows = hook(df.where(selected)).selectExpr("note_id", *[f"{f} AS _{f}" for f in names]).checkpoint()
+    return df.join(rows, "note_id", "left")
 
 
 def repair_sweep(
@@ -135,7 +145,8 @@ def repair_sweep(
 ) -> DataFrame:
     """One pass over queued notes, stages in order; a failed stage leaves the row as it was.
 
-    A hook gets the rows its stage selected and returns one outcome row per note_id:
+    A hook, as a function, gets the rows its stage selected and returns one outcome row per note_id; as columns it
+    gives the same outcomes by name:
     archive_download (path, failure_stage, error), text_extraction (text_tag), re_extract (outcome, text_tag),
     tier2_enrich (full_text, failure_stage, error), tier3_extract (tier3, failure_stage, error).
     Every visited note gets a new version, unless it is still too large without its deep sections.
@@ -149,8 +160,7 @@ def repair_sweep(
     df = df.withColumn("_archived", F.lit(False))
 
     def join(todo: Column, hook: Hook | None, fields: str) -> DataFrame | None:
-        rows = _outcomes(df.where(todo), hook, fields)
-        return None if rows is None else df.join(rows, "note_id", "left")
+        return None if hook is None else _with_outcomes(df, todo, hook, fields)
 
     def count_failure(frame: DataFrame, stage: str) -> DataFrame:
         failed = F.coalesce(classify_failure(F.col("_failure_stage")) == "counted", F.lit(False))

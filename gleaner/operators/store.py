@@ -206,7 +206,8 @@ def resolve_collisions(incoming: DataFrame, existing: DataFrame, id_column: str
         "source_url", F.lit("written").alias("body"),
     )
     stored = existing.select(F.col("note_id").cast("string").alias("note_id"), "slug", "tags", "source_url", "body")
-    second = _claim(again, stored.unionByName(written), id_column)
+    reclaimed = settled.select(F.col("reclaimed_id").cast("string").alias("note_id")).where("note_id IS NOT NULL")
+    second = _claim(again, stored.join(reclaimed, "note_id", "left_anti").unionByName(written), id_column)
     unresolved = F.col("outcome") == "collision"
     keep = [c for c in incoming.columns if c != "title"]
     done = settled.select(*keep, "title", "slug", F.col("outcome").alias("status"),
