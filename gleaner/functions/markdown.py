@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.tags import no_tags
@@ -120,50 +120,46 @@ def render_note(
 
 # ---- reading ------------------------------------------------------------------------------------------------------
 
-_FENCED = r"(?s)\A---[^\n]*\n(?:(.*?)\r?\n)??---[ \t]*(?:\r?\n|\z)(.*)\z"
+_CLOSING_FENCE = r"\r?\n---[ \t]*(?=\r?\n|\z)"
+_TITLE_LINE = r"(?m)^[ \t]*# [^\n]*(?:\n|\z)"
+_BEFORE_USER_NOTES = r"\n(?=## User Notes[ \t]*(?:\r?\n|\z))"
 
 
-def front_matter(note: Column) -> Column:
-    return F.regexp_extract(note, _FENCED, 1)
+def split_note(files: DataFrame, text: str = "text") -> DataFrame:
+    """Add `front`, `title`, `sections`, `user_notes` and `note_error` to rows of note texts.
 
-
-def after_front_matter(note: Column) -> Column:
-    return F.regexp_extract(note, _FENCED, 2)
-
-
-_TITLE = r"(?s)\A(?:(?![ \t]*#[ ])[^\n]*\n)*[ \t]*# ([^\n]*)(?:\n(.*))?\z"
-
-
-def note_title(note: Column) -> Column:
-    return F.rtrim(F.regexp_replace(F.regexp_extract(after_front_matter(note), _TITLE, 1), r"\r", ""))
-
-
-def note_body(note: Column) -> Column:
-    return F.regexp_extract(after_front_matter(note), _TITLE, 2)
-
-
-_USER_NOTES = r"(?m)^## User Notes[ \t]*(?=\r?\n|\z)"
-
-
-def user_notes(note: Column) -> Column:
-    """Everything from the User Notes heading to the end, byte for byte; null without the heading."""
-    found = F.regexp_extract(note_body(note), r"(?s)(?:\A|(?<=\n))(## User Notes[ \t]*(?:\r?\n.*|\z))", 1)
-    return F.when(found != "", found)
+    The text is cut once at each boundary - closing fence, title line, user notes - and the pieces are columns, so no
+    pattern runs over the whole text more often than that.  User notes stay byte for byte.
+    """
+    fenced = files.withColumn("_f", F.split(F.col(text), _CLOSING_FENCE, 2)).withColumn(
+        "_rest", F.regexp_replace(F.get("_f", F.lit(1)), r"\A\r?\n", ""))
+    titled = (
+        fenced.withColumn("_t", F.split("_rest", _TITLE_LINE, 2))
+        .withColumn("_line", F.substring("_rest", F.length(F.get("_t", F.lit(0))) + 1,
+                                         F.length("_rest") - F.length(F.get("_t", F.lit(0))) - F.length(F.get("_t", F.lit(1)))))
+        .withColumn("_b", F.split(F.concat(F.lit("\n"), F.get("_t", F.lit(1))), _BEFORE_USER_NOTES, 2))
+    )
+    no_fence = ~F.col(text).startswith("---") | (F.size("_f") < 2)
+    return titled.select(
+        *files.columns,
+        F.regexp_replace(F.get("_f", F.lit(0)), r"\A---[^\n]*\n?", "").alias("front"),
+        F.regexp_replace("_line", r"\A[ \t]*# |\s+\z", "").alias("title"),
+        _sections(F.get("_b", F.lit(0))).alias("sections"),
+        F.get("_b", F.lit(1)).alias("user_notes"),
+        F.when(no_fence, "no_front_matter").when(F.size("_t") < 2, "no_title").alias("note_error"),
+    )
 
 
-def sections(note: Column) -> Column:
-    """`heading -> body` of all sections before the user notes; the last of two equal headings wins."""
-    body = note_body(note)
-    kept = F.get(F.split(F.concat(F.lit("\n"), body), r"\n(?=## User Notes[ \t]*(?:\r?\n|\z))", 2), F.lit(0))
-    parts = F.filter(F.split(kept, r"\n(?=## )"), lambda p: p.startswith("## "))
-    pairs = F.transform(
+def _sections(body: Column) -> Column:
+    """Array of (heading, body) in document order."""
+    parts = F.filter(F.split(body, r"\n(?=## )"), lambda p: p.startswith("## "))
+    return F.transform(
         parts,
         lambda p: F.struct(
             F.rtrim(F.regexp_extract(p, r"\A## ([^\r\n]*)", 1)).alias("heading"),
             F.regexp_replace(F.regexp_extract(p, r"(?s)\A[^\n]*\n(.*)\z", 1), r"[\r\n]+\z", "").alias("body"),
         ),
     )
-    return pairs
 
 
 def section_body(parts: Column, heading: str) -> Column:
@@ -171,23 +167,14 @@ def section_body(parts: Column, heading: str) -> Column:
     return F.get(F.filter(parts, lambda p: p["heading"] == heading), F.lit(0))["body"]
 
 
-def note_error(note: Column) -> Column:
-    """Why a text is not a note; null when it is one."""
-    return F.when(~note.rlike(_FENCED), "no_front_matter").when(
-        ~after_front_matter(note).rlike(_TITLE), "no_title"
-    )
+def header_value(front: Column, key: str) -> Column:
+    return F.nullif(F.trim(F.regexp_extract(front, rf"(?m)^{key}:[ \t]*([^\r\n]*)", 1)), F.lit(""))
 
 
-def header_value(note: Column, key: str) -> Column:
-    return F.nullif(F.trim(F.regexp_extract(front_matter(note), rf"(?m)^{key}:[ \t]*([^\r\n]*)", 1)), F.lit(""))
-
-
-def header_tags(note: Column) -> Column:
-    block = F.regexp_extract(front_matter(note), r"(?m)^tags:[ \t]*\r?\n((?:[ \t]+- [^\n]*(?:\n|\z))*)", 1)
-    lines = F.split(F.regexp_replace(block, r"\r", ""), "\n")
-    return F.transform(
-        F.filter(lines, lambda t: t.rlike(r"^[ \t]+- ")), lambda t: F.trim(F.regexp_replace(t, r"^[ \t]+- ", ""))
-    )
+def header_tags(front: Column) -> Column:
+    """The list items of the header: its only list is the tags."""
+    items = F.filter(F.split(front, r"\r?\n"), lambda t: t.rlike(r"^[ \t]+- "))
+    return F.transform(items, lambda t: F.trim(F.regexp_replace(t, r"^[ \t]+- ", "")))
 
 
 def stored_archive_path(archive_body: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,39 +27,46 @@ def parse_scores(content: Column) -> Column:
     return F.from_json(content, SCORE_RESPONSE)["results"]
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def parse_tier1(content: Column) -> Column:
     """Structured summary, null unless it has one to six contributions and all three texts."""
-    v = F.from_json(content, TIER1_DDL)
-    ok = (
-        F.size(v["contributions"]).between(1, 6)
-        & F.forall(v["contributions"], lambda c: c.isNotNull())
-        & v["method"].isNotNull() & v["result"].isNotNull() & v["relevance"].isNotNull()
-    )
-    return F.when(F.coalesce(ok, F.lit(False)), v)
+    def check(v: Column) -> Column:
+        ok = (
+            F.size(v["contributions"]).between(1, 6)
+            & F.forall(v["contributions"], lambda c: c.isNotNull())
+            & v["method"].isNotNull() & v["result"].isNotNull() & v["relevance"].isNotNull()
+        )
+        return F.when(F.coalesce(ok, F.lit(False)), v)
+
+    return _let(F.from_json(content, TIER1_DDL), check)
 
 
 def trim_cut(values: Column, limit: int = ELEMENT_CHARS) -> Column:
     return F.transform(values, lambda v: F.substring(strip(v), 1, limit))
 
 
-def _all_strings(content: Column, key: str) -> Column:
-    """No element of the list is a number, object or null: such elements parse differently as JSON and as text."""
-    raw = F.from_json(F.get_json_object(content, f"$.{key}"), "array<variant>")
-    return F.coalesce(F.forall(raw, lambda v: F.schema_of_variant(v) == "STRING"), F.lit(True))
-
-
 def parse_tier3(content: Column) -> Column:
     """Deep extraction: 1..10 claims, other lists 0..10, each element a non-empty string of at most 500 characters."""
-    v = F.from_json(content, ", ".join(f"{k} ARRAY<STRING>" for k in _LISTS))
-    empty = F.array().cast("array<string>")
-    lists = {k: trim_cut(F.coalesce(v[k], empty)) for k in _LISTS}
-    ok = F.size(lists["claims"]) >= 1
-    for key, values in lists.items():
-        ok = ok & (F.size(values) <= 10) & F.forall(values, lambda x: F.coalesce(F.length(x) > 0, F.lit(False)))
-        ok = ok & _all_strings(content, key)
-    return F.when(
-        F.coalesce(ok, F.lit(False)) & v.isNotNull(), F.struct(*[values.alias(k) for k, values in lists.items()])
-    )
+    def text(x: Column) -> Column:
+        # a number, object or null where a string belongs makes the whole answer invalid
+        return F.when(F.schema_of_variant(x) == "STRING", F.substring(strip(F.try_variant_get(x, "$", "string")), 1, ELEMENT_CHARS))
+
+    def texts(v: Column) -> Column:
+        return F.struct(*[
+            F.transform(F.coalesce(v[k], F.array().cast("array<variant>")), text).alias(k) for k in _LISTS])
+
+    def check(v: Column) -> Column:
+        ok = F.size(v["claims"]) >= 1
+        for k in _LISTS:
+            ok = ok & (F.size(v[k]) <= 10) & F.forall(v[k], lambda x: F.coalesce(F.length(x) > 0, F.lit(False)))
+        return F.when(F.coalesce(ok, F.lit(False)), v)
+
+    parsed = F.from_json(content, ", ".join(f"{k} ARRAY<VARIANT>" for k in _LISTS))
+    return _let(_let(parsed, texts), check)
 
 
 def json_text(obj: Column, key: str) -> Column:
@@ -69,10 +76,13 @@ def json_text(obj: Column, key: str) -> Column:
         F.schema_of_variant(value) == "STRING", F.nullif(F.try_variant_get(obj, f"$.{key}", "string"), F.lit("")))
 
 
+def _first_text(obj: Column, keys: Sequence[str]) -> Column:
+    return F.coalesce(*[json_text(obj, k) for k in keys], F.lit(""))
+
+
 def first_non_empty(body: Column, keys: Sequence[str] = MESSAGE_KEYS) -> Column:
     """First non-empty string among the keys of a JSON object; empty without one."""
-    obj = F.try_parse_json(body)
-    return F.coalesce(*[json_text(obj, k) for k in keys], F.lit(""))
+    return _let(F.try_parse_json(body), lambda obj: _first_text(obj, keys))
 
 
 #: fixed values: outcomes of a store write
@@ -84,29 +94,33 @@ def write_outcome(envelope: Column) -> Column:
 
     The detail depends on the status; an answer with an unknown status and no message keeps an excerpt of its body.
     """
-    obj = F.try_parse_json(envelope)
-
-    def text(key: str) -> Column:
-        return json_text(obj, key)
-
-    status = F.coalesce(text("status"), F.lit(""))
-    note_id = F.coalesce(text("note_id"), F.lit(""))
-    message = first_non_empty(envelope)
-    silent = status.isin(*WRITE_OK, "duplicate", "content_too_large")
-    detail = (
-        F.when(silent, "")
-        .when(status == "invalid_input", F.coalesce(text("reason"), F.lit("unknown")))
-        .when(status == "slug_collision", F.concat_ws(
-            "; ", F.concat(F.lit("existing_id="), text("existing_id")), text("message")))
-        .when(status == "version_conflict", note_id)
-        .otherwise(message)
-    )
-    known = silent | status.isin("invalid_input", "slug_collision", "version_conflict")
-    return F.struct(
-        status.alias("status"), detail.alias("detail"),
-        F.when(status.isin(*WRITE_OK) | ~known, note_id).otherwise("").alias("note_id"),
-        F.when(~known & (message == ""), F.substring(envelope, 1, BODY_EXCERPT)).otherwise("").alias("excerpt"),
-    )
+    def fields(obj: Column) -> Column:
+        return F.struct(
+            *[F.coalesce(json_text(obj, k), F.lit("")).alias(k)
+              for k in ("status", "note_id", "reason", "existing_id", "message")],
+            _first_text(obj, MESSAGE_KEYS).alias("said"),
+        )
+
+    def outcome(v: Column) -> Column:
+        status = v["status"]
+        silent = status.isin(*WRITE_OK, "duplicate", "content_too_large")
+        known = silent | status.isin("invalid_input", "slug_collision", "version_conflict")
+        some = lambda c: F.nullif(c, F.lit(""))
+        detail = (
+            F.when(silent, "")
+            .when(status == "invalid_input", F.coalesce(some(v["reason"]), F.lit("unknown")))
+            .when(status == "slug_collision", F.concat_ws(
+                "; ", F.concat(F.lit("existing_id="), some(v["existing_id"])), some(v["message"])))
+            .when(status == "version_conflict", v["note_id"])
+            .otherwise(v["said"])
+        )
+        return F.struct(
+            status.alias("status"), detail.alias("detail"),
+            F.when(status.isin(*WRITE_OK) | ~known, v["note_id"]).otherwise("").alias("note_id"),
+            F.when(~known & (v["said"] == ""), F.substring(envelope, 1, BODY_EXCERPT)).otherwise("").alias("excerpt"),
+        )
+
+    return _let(_let(F.try_parse_json(envelope), fields), outcome)
 
 
 # ---- notifications ------------------------------------------------------------------------------------------------

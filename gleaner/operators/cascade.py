@@ -81,8 +81,7 @@ def main_text(html: Column) -> Column:
     """
     page = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
     page = strip_tags(page)
-    for tag in _FURNITURE:
-        page = F.regexp_replace(page, rf"(?is)<{tag}\b[^>]*>.*?</{tag}>", "")
+    page = F.regexp_replace(page, rf"(?is)<({'|'.join(_FURNITURE)})\b[^>]*>.*?</\1>", "")
     body = F.coalesce(
         *[F.nullif(F.regexp_extract(page, rf"(?is)<{t}\b[^>]*>(.*)</{t}>", 1), F.lit("")) for t in
           ("article", "main", "body")],

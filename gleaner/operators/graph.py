@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gleaner.functions.urls import arxiv_canonical_url, arxiv_ref
+from gleaner.session import checkpoint_dir
 from gleaner.vocabulary import RELATED_LIMIT, THRESHOLDS
 
 SIM_DIGITS = 6
@@ -85,8 +86,12 @@ def related_to(
     digits) are ordered by id.
     """
     keep = k + 1
-    note_vecs, _ = _distinct_vectors(notes, keep)
-    query_vecs, members = _distinct_vectors(queries, 1)
+    checkpoint_dir(notes.sparkSession)
+    note_vecs, members = _distinct_vectors(notes, keep)
+    note_vecs = note_vecs.checkpoint()  # read by every step below
+    query_vecs = note_vecs
+    if queries is not notes:
+        query_vecs, members = _distinct_vectors(queries, 1)
     if pivots is None:
         pivots = min(MAX_PIVOTS, note_vecs.count() // block_rows + 1)
     chosen = note_vecs.select("vkey", "vector").orderBy("vkey").limit(pivots).collect()

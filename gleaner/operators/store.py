@@ -10,6 +10,7 @@ from gleaner.functions.tags import (
 )
 from gleaner.functions.text import collision_detail, slug_suffix_title, slugify, squatter_reason
 from gleaner.functions.urls import arxiv_id_from_url, normalise_url
+from gleaner.session import checkpoint_dir
 from gleaner.vocabulary import TAGS, TagVocabulary
 
 
@@ -184,37 +185,39 @@ def _claim(rows: DataFrame, existing: DataFrame, id_column: str) -> DataFrame:
 
 
 def resolve_collisions(incoming: DataFrame, existing: DataFrame, id_column: str = "item_id") -> DataFrame:
-    """Write status of every incoming row.
+    """Write status of every incoming row: (id, source_url, title, slug, status, reclaimed_id, detail).
 
     Round one tries the plain title; rows that meet a distinct note try again with a suffix from their url, once.
     What still collides is `slug_collision` with both squatters in `detail`.  Within the batch rows are taken in the
-    order of `id_column`, as if written one at a time.
+    order of `id_column`, as if written one at a time.  Round one is checkpointed because round two builds on its
+    outcome three times; only the columns that decide are carried.
     """
-    first = _claim(incoming.withColumn("slug", slugify(F.col("title"))), existing, id_column)
+    checkpoint_dir(incoming.sparkSession)
+    asked = incoming.select(id_column, "title", "source_url").withColumn("slug", slugify(F.col("title")))
+    first = _claim(asked, existing, id_column).checkpoint()
     settled = first.where(F.col("outcome") != "collision")
+    suffixed = slug_suffix_title(F.col("title"), F.col("source_url"))
     again = first.where(F.col("outcome") == "collision").select(
-        *[c for c in first.columns if c not in ("outcome", "reclaimed_id", "blocked_by", "title", "slug")],
-        F.col("title").alias("first_title"), F.col("blocked_by").alias("first_blocked_by"),
-        slug_suffix_title(F.col("title"), F.col("source_url")).alias("title"),
-        slugify(slug_suffix_title(F.col("title"), F.col("source_url"))).alias("slug"),
+        id_column, "source_url", F.col("title").alias("first_title"), F.col("blocked_by").alias("first_blocked_by"),
+        suffixed.alias("title"), slugify(suffixed).alias("slug"),
     )
+    arxiv = arxiv_id_from_url(F.col("source_url"))
     written = settled.where(F.col("outcome") == "created").select(
         F.col(id_column).cast("string").alias("note_id"), "slug",
-        F.when(arxiv_id_from_url(F.col("source_url")).isNotNull(),
-               F.array(F.concat(F.lit("arxiv-id:"), arxiv_id_from_url(F.col("source_url")))))
+        F.when(arxiv.isNotNull(), F.array(F.concat(F.lit("arxiv-id:"), arxiv)))
         .otherwise(F.array(F.lit("written"))).alias("tags"),
         "source_url", F.lit("written").alias("body"),
     )
-    stored = existing.select(F.col("note_id").cast("string").alias("note_id"), "slug", "tags", "source_url", "body")
+    # a reclaimed note is gone by now
     reclaimed = settled.select(F.col("reclaimed_id").cast("string").alias("note_id")).where("note_id IS NOT NULL")
+    stored = existing.select(F.col("note_id").cast("string").alias("note_id"), "slug", "tags", "source_url", "body")
     second = _claim(again, stored.join(reclaimed, "note_id", "left_anti").unionByName(written), id_column)
     unresolved = F.col("outcome") == "collision"
-    keep = [c for c in incoming.columns if c != "title"]
-    done = settled.select(*keep, "title", "slug", F.col("outcome").alias("status"),
+    head = [id_column, "source_url", "title", "slug"]
+    done = settled.select(*head, F.col("outcome").alias("status"),
                           F.col("reclaimed_id").cast("string").alias("reclaimed_id"), F.lit("").alias("detail"))
     retried = second.select(
-        *keep, "title", "slug",
-        F.when(unresolved, "slug_collision").otherwise(F.col("outcome")).alias("status"), "reclaimed_id",
+        *head, F.when(unresolved, "slug_collision").otherwise(F.col("outcome")).alias("status"), "reclaimed_id",
         F.when(unresolved, collision_detail(
             F.col("first_blocked_by"), F.col("first_title"), F.col("blocked_by"), F.col("title"), F.lit("")))
         .otherwise("").alias("detail"),
@@ -259,9 +262,10 @@ def upsert_notes(existing: DataFrame, incoming: DataFrame, key: str = "source_ur
     good = combine_incoming(incoming.where(valid).withColumn(key, url), key)
     old = existing.withColumn(key, F.when(F.coalesce(F.col(key), F.lit("")) != "", url))
     fresh = good.join(old.select(key), key, "left_anti")
-    resolved = resolve_collisions(
-        fresh, old.select("note_id", "slug", "tags", F.col(key).alias("source_url"),
+    statuses = resolve_collisions(
+        fresh.withColumn("source_url", F.col(key)), old.select("note_id", "slug", "tags", F.col(key).alias("source_url"),
                           F.coalesce("user_notes", F.lit("")).alias("body")))
+    resolved = fresh.drop("title").join(statuses.drop("source_url"), "item_id")
     creates = resolved.where(F.col("status") == "created")
     known = good.join(old.select(key), key, "left_semi")
     writes = known.unionByName(creates.select(*known.columns)).withColumn("confidence", F.lit(0.0)).withColumn(

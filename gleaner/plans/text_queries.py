@@ -265,7 +265,7 @@ def parse_responses(t: Tables) -> DataFrame:
         F.to_json(F.struct(F.array(result).alias("results"))))
     chat = F.when(F.col("event_id") % 7 == 0, F.lit('{"choices": []}')).otherwise(
         F.to_json(F.struct(F.array(F.struct(F.struct(content.alias("content")).alias("message"))).alias("choices"))))
-    copies = F.transform(F.sequence(F.lit(1), F.greatest("k", F.lit(1))), lambda i: F.concat(F.lit("  claim "), F.col("event_type")))
+    copies = F.transform(F.sequence(F.lit(1), F.least(F.greatest("k", F.lit(1)), F.lit(12))), lambda i: F.concat(F.lit("  claim "), F.col("event_type")))
     copies = F.when(F.col("k") >= 1, copies).otherwise(F.array().cast("array<string>"))
     tier1 = F.to_json(F.struct(
         copies.alias("contributions"), F.lit("m").alias("method"), F.lit("r").alias("result"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,18 +68,16 @@ def read_notes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 def parse_notes(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(notes, errors) from rows of (file, text)."""
-    note = F.col("text")
-    checked = files.withColumn("error", md.note_error(note))
-    parts = checked.where(F.col("error").isNull()).withColumn("_s", md.sections(note))
+    checked = md.split_note(files.select("file", "text"))
 
-    def body(heading: str):
-        return md.section_body(F.col("_s"), heading)
+    def body(heading: str) -> Column:
+        return md.section_body(F.col("sections"), heading)
 
     archive = md.stored_archive_path(body("Archive"))
     summary = body("Summary")
     structured = summary.startswith("### Contributions")
 
-    def sub(heading: str):
+    def sub(heading: str) -> Column:
         return F.regexp_extract(summary, rf"(?s)(?:\A|\n)### {heading}\r?\n(.*?)(?:\n\n### |\z)", 1)
 
     tier1 = F.when(structured, F.struct(
@@ -91,22 +89,23 @@ def parse_notes(files: DataFrame) -> tuple[DataFrame, DataFrame]:
         md.parse_bullets(body("Builds On")).alias("builds_on"),
         md.parse_bullets(body("Open Questions")).alias("open_questions"),
         F.array().cast("array<string>").alias("potential_connections")))
-    title = md.note_title(note)
-    notes = parts.select(
-        "file", title.alias("title"), slugify(title).alias("slug"),
-        md.header_value(note, "source_url").alias("source_url"), md.header_tags(note).alias("tags"),
-        md.header_value(note, "confidence").try_cast("double").alias("confidence"),
-        archive["path"].alias("archive_path"), archive["error"].alias("archive_error"),
+    front = F.col("front")
+    fields = F.struct(
+        F.col("title"), slugify(F.col("title")).alias("slug"),
+        md.header_value(front, "source_url").alias("source_url"), md.header_tags(front).alias("tags"),
+        md.header_value(front, "confidence").try_cast("double").alias("confidence"),
+        archive["path"].alias("archive_path"),
         F.when(~structured, summary).alias("summary"), body("Full Text").alias("full_text"),
         tier1.cast(TIER1).alias("tier1"), tier3.cast(TIER3).alias("tier3"),
         F.coalesce(md.parse_relevance(body("Profile Relevance")),
                    F.array().cast("array<struct<profile:string,score:int,reason:string>>")).alias("relevance"),
         F.when(body("Repair").isNotNull(), md.parse_repair(body("Repair"))).alias("repair"),
-        md.user_notes(note).alias("user_notes"),
+        F.col("user_notes"),
     )
-    errors = checked.where(F.col("error").isNotNull()).select("file", "error").unionByName(
-        notes.where(F.col("archive_error").isNotNull()).select("file", F.col("archive_error").alias("error")))
-    return notes.where(F.col("archive_error").isNull()).drop("archive_error"), errors
+    judged = checked.withColumn("error", F.coalesce("note_error", archive["error"]))
+    # a filter would be pushed below the parsing and repeat it; generating zero or one row is not
+    notes = judged.select("file", F.inline(F.when(F.col("error").isNull(), F.array(fields))))
+    return notes, judged.where(F.col("error").isNotNull()).select("file", "error")
 
 
 _ARCHIVE = r"([^/]+)/([0-9]{4})/([0-9]{2})/([^/]+?)(\.[A-Za-z0-9]+)?$"

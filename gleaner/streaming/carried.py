@@ -1,0 +1,139 @@
+"""Stateful ledger operators as micro-batches with a small carried table.
+
+What a later batch must know of the past is little: the last rows of each profile, a count per note and stage.  It
+is kept as one table per batch id next to the output, so a batch that runs twice reads the same state and overwrites
+its own output.  Inside a batch the work is the batch operator itself, which splits hot keys.
+No batch may hold rows older than those of the batch before it; rows within a batch may come in any order.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.window import Window
+
+from gleaner.operators.ledger import cadence, stall_flags
+from gleaner.operators.ordered import streaks
+from gleaner.operators.repair import attempts_and_cap, classify_failure
+from gleaner.operators.reports import rejection_rates
+from gleaner.vocabulary import ATTEMPT_CAP, LEDGER_WINDOW
+
+Step = Callable[[DataFrame, int], None]
+
+
+class Carried:
+    """Folders of one carried operator: state and output, by batch id."""
+
+    def __init__(self, root: str):
+        self.root = root.rstrip("/")
+
+    def load(self, name: str, like: DataFrame, batch_id: int) -> DataFrame:
+        """State the batch before left under this name; none for the first batch."""
+        if batch_id == 0:
+            return like.limit(0)
+        return like.sparkSession.read.schema(like.schema).parquet(f"{self.root}/{name}/batch={batch_id - 1}")
+
+    def save(self, name: str, df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch_id}")
+
+    def emit(self, df: DataFrame, batch_id: int) -> DataFrame:
+        """Write the batch's output and give it back as written, so nothing is computed twice."""
+        path = f"{self.root}/out/batch={batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def results(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.root}/out").drop("batch")
+
+
+def run(stream: DataFrame, step: Step, checkpoint: str) -> DataStreamWriter:
+    """Writer that feeds each micro-batch, read once, to the step."""
+    def once(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            step(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return stream.writeStream.foreachBatch(once).option("checkpointLocation", checkpoint)
+
+
+def newest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    return df.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= n).drop("_rn")
+
+
+def stall_step(store: Carried) -> Step:
+    """Stall flags of each new run; the last 20 rows of every profile are carried."""
+    def step(batch: DataFrame, batch_id: int) -> None:
+        before = store.load("tail", batch, batch_id)
+        both = before.withColumn("_new", F.lit(False)).unionByName(batch.withColumn("_new", F.lit(True)))
+        store.emit(stall_flags(both).where("_new").drop("_new"), batch_id)
+        tail = newest_rows(both.drop("_new"), ["profile"], ["completed_at", "run_id"], LEDGER_WINDOW)
+        store.save("tail", tail, batch_id)
+
+    return step
+
+
+def circuit_step(store: Carried, threshold: int = 3) -> Step:
+    """Breaker state after each probe; the open streak of every target is carried."""
+    def step(batch: DataFrame, batch_id: int) -> None:
+        carry = store.load("streak", batch.select("target", F.lit(0).cast("bigint").alias("carry")), batch_id)
+        bad = F.col("status") == "degraded"
+        here = F.struct("ts", "probe_id")
+        rows = streaks(batch, ["target"], [F.col("ts"), F.col("probe_id")], bad, F.col("ts"), "_local")
+        # the carried streak only goes on before the target's first good probe of the batch
+        first_ok = batch.where(~bad).groupBy("target").agg(F.min(here).alias("_ok"))
+        goes_on = (F.col("_local") > 0) & (F.col("_ok").isNull() | (here < F.col("_ok")))
+        total = F.col("_local") + F.when(goes_on, F.coalesce("carry", F.lit(0))).otherwise(0)
+        out = store.emit(
+            rows.join(first_ok, "target", "left").join(carry, "target", "left").select(
+                *batch.columns, total.alias("bad_streak"), (total >= threshold).alias("circuit_open")), batch_id)
+        ends = out.groupBy("target").agg(F.max_by("bad_streak", here).alias("carry"))
+        store.save("streak", ends.unionByName(carry.join(ends.select("target"), "target", "left_anti")), batch_id)
+
+    return step
+
+
+def attempt_step(store: Carried, cap: int = ATTEMPT_CAP) -> Step:
+    """Running counted failures; one number per note and stage is carried, so a flip appears once."""
+    def step(batch: DataFrame, batch_id: int) -> None:
+        keys = ["note_id", "stage"]
+        carry = store.load("count", batch.select(*keys, F.lit(0).cast("bigint").alias("carry")), batch_id)
+        total = F.col("n_counted") + F.coalesce("carry", F.lit(0))
+        counted = classify_failure(F.col("failure_stage")) == "counted"
+        out = store.emit(
+            attempts_and_cap(batch, cap).join(carry, keys, "left").select(
+                *batch.columns, total.alias("n_counted"), (total >= cap).alias("terminal"),
+                F.coalesce(counted & (total == cap), F.lit(False)).alias("flips")), batch_id)
+        ends = out.groupBy(*keys).agg(F.max("n_counted").alias("carry"))
+        store.save("count", ends.unionByName(carry.join(ends.select(*keys), keys, "left_anti")), batch_id)
+
+    return step
+
+
+def cadence_step(store: Carried, n: int, tags: Column, rejected: Column) -> Step:
+    """Rejection rates at every n-th completed run.
+
+    Carried are the runs of the open window (fewer than n per profile) and the number of windows closed so far.
+    """
+    def step(batch: DataFrame, batch_id: int) -> None:
+        done = batch.where(F.col("status") == "completed").withColumn("_tags", tags).withColumn("_rejected", rejected)
+        waiting = store.load("open", done, batch_id)
+        closed_before = store.load("closed", done.select("profile", F.lit(0).cast("bigint").alias("n_closed")), batch_id)
+        numbered = cadence(waiting.unionByName(done), n).join(closed_before, "profile", "left").withColumn(
+            "window_id", F.col("window_id") + F.coalesce("n_closed", F.lit(0)))
+        closed = numbered.where("emits").select("profile", "window_id")
+        items = numbered.join(closed, ["profile", "window_id"], "left_semi").select(
+            "profile", "window_id", F.col("_rejected").alias("rejected"), F.col("_tags").alias("tags"))
+        store.emit(rejection_rates(items, ["profile", "window_id"]), batch_id)
+        rest = numbered.join(closed, ["profile", "window_id"], "left_anti").select(*done.columns)
+        store.save("open", rest, batch_id)
+        ends = closed.groupBy("profile").agg((F.max("window_id") + 1).alias("n_closed"))
+        kept = closed_before.join(ends.select("profile"), "profile", "left_anti")
+        store.save("closed", ends.unionByName(kept), batch_id)
+
+    return step
