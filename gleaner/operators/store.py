@@ -102,7 +102,10 @@ def merge_notes(existing: DataFrame, incoming: DataFrame, key: str = "source_url
     """Full outer merge: tags by the tag rule, relevance united, user notes always the existing ones.
 
     Both sides have one row per key and the columns key, title, tags, relevance, confidence, user_notes, version.
+    Content columns that both have are taken from the incoming row where there is one.
     """
+    merged = (key, "title", "tags", "relevance", "confidence", "user_notes", "version")
+    content = [c for c in existing.columns if c in incoming.columns and c not in merged]
     old, new = existing.alias("o"), incoming.alias("n")
     o, n = (lambda c: F.col(f"o.{c}")), (lambda c: F.col(f"n.{c}"))
     tags = F.when(n(key).isNull(), o("tags")).when(o(key).isNull(), n("tags")).otherwise(
@@ -121,6 +124,7 @@ def merge_notes(existing: DataFrame, incoming: DataFrame, key: str = "source_url
         F.coalesce(o("user_notes"), n("user_notes")).alias("user_notes"),
         (F.coalesce(o("version"), F.lit(0)) + F.when(n(key).isNull(), 0).otherwise(1)).cast("bigint").alias("version"),
         status.alias("status"),
+        *[F.when(n(key).isNull(), o(c)).otherwise(n(c)).alias(c) for c in content],
     )
 
 
@@ -251,8 +255,9 @@ def upsert_notes(existing: DataFrame, incoming: DataFrame, key: str = "source_ur
                  vocab: TagVocabulary = TAGS) -> tuple[DataFrame, DataFrame]:
     """(new store, write results) of one batch.
 
-    Incoming rows carry item_id, profile, title, score, reason, tags, user_notes.  Rows without title or url are
-    `invalid_input`; known urls are merged into their notes; new urls go through slug collision handling.
+    Incoming rows carry item_id, profile, title, score, reason, tags, user_notes, and any content columns of the
+    store.  Rows without title or url are `invalid_input`; known urls are merged into their notes; new urls go through
+    slug collision handling.
     """
     url = normalise_url(F.col(key))
     valid = (F.coalesce(F.col(key), F.lit("")) != "") & (F.coalesce(F.col("title"), F.lit("")) != "")
@@ -271,9 +276,11 @@ def upsert_notes(existing: DataFrame, incoming: DataFrame, key: str = "source_ur
     writes = known.unionByName(creates.select(*known.columns)).withColumn("confidence", F.lit(0.0)).withColumn(
         "version", F.lit(0).cast("bigint"))
     merged = merge_notes(old.where(F.col(key).isNotNull()), writes, key, vocab)
-    kept_ids = old.select(key, "note_id").where(F.col(key).isNotNull())
+    # identity, and stored columns the incoming rows know nothing of
+    rest = [c for c in existing.columns if c not in merged.columns and c != "slug"]
+    kept = old.select(key, *rest).where(F.col(key).isNotNull())
     store = (
-        merged.drop("status").join(kept_ids, key, "left")
+        merged.drop("status").join(kept, key, "left")
         .withColumn("note_id", F.coalesce("note_id", F.substring(F.sha2(F.col(key), 256), 1, 32)))
         .withColumn("slug", slugify(F.col("title")))
     )

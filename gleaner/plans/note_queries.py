@@ -557,7 +557,7 @@ def _structured(t: Tables) -> DataFrame:
     title = F.trim(F.regexp_replace(F.substring(F.substring_index("text", "\n", 1), 1, 60), "[^A-Za-z0-9 ]", ""))
     claim = F.regexp_replace(F.substring("text", 1, 80), r"[^A-Za-z0-9 .,]", "")
     even = F.col("doc_id") % 2 == 0
-    return t.documents.select(
+    return t.spread(t.documents).select(
         "doc_id", title.alias("title"), F.concat(F.lit("HTTPS://Example.COM/d/"), F.col("doc_id").cast("string"), F.lit("/?utm_x=1")).alias("source_url"),
         F.when(F.col("doc_id") % 4 == 0, tg.no_tags()).otherwise(F.array(F.concat(F.lit("profile:"), "lang"), F.lit(TAGS.ingested_by))).alias("tags"),
         ((F.col("n_chars") % 11) / 10).alias("confidence"),

@@ -140,7 +140,7 @@ select page_id, md5(stripped) as stripped_md5, md5(cleaned) as cleaned_md5, leng
   case when length(cleaned) < 1000 then 'too_short' end as problem from c""")
 def strip_html(t: Tables) -> DataFrame:
     stripped = tx.strip_tags(F.col("html"))
-    return t.pages.select("page_id", stripped.alias("stripped")).withColumn(
+    return t.spread(t.pages).select("page_id", stripped.alias("stripped")).withColumn(
         "cleaned", tx.clean_fragments(F.col("stripped"))).select(
         "page_id", F.md5("stripped").alias("stripped_md5"), F.md5("cleaned").alias("cleaned_md5"),
         F.length("cleaned").alias("n_chars"),
@@ -164,7 +164,7 @@ select page_id, case when length(txt) >= 1000 then md5(txt) end as text_md5, cas
   case when length(txt) >= 1000 then 'text:html' else 'text:abstract-only' end as text_tag,
   case when length(txt) < 1000 then 'too_short' end as extract_problem from f""")
 def page_text(t: Tables) -> DataFrame:
-    return extract_text(t.pages).select(
+    return extract_text(t.spread(t.pages)).select(
         "page_id", F.md5("extracted_text").alias("text_md5"), F.length("extracted_text").alias("n_chars"), "text_tag",
         "extract_problem")
 
@@ -257,7 +257,7 @@ select event_id, case when event_id % 7 <> 0 and event_id % 11 <> 0 then event_t
   case when event_id % 4 <> 0 and k between 1 and 10 then left('claim ' || event_type, 500) end as first_claim
 from e""")
 def parse_responses(t: Tables) -> DataFrame:
-    e = t.events.select("event_id", "event_type", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    e = t.spread(t.events).select("event_id", "event_type", F.get_json_object("props", "$.k").cast("int").alias("k"))
     result = F.struct(
         F.col("event_type").alias("id"), F.col("k").alias("score"), F.array(F.lit("a")).alias("tags"),
         F.when(F.col("event_id") % 5 != 0, F.lit("because")).alias("reason"))
