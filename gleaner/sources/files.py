@@ -60,7 +60,7 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
 def read_notes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(notes, errors) of a folder of Markdown notes."""
     files = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+        spark.read.text(path, wholetext=True, recursiveFileLookup=True)
         .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
     )
     return parse_notes(files)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import slugify
@@ -22,8 +22,8 @@ STORE = (
 )
 
 
-def bucket_of(buckets: int):
-    return F.pmod(F.xxhash64(F.coalesce("source_url", "note_id")), F.lit(buckets)).cast("int")
+def bucket_of(buckets: int, key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 def upsert_step(path: str, buckets: int = 256, vocab: TagVocabulary = TAGS) -> Step:
@@ -53,14 +53,16 @@ def upsert_step(path: str, buckets: int = 256, vocab: TagVocabulary = TAGS) -> S
                 notes = spark.createDataFrame([], f"{STORE}, bucket INT")
             incoming = batch.withColumn("source_url", normalise_url(F.col("source_url")))
             touched = incoming.where(F.coalesce("source_url", F.lit("")) != "").select(
-                bucket_of(buckets).alias("bucket")).distinct()
+                bucket_of(buckets, F.col("source_url")).alias("bucket")).distinct()
             near = notes.join(touched, "bucket", "left_semi")
             slugs = incoming.select(slugify(F.col("title")).alias("slug")).distinct()
             # squatters elsewhere: they matter for collisions but are not merged with anything
             far = notes.join(touched, "bucket", "left_anti").join(slugs, "slug", "left_semi")
             known = near.unionByName(far).drop("bucket")
             merged, results = upsert_notes(known, incoming, vocab=vocab)
-            merged = merged.withColumn("bucket", bucket_of(buckets)).join(touched, "bucket", "left_semi")
+            # notes without a url are placed by their id
+            place = bucket_of(buckets, F.coalesce(F.nullif("source_url", F.lit("")), "note_id"))
+            merged = merged.withColumn("bucket", place).join(touched, "bucket", "left_semi")
             merged.write.mode("overwrite").parquet(staged)
             results.write.mode("overwrite").parquet(f"{path}/results/batch={batch_id}")
             spark.range(1).write.mode("overwrite").parquet(f"{done_path}/batch={batch_id}")
