@@ -20,7 +20,7 @@ def stall_flags(runs: DataFrame, time: str = "completed_at") -> DataFrame:
     had fetched.  Only the profile's previous 20 rows, of any kind, are looked at; failed and skipped scheduled runs
     break the streak.
     """
-    rows = with_lookback(runs, ["profile"], [time, "run_id"], LEDGER_WINDOW, F.col(time))
+    rows = with_lookback(runs, ["profile"], [time, "run_id"], LEDGER_WINDOW, [F.col(time), F.col("run_id")])
     before = Window.partitionBy("profile", CHUNK).orderBy(time, "run_id").rowsBetween(-LEDGER_WINDOW, -1)
     scheduled = F.col("kind") == "scheduled"
     last = F.last(F.when(scheduled, F.struct("sources_checked", "ingested")), ignorenulls=True).over(before)
@@ -97,7 +97,8 @@ def all_runs(runs: DataFrame, active: DataFrame) -> DataFrame:
 def circuit(probes: DataFrame, threshold: int = 3, time: str = "ts", key: str = "target") -> DataFrame:
     """Consecutive degraded probes and whether the breaker is open after each one."""
     rows = streaks(
-        probes, [key], [F.col(time), F.col("probe_id")], F.col("status") == "degraded", F.col(time), "bad_streak"
+        probes, [key], [F.col(time), F.col("probe_id")], F.col("status") == "degraded",
+        [F.col(time), F.col("probe_id")], "bad_streak"
     )
     return rows.withColumn("circuit_open", F.col("bad_streak") >= threshold)
 
@@ -108,7 +109,7 @@ def cadence(runs: DataFrame, n: int, time: str = "completed_at") -> DataFrame:
     if n <= 0:
         return done.limit(0).select("*", *[F.lit(None).cast("bigint").alias(c) for c in ("run_no", "window_id")],
                                     F.lit(False).alias("emits"))
-    ranked = numbered(done, ["profile"], [F.col(time), F.col("run_id")], F.col(time), "run_no")
+    ranked = numbered(done, ["profile"], [F.col(time), F.col("run_id")], [F.col(time), F.col("run_id")], "run_no")
     return ranked.withColumn("window_id", F.floor((F.col("run_no") - 1) / n).cast("bigint")).withColumn(
         "emits", F.col("run_no") % n == 0
     )

@@ -9,6 +9,7 @@ joined back.  The cut points only decide where the work is split, never what the
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,7 @@ CHUNK = "_chunk"
 HALO = "_halo"
 _SKETCHES = 64
 _PREFIX_BYTES = 7
+_LOWEST = -(2**63)
 
 
 def default_chunks(df: DataFrame) -> int:
@@ -47,53 +49,87 @@ def _numeric_order(df: DataFrame, col: Column) -> Column:
         return F.unix_micros(col.cast("timestamp"))
     if isinstance(kind, T.DateType):
         return F.unix_date(col).cast("bigint")
-    return col
+    return col.cast("double") if isinstance(kind, (T.FractionalType, T.DecimalType)) else col.cast("bigint")
 
 
-def cut_points(df: DataFrame, value: Column, chunks: int) -> list:
-    """At most `chunks - 1` ascending cut points, merged from 64 bounded quantile sketches."""
-    if chunks <= 1:
-        return []
-    probs = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
-    sketches = (
-        df.select(value.alias("v"))
-        .where(F.col("v").isNotNull())
-        .groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCHES)).alias("part"))
-        .agg(F.percentile_approx("v", probs, max(1000, 2 * chunks)).alias("cuts"))
+def _sketched(df: DataFrame, keys: list[str], n: int) -> list:
+    """Quantile sketches of `v` (per key), taken in 64 slices so that no task merges them all."""
+    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
+    return (
+        df.groupBy(*keys, F.pmod(F.spark_partition_id(), F.lit(_SKETCHES)).alias("part"))
+        .agg(F.percentile_approx("v", probs, max(1000, 2 * n)).alias("cuts"))
         .collect()
     )
-    merged = sorted(x for row in sketches for x in row.cuts)
-    return sorted(set(merged[len(sketches) // 2 :: len(sketches)])) if merged else []
 
 
-def _chunk_number(value: Column, cuts: Sequence) -> Column:
-    """How many cut points lie at or below the value, as a balanced tree of comparisons."""
+def _merge(sketches: list) -> list:
+    values = sorted(x for s in sketches for x in s)
+    return values[len(sketches) // 2 :: len(sketches)] if sketches else []
+
+
+def cut_points(df: DataFrame, first: Column, second: Column | None, chunks: int) -> list[tuple]:
+    """About `chunks - 1` ascending cut points (first, second), where second is None for "from the start".
+
+    They come from bounded quantile sketches.  A value of the first column so frequent that several cut points fall
+    on it is cut further along the second column.
+    """
+    if chunks <= 1:
+        return []
+    slim = df.select(first.alias("v"), *([] if second is None else [second.alias("w")])).where(F.col("v").isNotNull())
+    picks = Counter(_merge([r.cuts for r in _sketched(slim, [], chunks)]))
+    cuts: list[tuple] = [(v, None) for v in picks]
+    heavy = {v: n for v, n in picks.items() if n > 1}
+    if heavy and second is not None:
+        inside = slim.where(F.col("v").isin(list(heavy))).select(F.col("v").alias("k"), F.col("w").alias("v"))
+        found: dict = {}
+        for row in _sketched(inside.where(F.col("v").isNotNull()), ["k"], max(heavy.values()) + 1):
+            found.setdefault(row.k, []).append(row.cuts)
+        for value, sketches in found.items():
+            cuts += [(value, w) for w in sorted(set(_merge(sketches)))]
+    # the frequent value's own start comes first, then the cuts inside it
+    return sorted(cuts, key=lambda c: (c[0], c[1] is not None, c[1] if c[1] is not None else 0))
+
+
+def _chunk_number(first: Column, second: Column | None, cuts: Sequence[tuple]) -> Column:
+    """How many cut points lie at or below the row: a balanced tree of comparisons, or a search in a constant array."""
+    rank = F.lit(_LOWEST) if second is None else F.coalesce(second, F.lit(_LOWEST))
     if len(cuts) <= 64:
+        def below(cut: tuple) -> Column:
+            if cut[1] is None:
+                return first < F.lit(cut[0])
+            return (first < F.lit(cut[0])) | ((first == F.lit(cut[0])) & (rank < F.lit(cut[1])))
+
         def tree(lo: int, hi: int) -> Column:
             if lo == hi:
                 return F.lit(lo)
             mid = (lo + hi) // 2
-            return F.when(value < F.lit(cuts[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+            return F.when(below(cuts[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
         return tree(0, len(cuts))
     bits = len(cuts).bit_length()
-    table = F.array(*[F.lit(c) for c in cuts])
-    # add the largest power of two that still lands on a cut point <= value
+    table = F.array(*[F.struct(F.lit(v).alias("v"), F.lit(_LOWEST if w is None else w).alias("w")) for v, w in cuts])
+    here = F.struct(first.alias("v"), rank.alias("w"))
+    # add the largest power of two that still lands on a cut point at or below the row
     return F.aggregate(
         F.array(*[F.lit(1 << b) for b in reversed(range(bits))]),
         F.lit(0),
         lambda acc, step: F.when(
-            (acc + step <= len(cuts)) & (F.try_element_at(table, acc + step) <= value), acc + step
+            (acc + step <= len(cuts)) & (F.try_element_at(table, acc + step) <= here), acc + step
         ).otherwise(acc),
     )
 
 
-def with_chunks(df: DataFrame, split_on: Column, chunks: int | None = None) -> DataFrame:
-    """Add `_chunk`, non-decreasing along `split_on` (the leading column of the order, ascending)."""
+Split = Column | Sequence[Column]
+
+
+def with_chunks(df: DataFrame, split_on: Split, chunks: int | None = None) -> DataFrame:
+    """Add `_chunk`, non-decreasing along the order; `split_on` is its leading column or leading two, ascending."""
     chunks = default_chunks(df) if chunks is None else chunks
-    value = _numeric_order(df, split_on)
-    cuts = cut_points(df, value, chunks)
-    return df.withColumn(CHUNK, F.coalesce(_chunk_number(value, cuts), F.lit(0)) if cuts else F.lit(0))
+    columns = [split_on] if isinstance(split_on, Column) else list(split_on)[:2]
+    ranks = [_numeric_order(df, c) for c in columns] if chunks > 1 else []
+    first, second = (ranks + [None, None])[:2]
+    cuts = cut_points(df, first, second, chunks) if ranks else []
+    return df.withColumn(CHUNK, F.coalesce(_chunk_number(first, second, cuts), F.lit(0)) if cuts else F.lit(0))
 
 
 _COMBINE = {
@@ -108,7 +144,7 @@ def running(
     keys: Sequence[str],
     order: Sequence[Column],
     values: dict[str, tuple[str, Column]],
-    split_on: Column,
+    split_on: Split,
     *,
     strictly_before: bool = False,
     chunks: int | None = None,
@@ -146,7 +182,7 @@ def running(
 
 
 def numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], split_on: Column, name: str = "rn",
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], split_on: Split, name: str = "rn",
     chunks: int | None = None,
 ) -> DataFrame:
     """`row_number()` per key; `order` must be total within the key."""
@@ -154,7 +190,7 @@ def numbered(
 
 
 def with_lookback(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, split_on: Column, chunks: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, split_on: Split, chunks: int | None = None
 ) -> DataFrame:
     """Every (key, chunk) together with the key's `n` rows before it, marked `_halo`.
 
@@ -186,7 +222,7 @@ def with_lookback(
 
 
 def streaks(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], match: Column, split_on: Column,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], match: Column, split_on: Split,
     name: str = "streak", chunks: int | None = None,
 ) -> DataFrame:
     """Number of consecutive matching rows ending at each row (0 where the row does not match)."""
@@ -214,7 +250,7 @@ def streaks(
 
 
 def paged(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], split_on: Column, page_size: int,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], split_on: Split, page_size: int,
     name: str = "page", chunks: int | None = None,
 ) -> DataFrame:
     """Number the rows of each key and cut them into pages of a fixed size, so lists stay bounded and whole."""

@@ -104,7 +104,8 @@ def attempts_and_cap(attempts: DataFrame, cap: int = ATTEMPT_CAP) -> DataFrame:
     counted = (classify_failure(F.col("failure_stage")) == "counted").cast("bigint")
     rows = running(
         attempts.withColumn("_counted", F.coalesce(counted, F.lit(0))), ["note_id", "stage"],
-        [F.col("ts"), F.col("attempt_id")], {"n_counted": ("sum", F.col("_counted"))}, F.col("ts"))
+        [F.col("ts"), F.col("attempt_id")], {"n_counted": ("sum", F.col("_counted"))},
+        [F.col("ts"), F.col("attempt_id")])
     return (
         rows.withColumn("terminal", F.col("n_counted") >= cap)
         .withColumn("flips", (F.col("_counted") == 1) & (F.col("n_counted") == cap))

@@ -76,21 +76,25 @@ INSTRUMENTS = {
 }
 
 
-def counter(df: DataFrame, name: str, value: Column | None = None) -> DataFrame:
-    """Long metric rows (name, labels, value) of one instrument from rows that carry its label columns."""
-    labels = INSTRUMENTS[name]
-    total = F.count(F.lit(1)) if value is None else F.sum(value)
-    pairs = [x for label in labels for x in (F.lit(label), F.col(label).cast("string"))]
-    shown = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
-    return df.groupBy(*labels).agg(total.cast("double").alias("value")).select(
-        F.lit(name).alias("name"), shown.alias("labels"), "value")
-
-
-def metrics_long(parts: Sequence[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def reading(name: str, when: Column | None = None, value: Column | None = None, **labels: Column) -> Column:
+    """One instrument's contribution of a row: (name, labels, value), null where `when` does not hold."""
+    wanted = INSTRUMENTS[name]
+    if set(labels) != set(wanted):
+        raise ValueError(f"{name} takes the labels {wanted}")
+    pairs = [F.struct(F.lit(k).alias("key"), labels[k].cast("string").alias("value")) for k in wanted]
+    shown = F.array(*pairs) if pairs else F.array().cast("array<struct<key:string,value:string>>")
+    amount = F.lit(1.0) if value is None else value.cast("double")
+    row = F.struct(F.lit(name).alias("name"), shown.alias("labels"), amount.alias("value"))
+    return row if when is None else F.when(when, row)
+
+
+def metrics_long(df: DataFrame, readings: Sequence[Column]) -> DataFrame:
+    """Long metric rows (name, labels, value) of any number of instruments from one pass over their rows."""
+    return (
+        df.select(F.inline(F.array_compact(F.array(*readings))))
+        .groupBy("name", "labels").agg(F.sum("value").alias("value"))
+        .select("name", F.map_from_entries("labels").alias("labels"), "value")
+    )
 
 
 def active_run_level(starts: DataFrame, ends: DataFrame) -> DataFrame:
@@ -98,7 +102,7 @@ def active_run_level(starts: DataFrame, ends: DataFrame) -> DataFrame:
     steps = starts.select("profile", "run_id", F.col("started_at").alias("ts"), F.lit(1).alias("step")).unionByName(
         ends.select("profile", "run_id", F.col("completed_at").alias("ts"), F.lit(-1).alias("step")))
     return running(steps, ["profile"], [F.col("ts"), F.col("step"), F.col("run_id")],
-                   {"active": ("sum", F.col("step"))}, F.col("ts"))
+                   {"active": ("sum", F.col("step"))}, [F.col("ts"), F.col("step")])
 
 
 #: fixed values: upper bounds, in seconds, of the duration histogram
@@ -232,7 +236,8 @@ def digest_pages(headers: DataFrame, items: DataFrame, notify_immediate: Column,
     The item lists of a run come in pages of a fixed size, so a run of any length is written whole without one task
     holding it; a run that fits one page gives one payload.
     """
-    numbered = paged(items, ["run_id"], [F.col("score").desc(), F.col("item_id")], -F.col("score"), page_size)
+    numbered = paged(items, ["run_id"], [F.col("score").desc(), F.col("item_id")],
+                     [-F.col("score"), F.col("item_id")], page_size)
     entry = F.struct("pos", F.struct("item_id", "title", "score", "url").alias("item"))
     pages = numbered.groupBy("run_id", "page").agg(F.sort_array(F.collect_list(entry)).alias("_items"))
     all_items = F.transform("_items", lambda e: e["item"])

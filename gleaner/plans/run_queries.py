@@ -260,22 +260,21 @@ union all select 'candidates_fetched', 'profile=' || profile || ',source=' || ca
 union all select 'ingestion_stalls', 'profile=' || profile || ',reason=' || case when ingestion_stall then 'ingestion_stall' else 'fetch_stall' end, cast(count(*) as double) from f where ingestion_stall or fetch_stall group by all
 union all select 'slug_collision_unresolved', '', cast(count(*) as double) from runs_v where run_id % 9 = 0"""))
 def metric_counters(t: Tables) -> DataFrame:
-    runs = ledger.stall_flags(t.runs_v)
     tags = F.expr("case run_id % 3 when 0 then array('x', 'source:arxiv') when 1 then array('source:blog', 'source:arxiv') else array('x') end")
-    fetched = runs.where(F.col("sources_checked").isNotNull()).withColumn(
-        "source", source_family(F.lit(None).cast("string"), tags))
-    stalls = runs.where("ingestion_stall or fetch_stall").withColumn(
-        "reason", F.when(F.col("ingestion_stall"), "ingestion_stall").otherwise("fetch_stall"))
-    parts = [
-        reports.counter(runs, "run_starts"),
-        reports.counter(runs.where("status = 'skipped'").withColumn("reason", F.lit("breaker")), "runs_skipped"),
-        reports.counter(runs.withColumn("outcome", F.col("status")), "run_completions"),
-        reports.counter(fetched, "candidates_fetched", F.col("sources_checked")),
-        reports.counter(stalls, "ingestion_stalls"),
-        reports.counter(runs.where("run_id % 9 = 0"), "slug_collision_unresolved"),
-    ]
+    profile, kind, status = F.col("profile"), F.col("kind"), F.col("status")
+    checked = F.col("sources_checked")
+    reason = F.when(F.col("ingestion_stall"), "ingestion_stall").otherwise("fetch_stall")
+    metrics = reports.metrics_long(ledger.stall_flags(t.runs_v), [
+        reports.reading("run_starts", profile=profile, kind=kind),
+        reports.reading("runs_skipped", status == "skipped", profile=profile, reason=F.lit("breaker")),
+        reports.reading("run_completions", profile=profile, kind=kind, outcome=status),
+        reports.reading("candidates_fetched", checked.isNotNull(), checked, profile=profile,
+                        source=source_family(F.lit(None).cast("string"), tags)),
+        reports.reading("ingestion_stalls", F.col("ingestion_stall") | F.col("fetch_stall"), profile=profile, reason=reason),
+        reports.reading("slug_collision_unresolved", F.col("run_id") % 9 == 0),
+    ])
     shown = F.array_join(F.transform(F.array_sort(F.map_entries("labels")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
-    return reports.metrics_long(parts).select("name", shown.alias("labels"), "value")
+    return metrics.select("name", shown.alias("labels"), "value")
 
 
 @query(f"""

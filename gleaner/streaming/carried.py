@@ -84,7 +84,7 @@ def circuit_step(store: Carried, threshold: int = 3) -> Step:
         carry = store.load("streak", batch.select("target", F.lit(0).cast("bigint").alias("carry")), batch_id)
         bad = F.col("status") == "degraded"
         here = F.struct("ts", "probe_id")
-        rows = streaks(batch, ["target"], [F.col("ts"), F.col("probe_id")], bad, F.col("ts"), "_local")
+        rows = streaks(batch, ["target"], [F.col("ts"), F.col("probe_id")], bad, [F.col("ts"), F.col("probe_id")], "_local")
         # the carried streak only goes on before the target's first good probe of the batch
         first_ok = batch.where(~bad).groupBy("target").agg(F.min(here).alias("_ok"))
         goes_on = (F.col("_local") > 0) & (F.col("_ok").isNull() | (here < F.col("_ok")))

@@ -6,7 +6,7 @@ import sys
 import pytest
 
 HERE = os.path.dirname(os.path.abspath(__file__))
-sys.path.insert(0, os.path.dirname(HERE))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 # functions of the test modules run in Python workers too
 os.environ["PYTHONPATH"] = os.pathsep.join([HERE, os.environ.get("PYTHONPATH", "")])
 

@@ -131,7 +131,8 @@ def test_other_sinks(spark, tmp_path):
     assert files.read_collisions(spark, str(tmp_path / "c")).count() == 1
     writers.write_digests(spark.createDataFrame([("s", "{}")], "sink STRING, payload STRING"), str(tmp_path / "d"))
     assert (tmp_path / "d" / "sink=s").exists()
-    metric = reports.counter(spark.createDataFrame([("p", "manual")], "profile STRING, kind STRING"), "run_starts")
+    runs = spark.createDataFrame([("p", "manual")], "profile STRING, kind STRING")
+    metric = reports.metrics_long(runs, [reports.reading("run_starts", profile=F.col("profile"), kind=F.col("kind"))])
     writers.write_metrics(metric, str(tmp_path / "m"))
     assert spark.read.parquet(str(tmp_path / "m")).first().value == 1.0
     placed = writers.archive_layout(spark.createDataFrame([("blog", datetime(2026, 3, 1), "id", ".pdf")], "source_tag STRING, published TIMESTAMP, item_id STRING, ext STRING"))

@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta, timezone
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gleaner.operators import ledger, predicates, reports
@@ -147,9 +148,13 @@ def test_funnel_total_and_metrics(spark):
         "profile STRING, source STRING, decision STRING, cache_hit BOOLEAN, write_status STRING")
     total = [r for r in reports.funnel(items, totals=True).collect() if r.profile is None][0]
     assert (total.fetched, total.filter_pass, total.created, total.failed, total.cache_hits) == (3, 2, 1, 1, 1)
-    rows = reports.metrics_long([reports.counter(items.withColumn("status", F.col("write_status")).where("status is not null"), "store_writes"),
-                                 reports.counter(items, "slug_collision_reclaimed")]).collect()
-    assert {(r["name"], r["value"]) for r in rows} == {("store_writes", 1.0), ("slug_collision_reclaimed", 3.0)}
+    rows = reports.metrics_long(items, [
+        reports.reading("store_writes", F.col("write_status").isNotNull(), profile=F.col("profile"), source=F.col("source"), status=F.col("write_status")),
+        reports.reading("slug_collision_reclaimed")]).collect()
+    assert {(r["name"], r["labels"].get("status"), r["value"]) for r in rows} == {
+        ("store_writes", "created", 1.0), ("store_writes", "version_conflict", 1.0), ("slug_collision_reclaimed", None, 3.0)}
+    with pytest.raises(ValueError):
+        reports.reading("cache_hits", note_id=F.lit(1))
     assert len(reports.INSTRUMENTS) == 18
 
 

@@ -120,3 +120,16 @@ def test_empty_input(frame):
     empty = frame.limit(0)
     assert ordered.numbered(empty, ["key"], [F.col("id")], F.col("id")).count() == 0
     assert ordered.streaks(empty, ["key"], [F.col("id")], F.col("good"), F.col("id")).count() == 0
+
+
+@pytest.mark.parametrize("chunks", [12, 100])
+def test_frequent_values_are_cut_along_the_second_column(spark, chunks):
+    rng = random.Random(2)
+    data = [("hot", 5 if rng.random() < 0.9 else rng.randrange(10), f"id-{i:04d}") for i in range(1000)]
+    df = spark.createDataFrame(data, "key STRING, score INT, item STRING").repartition(3)
+    split = [-F.col("score"), F.col("item")]
+    chunked = ordered.with_chunks(df, split, chunks)
+    assert max(r["count"] for r in chunked.groupBy(ordered.CHUNK).count().collect()) < 1000 / chunks * 3
+    got = ordered.numbered(df, ["key"], [F.col("score").desc(), F.col("item")], split, chunks=chunks)
+    want = {item: i + 1 for i, (_, _, item) in enumerate(sorted(data, key=lambda r: (-r[1], r[2])))}
+    assert {r.item: r.rn for r in got.collect()} == want
