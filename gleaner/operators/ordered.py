@@ -1,10 +1,11 @@
 """Ordered per-key computations that hold up when one key owns a large share of all rows.
 
-A plain `row_number().over(partitionBy(key))` sorts all rows of a key in one task.  Here every key is first cut
-into chunks along its order, at cut points taken from the data's own quantiles, so that no (key, chunk) group is
-larger than about rows / chunks.  Work inside a chunk is an ordinary window; what a chunk needs to know about
-earlier chunks (a running total, the last few rows) is aggregated to at most one small row per key and chunk and
-joined back.  The cut points only decide where the work is split, never what the result is.
+A plain `row_number().over(partitionBy(key))` sorts all rows of a key in one task.  That is fine for most keys and
+fatal for the few that own more than a task's share.  There are at most as many such hot keys as there are tasks; they
+are found with one pre-aggregated count, and only they are cut into chunks along their order, at cut points taken
+from their own quantiles.  Work inside a chunk is an ordinary window; what a chunk needs to know about earlier chunks
+(a running total, the last few rows) is aggregated to one small row per hot key and chunk and joined back.  Without
+hot keys the plan is the plain window.  The cuts only decide where the work is split, never what the result is.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -22,6 +23,8 @@ HALO = "_halo"
 _SKETCHES = 64
 _PREFIX_BYTES = 7
 _LOWEST = -(2**63)
+#: below this a key is never worth cutting
+MIN_HOT_ROWS = 200_000
 
 
 def default_chunks(df: DataFrame) -> int:
@@ -122,14 +125,40 @@ def _chunk_number(first: Column, second: Column | None, cuts: Sequence[tuple]) -
 Split = Column | Sequence[Column]
 
 
-def with_chunks(df: DataFrame, split_on: Split, chunks: int | None = None) -> DataFrame:
-    """Add `_chunk`, non-decreasing along the order; `split_on` is its leading column or leading two, ascending."""
+def hot_key_hashes(df: DataFrame, keys: Sequence[str], chunks: int, hot_rows: int | None = None) -> list[int]:
+    """Hashes of the keys owning more than one task's share of the rows: never more than `chunks` of them.
+
+    Two keys with the same hash are both cut, which costs a little and changes nothing.
+    """
+    total = Observation()
+    top = (
+        df.select(F.xxhash64(*keys).alias("h")).observe(total, F.count(F.lit(1)).alias("n"))
+        .groupBy("h").count().orderBy(F.col("count").desc()).limit(chunks).collect()
+    )
+    if not top:
+        return []
+    limit = max(total.get["n"] // chunks, MIN_HOT_ROWS) if hot_rows is None else hot_rows
+    return [r.h for r in top if r["count"] > limit]
+
+
+def with_chunks(
+    df: DataFrame, keys: Sequence[str], split_on: Split, chunks: int | None = None, hot_rows: int | None = None
+) -> tuple[DataFrame, bool]:
+    """Add `_chunk`: -1 for ordinary keys, else a number that does not decrease along the order.
+
+    `split_on` is the leading column of the order, or the leading two, ascending.  Also tells whether any key was cut.
+    """
     chunks = default_chunks(df) if chunks is None else chunks
+    hashes = hot_key_hashes(df, keys, chunks, hot_rows) if chunks > 1 else []
+    if not hashes:
+        return df.withColumn(CHUNK, F.lit(-1)), False
+    is_hot = F.xxhash64(*keys).isin(hashes)
     columns = [split_on] if isinstance(split_on, Column) else list(split_on)[:2]
-    ranks = [_numeric_order(df, c) for c in columns] if chunks > 1 else []
-    first, second = (ranks + [None, None])[:2]
-    cuts = cut_points(df, first, second, chunks) if ranks else []
-    return df.withColumn(CHUNK, F.coalesce(_chunk_number(first, second, cuts), F.lit(0)) if cuts else F.lit(0))
+    hot = df.where(is_hot)
+    first, second = ([_numeric_order(hot, c) for c in columns] + [None])[:2]
+    cuts = cut_points(hot, first, second, chunks)
+    number = F.coalesce(_chunk_number(first, second, cuts), F.lit(0)) if cuts else F.lit(0)
+    return df.withColumn(CHUNK, F.when(is_hot, number).otherwise(-1)), True
 
 
 _COMBINE = {
@@ -148,19 +177,23 @@ def running(
     *,
     strictly_before: bool = False,
     chunks: int | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Running sum / max / min per key, `values` being {output: (kind, expression)}.
 
     Key columns must not be null.  With `strictly_before` the current row is not counted in.
     """
     keys = list(keys)
-    chunked = df if CHUNK in df.columns else with_chunks(df, split_on, chunks)
-    local = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, -1 if strictly_before else 0
-    )
+    last = -1 if strictly_before else 0
+    chunked, cut = with_chunks(df, keys, split_on, chunks, hot_rows)
+    local = Window.partitionBy(*keys, CHUNK) if cut else Window.partitionBy(*keys)
+    local = local.orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
+    if not cut:
+        plain = {name: _COMBINE[kind][0](expr).over(local) for name, (kind, expr) in values.items()}
+        return df.select(*df.columns, *[
+            (F.coalesce(c, F.lit(0)) if values[name][0] == "sum" else c).alias(name) for name, c in plain.items()])
     earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-
-    totals = chunked.groupBy(*keys, CHUNK).agg(
+    totals = chunked.where(F.col(CHUNK) >= 0).groupBy(*keys, CHUNK).agg(
         *[_COMBINE[kind][0](expr).alias(f"_t_{name}") for name, (kind, expr) in values.items()]
     )
     prefix = totals.select(
@@ -170,10 +203,8 @@ def running(
     with_local = chunked.select(
         "*", *[_COMBINE[kind][0](expr).over(local).alias(f"_l_{name}") for name, (kind, expr) in values.items()]
     )
-    joined = with_local.join(prefix, [*keys, CHUNK], "left")
-    kept = [c for c in df.columns if c != CHUNK]
-    return joined.select(
-        *kept,
+    return with_local.join(prefix, [*keys, CHUNK], "left").select(
+        *df.columns,
         *[
             _COMBINE[kind][1](F.col(f"_l_{name}"), F.col(f"_p_{name}")).alias(name)
             for name, (kind, _) in values.items()
@@ -183,14 +214,16 @@ def running(
 
 def numbered(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], split_on: Split, name: str = "rn",
-    chunks: int | None = None,
+    chunks: int | None = None, hot_rows: int | None = None,
 ) -> DataFrame:
     """`row_number()` per key; `order` must be total within the key."""
-    return running(df, keys, order, {name: ("sum", F.lit(1).cast("bigint"))}, split_on, chunks=chunks)
+    one = {name: ("sum", F.lit(1).cast("bigint"))}
+    return running(df, keys, order, one, split_on, chunks=chunks, hot_rows=hot_rows)
 
 
 def with_lookback(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, split_on: Split, chunks: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, split_on: Split, chunks: int | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Every (key, chunk) together with the key's `n` rows before it, marked `_halo`.
 
@@ -198,11 +231,15 @@ def with_lookback(
     where `_halo` is false.  `order` is ascending and total within the key.
     """
     keys, order = list(keys), list(order)
-    chunked = with_chunks(df, split_on, chunks)
-    payload = [c for c in chunked.columns if c not in (*keys, *order, CHUNK)]
+    chunked, cut = with_chunks(df, keys, split_on, chunks, hot_rows)
+    own = chunked.withColumn(HALO, F.lit(False))
+    if not cut:
+        return own
+    payload = [c for c in df.columns if c not in (*keys, *order)]
     newest = Window.partitionBy(*keys, CHUNK).orderBy(*[F.col(c).desc() for c in order])
     tails = (
-        chunked.withColumn("_back", F.row_number().over(newest))
+        chunked.where(F.col(CHUNK) >= 0)
+        .withColumn("_back", F.row_number().over(newest))
         .where(F.col("_back") <= n)
         .groupBy(*keys, CHUNK)
         .agg(F.sort_array(F.collect_list(F.struct(*order, *payload))).alias("_tail"))
@@ -218,23 +255,27 @@ def with_lookback(
         )
         .select(*keys, CHUNK, "_r.*", F.lit(True).alias(HALO))
     )
-    return chunked.withColumn(HALO, F.lit(False)).unionByName(halo)
+    return own.unionByName(halo)
 
 
 def streaks(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], match: Column, split_on: Split,
-    name: str = "streak", chunks: int | None = None,
+    name: str = "streak", chunks: int | None = None, hot_rows: int | None = None,
 ) -> DataFrame:
     """Number of consecutive matching rows ending at each row (0 where the row does not match)."""
     keys = list(keys)
-    chunked = with_chunks(df, split_on, chunks).withColumn("_m", F.coalesce(match, F.lit(False)))
-    rows = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    chunked, cut = with_chunks(df, keys, split_on, chunks, hot_rows)
+    rows = Window.partitionBy(*keys, CHUNK) if cut else Window.partitionBy(*keys)
+    rows = rows.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = (
-        chunked.withColumn("_n", F.count(F.lit(1)).over(rows))
+        chunked.withColumn("_m", F.coalesce(match, F.lit(False)))
+        .withColumn("_n", F.count(F.lit(1)).over(rows))
         .withColumn("_break", F.coalesce(F.max(F.when(~F.col("_m"), F.col("_n"))).over(rows), F.lit(0)))
         .withColumn("_run", F.col("_n") - F.col("_break"))
     )
-    ends = local.groupBy(*keys, CHUNK).agg(
+    if not cut:
+        return local.select(*df.columns, F.col("_run").cast("bigint").alias(name))
+    ends = local.where(F.col(CHUNK) >= 0).groupBy(*keys, CHUNK).agg(
         F.max_by("_run", "_n").alias("_open"), (F.max("_break") > 0).alias("_broken")
     )
     chunk_order = Window.partitionBy(*keys).orderBy(CHUNK)
@@ -243,18 +284,16 @@ def streaks(
         .withColumn("_acc", F.sum("_open").over(Window.partitionBy(*keys, "_grp").orderBy(CHUNK)))
         .select(*keys, CHUNK, F.coalesce(F.lag("_acc").over(chunk_order), F.lit(0)).alias("_carry"))
     )
-    total = F.when(F.col("_break") > 0, F.col("_run")).otherwise(F.col("_run") + F.col("_carry"))
-    return local.join(carried, [*keys, CHUNK], "left").select(
-        *[c for c in df.columns if c != CHUNK], total.cast("bigint").alias(name)
-    )
+    total = F.col("_run") + F.when(F.col("_break") > 0, 0).otherwise(F.coalesce("_carry", F.lit(0)))
+    return local.join(carried, [*keys, CHUNK], "left").select(*df.columns, total.cast("bigint").alias(name))
 
 
 def paged(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], split_on: Split, page_size: int,
-    name: str = "page", chunks: int | None = None,
+    name: str = "page", chunks: int | None = None, hot_rows: int | None = None,
 ) -> DataFrame:
     """Number the rows of each key and cut them into pages of a fixed size, so lists stay bounded and whole."""
-    return numbered(df, keys, order, split_on, "_rn", chunks).select(
+    return numbered(df, keys, order, split_on, "_rn", chunks, hot_rows).select(
         *df.columns, F.floor((F.col("_rn") - 1) / page_size).cast("bigint").alias(name), F.col("_rn").alias("pos")
     )
 

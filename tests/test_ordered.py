@@ -41,7 +41,7 @@ ORDER = ["ts", "id"]
 def test_running(frame, rows, chunks):
     order = [F.col(c) for c in ORDER]
     got = ordered.running(frame, ["key"], order, {
-        "total": ("sum", F.col("n")), "top": ("max", F.col("n")), "low": ("min", F.col("n"))}, F.col("ts"), chunks=chunks)
+        "total": ("sum", F.col("n")), "top": ("max", F.col("n")), "low": ("min", F.col("n"))}, F.col("ts"), chunks=chunks, hot_rows=40)
     want = {}
     for group in by_key(rows).values():
         total, seen = 0, []
@@ -54,7 +54,7 @@ def test_running(frame, rows, chunks):
 
 def test_strictly_before(frame, rows):
     got = ordered.running(frame, ["key"], [F.col(c) for c in ORDER], {"top": ("max", F.col("n"))}, F.col("ts"),
-                          strictly_before=True, chunks=9)
+                          strictly_before=True, chunks=9, hot_rows=40)
     want = {}
     for group in by_key(rows).values():
         seen = []
@@ -66,7 +66,7 @@ def test_strictly_before(frame, rows):
 
 @pytest.mark.parametrize("chunks", [1, 7, 200])
 def test_streaks(frame, rows, chunks):
-    got = ordered.streaks(frame, ["key"], [F.col(c) for c in ORDER], F.col("good"), F.col("ts"), chunks=chunks)
+    got = ordered.streaks(frame, ["key"], [F.col(c) for c in ORDER], F.col("good"), F.col("ts"), chunks=chunks, hot_rows=40)
     want = {}
     for group in by_key(rows).values():
         run = 0
@@ -80,7 +80,7 @@ def test_streaks(frame, rows, chunks):
 def test_lookback_rows_are_exactly_the_previous_ones(frame, rows, n, chunks):
     from pyspark.sql.window import Window
 
-    wide = ordered.with_lookback(frame, ["key"], ORDER, n, F.col("ts"), chunks)
+    wide = ordered.with_lookback(frame, ["key"], ORDER, n, F.col("ts"), chunks, 40)
     before = Window.partitionBy("key", ordered.CHUNK).orderBy(*ORDER).rowsBetween(-n, -1)
     got = wide.withColumn("ids", F.collect_list("id").over(before)).where(~F.col(ordered.HALO))
     want = {}
@@ -92,21 +92,21 @@ def test_lookback_rows_are_exactly_the_previous_ones(frame, rows, n, chunks):
 
 
 def test_chunks_split_the_hot_key(frame, rows):
-    sizes = [r["count"] for r in ordered.with_chunks(frame, F.col("ts"), 16).groupBy("key", ordered.CHUNK).count().collect()]
+    sizes = [r["count"] for r in ordered.with_chunks(frame, ["key"], F.col("ts"), 16, 300)[0].groupBy("key", ordered.CHUNK).count().collect()]
     assert max(sizes) < len(rows) / 8
 
 
 def test_string_order_with_shared_prefix(spark):
     ids = [f"https://example.com/item/{i:05d}" for i in range(900)]
     df = spark.createDataFrame([("hot", i) for i in ids], "key STRING, item STRING").repartition(4)
-    chunked = ordered.with_chunks(df, F.col("item"), 10)
+    chunked = ordered.with_chunks(df, ["key"], F.col("item"), 10, 1)[0]
     assert max(r["count"] for r in chunked.groupBy(ordered.CHUNK).count().collect()) < 200
-    got = ordered.numbered(df, ["key"], [F.col("item")], F.col("item"), chunks=10)
+    got = ordered.numbered(df, ["key"], [F.col("item")], F.col("item"), chunks=10, hot_rows=1)
     assert {r.item: r.rn for r in got.collect()} == {x: i + 1 for i, x in enumerate(ids)}
 
 
 def test_paged_lists_are_whole(frame, rows):
-    pages = ordered.paged(frame, ["key"], [F.col(c) for c in ORDER], F.col("ts"), 10, chunks=6)
+    pages = ordered.paged(frame, ["key"], [F.col(c) for c in ORDER], F.col("ts"), 10, chunks=6, hot_rows=40)
     sizes = {(r.key, r.page): r["count"] for r in pages.groupBy("key", "page").count().collect()}
     assert max(sizes.values()) == 10 and sum(sizes.values()) == len(rows)
 
@@ -128,8 +128,15 @@ def test_frequent_values_are_cut_along_the_second_column(spark, chunks):
     data = [("hot", 5 if rng.random() < 0.9 else rng.randrange(10), f"id-{i:04d}") for i in range(1000)]
     df = spark.createDataFrame(data, "key STRING, score INT, item STRING").repartition(3)
     split = [-F.col("score"), F.col("item")]
-    chunked = ordered.with_chunks(df, split, chunks)
+    chunked = ordered.with_chunks(df, ["key"], split, chunks, 1)[0]
     assert max(r["count"] for r in chunked.groupBy(ordered.CHUNK).count().collect()) < 1000 / chunks * 3
-    got = ordered.numbered(df, ["key"], [F.col("score").desc(), F.col("item")], split, chunks=chunks)
+    got = ordered.numbered(df, ["key"], [F.col("score").desc(), F.col("item")], split, chunks=chunks, hot_rows=1)
     want = {item: i + 1 for i, (_, _, item) in enumerate(sorted(data, key=lambda r: (-r[1], r[2])))}
     assert {r.item: r.rn for r in got.collect()} == want
+
+
+def test_only_hot_keys_are_cut(frame):
+    cut, any_hot = ordered.with_chunks(frame, ["key"], F.col("ts"), 16, 300)
+    assert any_hot and {r.key for r in cut.where(F.col(ordered.CHUNK) >= 0).select("key").distinct().collect()} == {"hot"}
+    plain = ordered.numbered(frame, ["key"], [F.col("id")], F.col("id"))
+    assert "Join" not in plain._jdf.queryExecution().executedPlan().toString()
