@@ -138,6 +138,12 @@ def enrich_tier(df: DataFrame, gate: str, model: Model, parse: Callable[[Column]
     return todo.drop("_answer").unionByName(rest, allowMissingColumns=True)
 
 
+def tier2_extract(df: DataFrame, extractor: Model, gate: str = "run_tier2", tag: str = TEXT_PDF) -> DataFrame:
+    """Full text through a plugged extractor of Arrow batches, for the gated rows; blank text counts as failed."""
+    out = enrich_tier(df, gate, extractor, lambda text: F.nullif(strip(text), F.lit("")), "extracted_text")
+    return out.withColumn("text_tag", F.when(F.col("extracted_text").isNotNull(), tag).otherwise(TEXT_ABSTRACT))
+
+
 def tier1_enrich(df: DataFrame, model: Model, gate: str = "run_tier1") -> DataFrame:
     return enrich_tier(df, gate, model, parse_tier1, "tier1")
 

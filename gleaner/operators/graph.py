@@ -87,19 +87,16 @@ def related_to(
     """
     keep = k + 1
     checkpoint_dir(notes.sparkSession)
-    note_vecs, members = _distinct_vectors(notes, keep)
-    note_vecs = note_vecs.checkpoint()  # read by every step below
-    query_vecs = note_vecs
-    if queries is not notes:
-        query_vecs, members = _distinct_vectors(queries, 1)
+    # any vectors will do as pivots: take rows of low hash
     if pivots is None:
-        pivots = min(MAX_PIVOTS, note_vecs.count() // block_rows + 1)
-    chosen = note_vecs.select("vkey", "vector").orderBy("vkey").limit(pivots).collect()
+        pivots = min(MAX_PIVOTS, notes.count() // block_rows + 1)
+    sample = notes.select("vector").orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
+    chosen = sorted({tuple(r.vector) for r in sample})
     empty = queries.select("profile", F.col("id").alias("source_id"), F.col("id").alias("target_id"),
                            F.lit(0.0).alias("score"), F.lit(0).alias("rank")).limit(0)
     if not chosen:
         return empty
-    centres = _unit(pd.Series([r.vector for r in chosen]))
+    centres = _unit(pd.Series(chosen))
     reach = float(np.arccos(np.clip(threshold - 0.5 * 10.0**-SIM_DIGITS, -1.0, 1.0))) + _SLACK
 
     @F.pandas_udf("struct<cell:int,angle:double>")
@@ -112,8 +109,13 @@ def related_to(
     def angles(vectors: pd.Series) -> pd.Series:
         return pd.Series(list(np.arccos(np.clip(_unit(vectors) @ centres.T, -1.0, 1.0))))
 
+    note_vecs, members = _distinct_vectors(notes, keep)
+    # read by every step below
     placed = note_vecs.withColumn("_c", nearest("vector")).select(
-        "profile", "vkey", "vector", "ids", "_c.cell", "_c.angle")
+        "profile", "vkey", "vector", "ids", "_c.cell", "_c.angle").checkpoint()
+    query_vecs = placed
+    if queries is not notes:
+        query_vecs, members = _distinct_vectors(queries, 1)
     cells = placed.groupBy("profile", "cell").agg(
         F.max("angle").alias("radius"), F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
     # at most one entry per pivot and profile
@@ -161,7 +163,7 @@ def related_to(
 
     found = query_side.groupBy(*group).cogroup(note_side.groupBy(*note_group)).applyInPandas(
         best_in_block, f"profile {profile_type}, qkey STRING, vkey STRING, score DOUBLE")
-    ids = note_vecs.select("profile", "vkey", "ids")
+    ids = placed.select("profile", "vkey", "ids")
     best = Window.partitionBy("profile", "qkey").orderBy(F.col("score").desc(), "first_id")
     # bounded: k+1 rows per query, each with the k+1 lowest ids of equal vectors
     top = (

@@ -18,13 +18,16 @@ SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+#: Only settable when the session is built: checkpoints no longer referenced are deleted.
+BUILD_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 
 def build_session(app_name: str = "gleaner", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the library's settings; `extra` uses `__` for dots in setting names."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
+    for key, value in {**SETTINGS, **BUILD_SETTINGS, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -41,8 +44,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Comes from the session; a temporary folder is used only where nothing is set, as in local tests.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="spark-")
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+    return sc.getCheckpointDir()

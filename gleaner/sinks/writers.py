@@ -60,6 +60,16 @@ def append_runs(runs: DataFrame, path: str) -> None:
     append_json(runs, path)
 
 
+def append_filter_tags(items: DataFrame, path: str) -> None:
+    """Tag set per scored item, kept until the profile's next rejection report."""
+    items.select("profile", "title", F.array_distinct("filter_tags").alias("tags")).write.mode("append").parquet(path)
+
+
+def save_notes_table(notes: DataFrame, table: str, buckets: int, key: str = "source_url") -> None:
+    """The note store bucketed and sorted by its key: lookups and merges on the key then move only the other side."""
+    notes.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+
+
 def append_collisions(results: DataFrame, path: str) -> None:
     """The rows whose collision could not be resolved."""
     append_json(results.where(F.col("status") == "slug_collision"), path)

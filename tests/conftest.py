@@ -21,7 +21,8 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="4g",
-        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")))
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

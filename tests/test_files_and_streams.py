@@ -139,6 +139,25 @@ def test_other_sinks(spark, tmp_path):
     assert placed.first().archive_path == "blog/2026/03/id.pdf"
 
 
+def test_bucketed_store_is_not_shuffled(spark):
+    notes = spark.range(200).select(F.concat(F.lit("https://e.com/"), "id").alias("source_url"), F.col("id").cast("string").alias("note_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        writers.save_notes_table(notes, "bucketed_notes", 4)
+        joined = notes.where("note_id < 50").join(spark.table("bucketed_notes"), "source_url")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and joined.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS bucketed_notes")
+    writers_in = spark.createDataFrame([("p", "t", ["a", "a"])], "profile STRING, title STRING, filter_tags ARRAY<STRING>")
+    import tempfile
+
+    path = tempfile.mkdtemp(prefix="spark-") + "/tags"
+    writers.append_filter_tags(writers_in, path)
+    assert spark.read.parquet(path).first().tags == ["a"]
+
+
 # ---- streams: equal to their batch twins over several micro-batches ------------------------------------------------
 
 def batches(spark, df, folder, order, n=3):

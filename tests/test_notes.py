@@ -114,6 +114,8 @@ def test_models_run_on_gated_rows_only(spark):
     assert got == {0: False, 2: True, 4: True, 1: False, 3: False, 5: False}
     deep = cascade.tier3_extract(df.withColumnRenamed("run_tier1", "run_tier3"), lambda rows: rows.id.map(lambda _: '{"claims":["x"]}'))
     assert deep.where("tier3 IS NOT NULL").count() == 3
+    texts = cascade.tier2_extract(df.withColumnRenamed("run_tier1", "run_tier2"), lambda rows: rows.id.map(lambda i: "pdf" if i else " "))
+    assert {r.id: r.text_tag for r in texts.collect() if r.id % 2 == 0} == {0: "text:abstract-only", 2: "text:pdf", 4: "text:pdf"}
 
 
 def test_terminal_flag_only_where_the_tier_would_run(spark):
