@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gleaner.functions.binding import let
 from gleaner.functions.text import strip
 from gleaner.schemas import CHAT_RESPONSE, SCORE_RESPONSE
 
@@ -27,11 +28,6 @@ def parse_scores(content: Column) -> Column:
     return F.from_json(content, SCORE_RESPONSE)["results"]
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body(value)` with the value computed once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def parse_tier1(content: Column) -> Column:
     """Structured summary, null unless it has one to six contributions and all three texts."""
     def check(v: Column) -> Column:
@@ -42,7 +38,7 @@ def parse_tier1(content: Column) -> Column:
         )
         return F.when(F.coalesce(ok, F.lit(False)), v)
 
-    return _let(F.from_json(content, TIER1_DDL), check)
+    return let(F.from_json(content, TIER1_DDL), check)
 
 
 def trim_cut(values: Column, limit: int = ELEMENT_CHARS) -> Column:
@@ -66,7 +62,7 @@ def parse_tier3(content: Column) -> Column:
         return F.when(F.coalesce(ok, F.lit(False)), v)
 
     parsed = F.from_json(content, ", ".join(f"{k} ARRAY<VARIANT>" for k in _LISTS))
-    return _let(_let(parsed, texts), check)
+    return let(let(parsed, texts), check)
 
 
 def json_text(obj: Column, key: str) -> Column:
@@ -82,7 +78,7 @@ def _first_text(obj: Column, keys: Sequence[str]) -> Column:
 
 def first_non_empty(body: Column, keys: Sequence[str] = MESSAGE_KEYS) -> Column:
     """First non-empty string among the keys of a JSON object; empty without one."""
-    return _let(F.try_parse_json(body), lambda obj: _first_text(obj, keys))
+    return let(F.try_parse_json(body), lambda obj: _first_text(obj, keys))
 
 
 #: fixed values: outcomes of a store write
@@ -120,7 +116,7 @@ def write_outcome(envelope: Column) -> Column:
             F.when(~known & (v["said"] == ""), F.substring(envelope, 1, BODY_EXCERPT)).otherwise("").alias("excerpt"),
         )
 
-    return _let(_let(F.try_parse_json(envelope), fields), outcome)
+    return let(let(F.try_parse_json(envelope), fields), outcome)
 
 
 # ---- notifications ------------------------------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # fixed values
@@ -12,65 +12,141 @@ DEFAULT_PORTS = {"http": "80", "https": "443"}
 ARXIV_ABS = "https://arxiv.org/abs/"
 URL_HASH_CHARS = 10
 
-_SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
-_AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
-_BEFORE_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?"
+_HEAD = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/]*))?(.*)$"
+
+
+_USUAL = r"^[A-Za-z][A-Za-z0-9+.\-]*://"
+
+
+def _head(url: Column) -> Column:
+    """What stands before the query and the fragment."""
+    return F.substring_index(F.substring_index(url, "#", 1), "?", 1)
+
+
+def _split(url: Column) -> tuple[Column, Column, Column]:
+    """(scheme, authority, path) as they stand.
+
+    The usual `scheme://...` form is taken apart with plain string functions; the pattern only serves the others.
+    """
+    head = _head(url)
+    usual = head.rlike(_USUAL)
+    scheme = F.substring_index(head, "://", 1)
+    rest = F.substring(head, F.length(scheme) + 4, F.length(head))
+    authority = F.substring_index(rest, "/", 1)
+    path = F.substring(rest, F.length(authority) + 1, F.length(rest))
+    cheap = (scheme, authority, path)
+    return tuple(F.when(usual, c).otherwise(F.regexp_extract(head, _HEAD, i + 1)) for i, c in enumerate(cheap))
+
+
+def _authority(url: Column) -> Column:
+    return _split(url)[1]
 
 
 def url_scheme(url: Column) -> Column:
-    return F.lower(F.regexp_extract(url, _SCHEME, 1))
+    return F.lower(_split(url)[0])
 
 
-def url_host(url: Column) -> Column:
-    """Lower-case host without userinfo, port or IPv6 brackets; empty when there is none."""
-    authority = F.regexp_replace(F.regexp_extract(url, _AUTHORITY, 1), r"^.*@", "")
+def _host_of(authority: Column) -> Column:
+    place = F.substring_index(authority, "@", -1)
     return F.lower(
-        F.when(authority.startswith("["), F.regexp_extract(authority, r"^\[([^\]]*)\]", 1))
-        .otherwise(F.regexp_extract(authority, r"^([^:]*)", 1))
+        F.when(place.startswith("["), F.regexp_extract(place, r"^\[([^\]]*)\]", 1))
+        .otherwise(F.substring_index(place, ":", 1))
     )
 
 
+def _port_of(authority: Column) -> Column:
+    return F.when(authority.contains(":"), F.regexp_extract(authority, r":0*([0-9]+)$", 1)).otherwise("")
+
+
+def url_host(url: Column) -> Column:
+    """Lower-case host without userinfo, port or IPv6 brackets; empty when there is none."""
+    return _host_of(_authority(url))
+
+
 def url_port(url: Column) -> Column:
     """Explicit port as text without leading zeros, empty when there is none."""
-    return F.regexp_extract(F.regexp_extract(url, _AUTHORITY, 1), r":0*([0-9]+)$", 1)
+    return _port_of(_authority(url))
 
 
 def url_query(url: Column) -> Column:
-    return F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
+    whole = F.substring_index(url, "#", 1)
+    return F.when(whole.contains("?"), F.substring(whole, F.length(_head(url)) + 2, F.length(whole))).otherwise("")
 
 
-def _kept_query(url: Column) -> Column:
-    def keep(segment: Column) -> Column:
-        key = F.substring_index(segment, "=", 1)
-        return (segment != "") & ~key.startswith(TRACKING_PREFIX) & ~key.isin(*TRACKING_KEYS)
+def url_tail(url: Column) -> Column:
+    """The fragment with its sign; an empty fragment is none."""
+    start = F.length(F.substring_index(url, "#", 1))
+    return F.when(F.length(url) > start + 1, F.substring(url, start + 1, F.length(url))).otherwise("")
 
-    return F.array_join(F.filter(F.split(url_query(url), "&"), keep), "&")
 
+_TRACKED = rf"&(?:{TRACKING_PREFIX}[^&=]*|{'|'.join(TRACKING_KEYS)})(?:=[^&]*)?(?=&|$)"
+_SUSPECT = rf"(?:^|&)(?:{TRACKING_PREFIX}|{'|'.join(TRACKING_KEYS)}|&|$)"
 
-def normalise_url(url: Column) -> Column:
-    """Canonical form: lower-case scheme and host, no default port, no tracking keys, no trailing slash.
 
-    Userinfo and `;params` of the last path segment are dropped; the fragment and every other query segment stay
-    as they are.
-    """
-    scheme, host, port = url_scheme(url), url_host(url), url_port(url)
+def _kept_query(query: Column) -> Column:
+    """The query without tracking and empty segments; all others verbatim and in order."""
+    kept = F.regexp_replace(F.regexp_replace(F.concat(F.lit("&"), query), _TRACKED, ""), "&+", "&")
+    # most queries have nothing to drop
+    return F.when(query.rlike(_SUSPECT), F.btrim(kept, F.lit("&"))).otherwise(query)
+
+
+def _clean_path(path: Column) -> Column:
+    bare = F.when(path.contains(";"), F.regexp_replace(path, r";[^/]*$", "")).otherwise(path)
+    return F.rtrim(bare, F.lit("/"))
+
+
+def _joined(scheme: Column, placed: Column, host: Column, port: Column, path: Column, query: Column, tail: Column) -> Column:
     is_default = F.lit(False)
     for name, number in DEFAULT_PORTS.items():
         is_default = is_default | ((scheme == name) & (port == number))
-    path = F.regexp_replace(F.regexp_extract(url, _BEFORE_PATH + r"([^?#]*)", 1), r";[^/]*$", "")
-    path = F.regexp_replace(path, r"/+$", "")
-    query = _kept_query(url)
-    fragment = F.regexp_extract(url, r"#(?s:(.*))$", 1)
-    has_authority = F.regexp_extract(url, _AUTHORITY, 1) != ""
     return F.concat(
         F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
-        F.when(has_authority, F.lit("//")).otherwise(""),
+        F.when(placed, F.lit("//")).otherwise(""),
         host,
         F.when((port != "") & ~is_default, F.concat(F.lit(":"), port)).otherwise(""),
         path,
         F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
-        F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(""),
+        tail,
+    )
+
+
+def normalise_url(url: Column) -> Column:
+    """Canonical form: lower-case scheme and host, no default port, no tracking keys, no trailing slash.
+
+    Userinfo and `;params` of the last path segment are dropped; the fragment and every other query segment stay
+    as they are.  For whole tables use `with_normalised_url`.
+    """
+    return _joined(
+        url_scheme(url), _authority(url) != "", url_host(url), url_port(url), _clean_path(_split(url)[2]),
+        _kept_query(url_query(url)), url_tail(url))
+
+
+def with_normalised_url(df: DataFrame, url: str, out: str, host: str | None = None) -> DataFrame:
+    """Add `normalise_url` (and the host) in steps.
+
+    Each step names the pieces of the one before, so no piece is computed twice and the generated code stays small
+    enough to be compiled to machine code; as one expression it does not.
+    """
+    u, piece = F.col(url), lambda n: F.col(f"_u_{n}")
+    whole = F.substring_index(u, "#", 1)
+    steps = (
+        {"head": _head(u), "query": url_query(u), "tail": url_tail(u), "usual": _head(u).rlike(_USUAL)},
+        {"scheme": F.when(piece("usual"), F.substring_index(piece("head"), "://", 1))
+            .otherwise(F.regexp_extract(piece("head"), _HEAD, 1))},
+        {"rest": F.when(piece("usual"), F.substring(piece("head"), F.length(piece("scheme")) + 4, F.length(whole)))},
+        {"authority": F.when(piece("usual"), F.substring_index(piece("rest"), "/", 1))
+            .otherwise(F.regexp_extract(piece("head"), _HEAD, 2))},
+        {"path": F.when(piece("usual"), F.substring(piece("rest"), F.length(piece("authority")) + 1, F.length(whole)))
+            .otherwise(F.regexp_extract(piece("head"), _HEAD, 3)),
+         "host": _host_of(piece("authority")), "port": _port_of(piece("authority"))},
+        {"path": _clean_path(piece("path")), "query": _kept_query(piece("query")), "scheme": F.lower(piece("scheme"))},
     )
+    staged = df
+    for step in steps:
+        staged = staged.withColumns({f"_u_{n}": c for n, c in step.items()})
+    result = _joined(piece("scheme"), piece("authority") != "", *[piece(n) for n in ("host", "port", "path", "query", "tail")])
+    extra = [] if host is None else [piece("host").alias(host)]
+    return staged.select(*[F.col(c) for c in df.columns if c not in (out, host)], result.alias(out), *extra)
 
 
 def url_hash(url: Column) -> Column:

@@ -9,7 +9,7 @@ from gleaner.functions.tags import (
     confidence, has_tag, max_profile_score, merge_relevance_union, merge_tags, no_tags,
 )
 from gleaner.functions.text import collision_detail, slug_suffix_title, slugify, squatter_reason
-from gleaner.functions.urls import arxiv_id_from_url, normalise_url
+from gleaner.functions.urls import arxiv_id_from_url, with_normalised_url
 from gleaner.session import checkpoint_dir
 from gleaner.vocabulary import TAGS, TagVocabulary
 
@@ -26,18 +26,18 @@ def one_note_per(notes: DataFrame, key: str, columns: list[str], id_column: str
 
 def cache_lookup(incoming: DataFrame, notes: DataFrame, query: str | None = None) -> DataFrame:
     """Add `cache_hit` and `note_id` by normalised url; without a url (or query, where given) there is no hit."""
-    known = one_note_per(notes.withColumn("_url", normalise_url(F.col("source_url"))), "_url", ["note_id"])
+    known = one_note_per(with_normalised_url(notes.select("note_id", "source_url"), "source_url", "_url"), "_url", ["note_id"])
     asked = F.coalesce(F.col("source_url"), F.lit("")) != ""
     if query is not None:
         asked = asked & (F.coalesce(F.col(query), F.lit("")) != "")
-    keyed = incoming.withColumn("_url", F.when(asked, normalise_url(F.col("source_url"))))
+    keyed = with_normalised_url(incoming, "source_url", "_url").withColumn("_url", F.when(asked, F.col("_url")))
     return keyed.join(known, "_url", "left").withColumn("cache_hit", F.col("note_id").isNotNull()).drop("_url")
 
 
 def skip_cache_hits(incoming: DataFrame, notes: DataFrame) -> DataFrame:
     """Backfill form: rows whose url is not in the store."""
-    keyed = incoming.withColumn("_url", normalise_url(F.col("source_url")))
-    known = notes.select(normalise_url(F.col("source_url")).alias("_url"))
+    keyed = with_normalised_url(incoming, "source_url", "_url")
+    known = with_normalised_url(notes.select("source_url"), "source_url", "_url").select("_url")
     return keyed.join(known, "_url", "left_anti").drop("_url")
 
 
@@ -259,13 +259,12 @@ def upsert_notes(existing: DataFrame, incoming: DataFrame, key: str = "source_ur
     store.  Rows without title or url are `invalid_input`; known urls are merged into their notes; new urls go through
     slug collision handling.
     """
-    url = normalise_url(F.col(key))
     valid = (F.coalesce(F.col(key), F.lit("")) != "") & (F.coalesce(F.col("title"), F.lit("")) != "")
     bad = incoming.where(~valid).select(
         F.col("item_id").cast("string").alias("item_id"), F.lit("invalid_input").alias("status"),
         F.lit("title or source_url is empty").alias("detail"))
-    good = combine_incoming(incoming.where(valid).withColumn(key, url), key)
-    old = existing.withColumn(key, F.when(F.coalesce(F.col(key), F.lit("")) != "", url))
+    good = combine_incoming(with_normalised_url(incoming.where(valid), key, key), key)
+    old = with_normalised_url(existing, key, key).withColumn(key, F.nullif(key, F.lit("")))
     fresh = good.join(old.select(key), key, "left_anti")
     statuses = resolve_collisions(
         fresh.withColumn("source_url", F.col(key)), old.select("note_id", "slug", "tags", F.col(key).alias("source_url"),

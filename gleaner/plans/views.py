@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.functions.urls import normalise_url, url_host
+from gleaner.functions.urls import with_normalised_url
 
 
 class Tables:
@@ -104,11 +104,11 @@ def _notes(t: Tables) -> DataFrame:
 
 
 def _pages(t: Tables) -> DataFrame:
-    url = F.col("url")
-    return t.pages.select(
-        "page_id", "url", "html", normalise_url(url).alias("norm"), url_host(url).alias("host"),
-        F.regexp_extract(url, "://[^/]+/([a-z]{2})/", 1).alias("profile"),
-        F.regexp_extract(url_host(url), r"[^.]+\.[a-z]+$", 0).alias("source"),
+    pages = with_normalised_url(t.pages, "url", "norm", "host")
+    return pages.select(
+        "page_id", "url", "html", "norm", "host",
+        F.regexp_extract("url", "://[^/]+/([a-z]{2})/", 1).alias("profile"),
+        F.regexp_extract("host", r"[^.]+\.[a-z]+$", 0).alias("source"),
         F.when(F.col("page_id") % 17 != 0, (1 + F.col("page_id") % 10).cast("int")).alias("score"),
     )
 

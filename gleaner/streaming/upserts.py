@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import slugify
-from gleaner.functions.urls import normalise_url
+from gleaner.functions.urls import with_normalised_url
 from gleaner.operators.store import upsert_notes
 from gleaner.streaming.carried import Step
 from gleaner.vocabulary import TAGS, TagVocabulary
@@ -51,7 +51,7 @@ def upsert_step(path: str, buckets: int = 256, vocab: TagVocabulary = TAGS) -> S
                 notes = spark.read.schema(f"{STORE}, bucket INT").parquet(notes_path)
             else:
                 notes = spark.createDataFrame([], f"{STORE}, bucket INT")
-            incoming = batch.withColumn("source_url", normalise_url(F.col("source_url")))
+            incoming = with_normalised_url(batch, "source_url", "source_url")
             touched = incoming.where(F.coalesce("source_url", F.lit("")) != "").select(
                 bucket_of(buckets, F.col("source_url")).alias("bucket")).distinct()
             near = notes.join(touched, "bucket", "left_semi")

@@ -21,7 +21,7 @@ def column(spark):
     V = F.col("v")
 
 
-def test_normalise_url(evaluate):
+def test_normalise_url(spark, evaluate):
     cases = {
         "HTTPS://Example.COM/Path/": "https://example.com/Path",
         "https://example.com:443/a": "https://example.com/a",
@@ -38,8 +38,16 @@ def test_normalise_url(evaluate):
         "https://[2001:DB8::1]:443/x": "https://2001:db8::1/x",
         "http://under_score.example.com/": "http://under_score.example.com",
         "relative/path/": "relative/path",
+        "//Host.org/p/?a": "//host.org/p?a",
+        "mailto:Someone": "mailto:Someone",
+        "https://example.com?utm_a=1&&x=1&reference=2&utm_b&ref": "https://example.com?x=1&reference=2",
+        "https://example.com/a?x=utm_y#utm_z=1": "https://example.com/a?x=utm_y#utm_z=1",
+        "https://example.com/a?#": "https://example.com/a",
+        "https://example.com:0443/a?next=https://o.org/?ref=1": "https://example.com/a?next=https://o.org/?ref=1",
     }
     assert evaluate(list(cases), ux.normalise_url(V)) == list(cases.values())
+    staged = ux.with_normalised_url(spark.createDataFrame([(c,) for c in cases], "v STRING"), "v", "n", "h")
+    assert {r.v: r.n for r in staged.collect()} == cases and staged.columns == ["v", "n", "h"]
 
 
 def test_url_hash_is_stable_over_equal_urls(evaluate):
