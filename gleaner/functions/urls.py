@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.functions.binding import computed_once
+
 # fixed values
 TRACKING_PREFIX = "utm_"
 TRACKING_KEYS = ("fbclid", "gclid", "mc_cid", "mc_eid", "ref")
@@ -145,8 +147,8 @@ def with_normalised_url(df: DataFrame, url: str, out: str, host: str | None = No
     for step in steps:
         staged = staged.withColumns({f"_u_{n}": c for n, c in step.items()})
     result = _joined(piece("scheme"), piece("authority") != "", *[piece(n) for n in ("host", "port", "path", "query", "tail")])
-    extra = [] if host is None else [piece("host").alias(host)]
-    return staged.select(*[F.col(c) for c in df.columns if c not in (out, host)], result.alias(out), *extra)
+    new = {out: result} if host is None else {out: result, host: piece("host")}
+    return computed_once(staged, [c for c in df.columns if c not in new], **new)
 
 
 def url_hash(url: Column) -> Column:
