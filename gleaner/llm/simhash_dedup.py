@@ -79,9 +79,9 @@ def with_fingerprints(docs: DataFrame, text: str, name: str) -> DataFrame:
                                               T.StructField(name, T.LongType())]))
 
 
-def forest(prints: np.ndarray) -> list[tuple[int, int]]:
-    """Links of at most three bits that connect what such links connect among the given fingerprints."""
-    left, found = prints, []
+def forest(prints: np.ndarray) -> np.ndarray:
+    """Links of at most three bits, two columns, that connect what such links connect among the fingerprints."""
+    left, found = prints.astype(np.int64).view(np.uint64), []
     while len(left) > 1:
         frontier, left = [left[0]], left[1:]
         while frontier and len(left):
@@ -89,10 +89,10 @@ def forest(prints: np.ndarray) -> list[tuple[int, int]]:
             near = np.bitwise_count(left ^ one) <= RADIUS
             if near.any():
                 reached = left[near]
-                found.extend((int(one), int(x)) for x in reached)
+                found.append(np.stack([np.full(len(reached), one), reached], axis=1))
                 frontier.extend(reached)
                 left = left[~near]
-    return found
+    return np.concatenate(found).view(np.int64) if found else np.zeros((0, 2), np.int64)
 
 
 def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
@@ -115,9 +115,9 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [x for fps in batch.column(0) for x in forest(np.array(fps.values, np.int64))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+            found = [forest(fps.values.to_numpy()) for fps in batch.column(0)]
+            both = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
 
     return buckets.mapInArrow(run, "a long, b long").distinct()
 
