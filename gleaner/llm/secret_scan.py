@@ -142,9 +142,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
         F.xxhash64(F.lit(2), whole, F.length(whole)).alias("kb"),
         *[_spans(whole, p, least, g).alias(f"k{i}") for i, (_, p, least, g) in enumerate(BASE)],
         _spans(whole, TOKEN, 20, 0).alias("tokens"))
-    tagged = F.concat(*[F.transform(f"k{i}", lambda s, i=i: F.struct(
-        s["start"].alias("start"), F.lit(i).alias("no"), s["end"].alias("end"))) for i in range(len(BASE))])
-    rows = rows.withColumn("base", F.array_sort(tagged))
+    def tagged(i: int) -> Column:
+        return F.transform(f"k{i}", lambda s: F.struct(
+            s["start"].alias("start"), F.lit(i).alias("no"), s["end"].alias("end")))
+
+    rows = rows.withColumn("base", F.array_sort(F.concat(*[tagged(i) for i in range(len(BASE))])))
     free = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
     rows = settled(rows.select("doc_id", "ka", "kb", "base", free.alias("tokens")))
     each = rows.where(F.size("tokens") > 0).select("doc_id", "ka", "kb", F.explode("tokens").alias("t")).select(
