@@ -75,11 +75,12 @@ def character_model(counts: dict[int, int]) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Character model, feature weights and prior log-odds; the token cache is per worker."""
+    """Character model, feature weights and prior log-odds; `every`: features without a weight count too."""
 
     characters: list
     weights: dict[str, float]
     prior: float
+    every: bool = False
     remembered: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     def restore(self, token: str) -> str:
@@ -122,7 +123,7 @@ class Model:
                 made = []
                 for word in _WORDS.findall(self.restore(token)):
                     made += [word, *[word[:k] + "*" for k in (4, 5, 6) if len(word) >= k]]
-                if self.weights:
+                if not self.every:
                     made = [m for m in made if m in self.weights]
                 got = known[token] = tuple(made)
             found.update(got)
@@ -166,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     rows = settled(rows.groupBy("toxic", "like").agg(F.max("text").alias("text")).select("toxic", "text"))
     size = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     clean, toxic = size.get(0, 0), size.get(1, 0)
-    blank = Model(characters, {}, 0.0)
+    blank = Model(characters, {}, 0.0, every=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
