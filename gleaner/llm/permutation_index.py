@@ -74,12 +74,12 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
     # fixed size: at most `pivots` vectors and one number come to the driver
     chosen = [r.v for r in rows.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(pivots).collect()]
     norm = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()[0] or 0.0
-    centres = np.array(chosen, np.float64).reshape(len(chosen), -1)
+    centres = np.array(chosen, np.float64) if chosen else np.zeros((0, 1))
 
     def lifted(matrix: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum(0.0, norm - np.einsum("ij,ij->i", matrix, matrix)))[:, None]
 
-    centre_lift = lifted(centres) if len(centres) else np.zeros((0, 1))
+    centre_lift = lifted(centres)
     prefix = min(prefix, max(1, len(centres)))
 
     def index(matrix: np.ndarray) -> dict[str, np.ndarray]:

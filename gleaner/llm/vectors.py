@@ -79,10 +79,13 @@ def cells(queries: DataFrame, query_tiles: int, shards: DataFrame, shard_tiles:
         .withColumnRenamed("tile", "shard")
 
     def run(key, ones: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        names = ["q_tile", "q_row", "query_id", "shard", "best"]
         if not len(ones) or not len(others):
-            return pd.DataFrame({"q_tile": [], "q_row": [], "query_id": [], "shard": [], "best": []})
+            return pd.DataFrame(columns=names)
         q, s = ones.iloc[0], others.iloc[0]
         found = search(q, s)
+        if not len(found):
+            return pd.DataFrame(columns=names)
         ids = np.frombuffer(q["ids"], "<i8")
         rows, starts = np.unique(found["q_row"].to_numpy(), return_index=True)
         ends = [*starts[1:], len(found)]
@@ -156,14 +159,13 @@ def exact_top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float =
             a, b = a.astype(np.float32), b.astype(np.float32)
         parts = []
         for at in range(0, len(a), 256):
-            product = a[at:at + 256] @ b.T
-            scores = product if product.dtype != np.int64 else product.astype(object)
-            if product.dtype == np.int64:
-                scores = product.copy()
-                scores[own[at:at + 256, None] == ids[None, :]] = np.iinfo(np.int64).min
+            scores = a[at:at + 256] @ b.T
+            own_row = own[at:at + 256, None] == ids[None, :]
+            if scores.dtype == np.int64:
+                scores[own_row] = np.iinfo(np.int64).min
                 r, c, v = _best_whole(scores, ids, k)
             else:
-                scores[own[at:at + 256, None] == ids[None, :]] = -np.inf
+                scores[own_row] = -np.inf
                 r, c, v = best_of(scores, ids, k)
             parts.append(pd.DataFrame({"q_row": r + at, "vec_id": ids[c], "score": v.astype(np.int64)}))
         return pd.concat(parts)
