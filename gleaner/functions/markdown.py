@@ -225,4 +225,4 @@ def parse_repair(body: Column) -> Column:
 
 def parse_bullets(body: Column) -> Column:
     lines = F.split(F.regexp_replace(F.coalesce(body, F.lit("")), r"\r", ""), "\n")
-    return F.transform(F.filter(lines, lambda t: t.startswith("- ")), lambda t: F.substring(t, 3, 1_000_000))
+    return F.transform(F.filter(lines, lambda t: t.startswith("- ")), lambda t: F.substr(t, F.lit(3)))

@@ -25,7 +25,7 @@ def has_prefix(tags: Column, prefix: str) -> Column:
 def first_tag(tags: Column, prefix: str) -> Column:
     """Value behind the first tag with this prefix, null without one."""
     hit = F.get(F.filter(tags, lambda t: t.startswith(prefix)), F.lit(0))
-    return F.substring(hit, len(prefix) + 1, 1_000_000)
+    return F.substr(hit, F.lit(len(prefix) + 1))
 
 
 def distinct_keep_order(values: Column) -> Column:
@@ -61,7 +61,7 @@ def is_owned(tag: Column, vocab: TagVocabulary = TAGS) -> Column:
 def rejected_profiles(*tag_lists: Column, vocab: TagVocabulary = TAGS) -> Column:
     prefix = vocab.rejected_prefix
     marks = F.filter(F.concat(*tag_lists), lambda t: t.startswith(prefix))
-    return F.array_distinct(F.transform(marks, lambda t: F.substring(t, len(prefix) + 1, 1_000_000)))
+    return F.array_distinct(F.transform(marks, lambda t: F.substr(t, F.lit(len(prefix) + 1))))
 
 
 def merge_tags(existing: Column, new: Column, vocab: TagVocabulary = TAGS) -> Column:

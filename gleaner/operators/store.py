@@ -47,9 +47,9 @@ def flag_archive_terminal(candidates: DataFrame, notes: DataFrame, vocab: TagVoc
         notes.where(has_tag(F.col("tags"), vocab.archive_terminal))
         .select(F.explode("tags").alias("t"), "tags")
         .where(F.col("t").startswith("arxiv-id:"))
-        .select(F.substring("t", 10, 1_000_000).alias("item_id"), F.explode("tags").alias("p"))
+        .select(F.substr("t", F.lit(10)).alias("item_id"), F.explode("tags").alias("p"))
         .where(F.col("p").startswith("profile:"))
-        .select("item_id", F.substring("p", 9, 1_000_000).alias("profile"))
+        .select("item_id", F.substr("p", F.lit(9)).alias("profile"))
         .distinct()
         .withColumn("_hit", F.lit(True))
     )
@@ -65,32 +65,36 @@ def apply_rejection_guard(tags: Column, vocab: TagVocabulary = TAGS) -> Column:
     return F.filter(
         tags,
         lambda t: ~(t.startswith("profile:") & F.array_contains(
-            tags, F.concat(F.lit(vocab.rejected_prefix), F.substring(t, 9, 1_000_000)))),
+            tags, F.concat(F.lit(vocab.rejected_prefix), F.substr(t, F.lit(9))))),
     )
 
 
 def combine_incoming(incoming: DataFrame, key: str = "source_url") -> DataFrame:
-    """One row per note key from the rows several profiles bring for it.
+    """One row per note key from the rows several profiles bring for it, as if written one at a time in id order.
 
-    Rows are first reduced to one per (key, profile), so the lists collected per key are no longer than the number
-    of configured profiles.
+    The title is the first row's, since later writes update the note and leave its title alone; of each profile the
+    last row's score and reason count, and the content is that of the last row.  Rows are first reduced to one per
+    (key, profile), so the lists collected per key are no longer than the number of configured profiles.
     """
+    entry = F.struct("profile", F.col("score").cast("int").alias("score"), "reason")
+    others = [c for c in incoming.columns if c not in (key, "profile", "score", "reason", "tags", "title")]
+    order = F.struct("item_id", "profile")
     per_profile = (
-        incoming.withColumn("_order", F.struct("profile", "item_id"))
+        incoming.withColumn("_e", entry).withColumn("_order", order)
         .groupBy(key, "profile")
-        .agg(F.min_by(F.struct(*[c for c in incoming.columns if c not in (key, "profile")]), "_order").alias("_r"))
-        .select(key, "profile", "_r.*")
+        .agg(F.max_by(F.struct(*others, "tags", "_e"), "_order").alias("_last"), F.max("_order").alias("_newest"),
+             F.min_by(F.struct("title", "item_id"), "_order").alias("_first"), F.min("_order").alias("_oldest"))
     )
-    entry = F.struct("profile", F.col("score").cast("int").alias("score"), "reason")
-    others = [c for c in incoming.columns if c not in (key, "profile", "score", "reason", "tags")]
+    kept = [c for c in others if c != "item_id"]
     return (
         per_profile.groupBy(key)
         .agg(
-            F.min_by(F.struct(*others), F.struct("profile", "item_id")).alias("_first"),
-            F.sort_array(F.collect_list(F.struct("profile", "item_id", "tags", entry.alias("e")))).alias("_all"),
+            F.min_by("_first", "_oldest").alias("_first"), F.max_by("_last", "_newest").alias("_last"),
+            F.sort_array(F.collect_list(F.struct(
+                "profile", F.col("_last.tags").alias("tags"), F.col("_last._e").alias("e")))).alias("_all"),
         )
         .select(
-            key, "_first.*",
+            key, "_first.item_id", "_first.title", *[F.col(f"_last.{c}").alias(c) for c in kept],
             F.array_distinct(F.flatten(F.transform("_all", lambda r: r["tags"]))).alias("tags"),
             F.transform("_all", lambda r: r["e"]).alias("relevance"),
         )
@@ -251,47 +255,112 @@ def fit_content(
     }
 
 
-def upsert_notes(existing: DataFrame, incoming: DataFrame, key: str = "source_url",
-                 vocab: TagVocabulary = TAGS) -> tuple[DataFrame, DataFrame]:
-    """(new store, write results) of one batch.
+#: what a note says, besides title, tags and url
+CONTENT = ("summary", "full_text", "tier1", "tier3", "user_notes")
+
+
+def note_body(columns: list[str]) -> Column:
+    """All content of a note as one text, from those of its content columns that a frame has."""
+    shown = [F.to_json(c) if c in ("tier1", "tier3") else F.col(c) for c in CONTENT if c in columns]
+    return F.concat_ws("\n", *[F.when(c != "{}", c) for c in shown]) if shown else F.lit("")
+
 
-    Incoming rows carry item_id, profile, title, score, reason, tags, user_notes, and any content columns of the
-    store.  Rows without title or url are `invalid_input`; known urls are merged into their notes; new urls go through
-    slug collision handling.
+def trimmed(rows: DataFrame, limit: int, exists: Column, vocab: TagVocabulary = TAGS) -> DataFrame:
+    """Apply the size ladder: the columns it drops are nulled, the repair flag is added, and `fit` says how far it went.
+
+    Rows that do not fit at all (`skipped`) come back unchanged.
+    """
+    def size(column: str) -> Column:
+        if column not in rows.columns:
+            return F.lit(0)
+        text = F.to_json(column) if column in ("tier1", "tier3") else F.col(column)
+        return F.coalesce(F.length(text), F.lit(0))
+
+    base = size("title") + size("summary") + size("tier1") + size("user_notes")
+    ladder = fit_content(base, size("full_text"), size("tier3"), exists, limit)
+    df = rows.withColumn("fit", ladder["fit"])
+    skipped = F.col("fit") == "skipped"
+    for column, keep in (("full_text", F.col("fit") == "whole"),
+                         ("tier3", F.col("fit").isin("whole", "no_full_text"))):
+        if column in rows.columns:
+            df = df.withColumn(column, F.when(keep | skipped, F.col(column)))
+    flagged = F.array_union("tags", F.array(F.lit(vocab.repair_needed)))
+    return df.withColumn("tags", F.when(F.col("fit") == "tier1_only", flagged).otherwise(F.col("tags")))
+
+
+def upsert_notes(existing: DataFrame, incoming: DataFrame, key: str = "source_url", vocab: TagVocabulary = TAGS,
+                 content_limit: int | None = None, retry_conflicts: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(new store, write results) of one batch, as if its rows were written one at a time in id order.
+
+    Incoming rows carry item_id, profile, title, score, reason, tags, user_notes, any content columns of the store, and
+    optionally expected_version.  Each gets one result (profile, item_id, status, detail).  Rows without title or url
+    are `invalid_input`.  Known urls are merged into their notes, which keep title and slug: `updated`.  New urls go
+    through slug collision handling; the first row of a url is `created` and later ones `updated`, or all of them are
+    `duplicate` or `slug_collision`.  A row that expects another version than the stored one is merged into the stored
+    one all the same, or, without `retry_conflicts`, left out as `version_conflict`.  With a `content_limit` the size
+    ladder is applied; notes that still do not fit stay as they were (`content_too_large_skipped`).
     """
+    checkpoint_dir(incoming.sparkSession)
+    named = ["profile", F.col("item_id").cast("string").alias("item_id")]
     valid = (F.coalesce(F.col(key), F.lit("")) != "") & (F.coalesce(F.col("title"), F.lit("")) != "")
-    bad = incoming.where(~valid).select(
-        F.col("item_id").cast("string").alias("item_id"), F.lit("invalid_input").alias("status"),
-        F.lit("title or source_url is empty").alias("detail"))
-    good = combine_incoming(with_normalised_url(incoming.where(valid), key, key), key)
+    results = incoming.where(~valid).select(
+        *named, F.lit("invalid_input").alias("status"), F.lit("title or source_url is empty").alias("detail"))
+    rows = with_normalised_url(incoming.where(valid), key, key)
     old = with_normalised_url(existing, key, key).withColumn(key, F.nullif(key, F.lit("")))
+    if "expected_version" in incoming.columns:
+        now = old.where(F.col(key).isNotNull()).groupBy(key).agg(F.max("version").alias("_version"))
+        rows = rows.join(now, key, "left")
+        stale = F.coalesce(F.col("expected_version") != F.col("_version"), F.lit(False))
+        if not retry_conflicts:
+            results = results.unionByName(rows.where(stale).select(
+                *named, F.lit("version_conflict").alias("status"),
+                F.concat(F.lit("stored version "), F.col("_version").cast("string")).alias("detail")))
+            rows = rows.where(~stale)
+        rows = rows.drop("expected_version", "_version")
+    good = combine_incoming(rows, key).checkpoint()
     fresh = good.join(old.select(key), key, "left_anti")
-    statuses = resolve_collisions(
-        fresh.withColumn("source_url", F.col(key)), old.select("note_id", "slug", "tags", F.col(key).alias("source_url"),
-                          F.coalesce("user_notes", F.lit("")).alias("body")))
-    resolved = fresh.drop("title").join(statuses.drop("source_url"), "item_id")
-    creates = resolved.where(F.col("status") == "created")
+    outcomes = resolve_collisions(
+        fresh.select("item_id", "title", F.col(key).alias("source_url")),
+        old.select("note_id", "slug", "tags", F.col(key).alias("source_url"), note_body(old.columns).alias("body"))
+    ).withColumnRenamed("source_url", key).drop("item_id").checkpoint()
+    creates = outcomes.where(F.col("status") == "created").select(
+        key, F.col("title").alias("_title"), F.col("slug").alias("_slug"), "reclaimed_id")
     known = good.join(old.select(key), key, "left_semi")
-    writes = known.unionByName(creates.select(*known.columns)).withColumn("confidence", F.lit(0.0)).withColumn(
-        "version", F.lit(0).cast("bigint"))
-    merged = merge_notes(old.where(F.col(key).isNotNull()), writes, key, vocab)
+    writes = known.unionByName(good.join(creates.select(key, "_title"), key).withColumn(
+        "title", F.col("_title")).select(*known.columns))
+    writes = writes.withColumn("confidence", F.lit(0.0)).withColumn("version", F.lit(0).cast("bigint"))
+    merged = merge_notes(old.join(writes.select(key), key, "left_semi"), writes, key, vocab)
     # identity, and stored columns the incoming rows know nothing of
     rest = [c for c in existing.columns if c not in merged.columns and c != "slug"]
-    kept = old.select(key, *rest).where(F.col(key).isNotNull())
-    store = (
-        merged.drop("status").join(kept, key, "left")
+    kept = old.where(F.col(key).isNotNull()).select(
+        key, *rest, F.col("slug").alias("_old_slug"), F.col("title").alias("_old_title"))
+    touched = (
+        merged.join(kept, key, "left").join(creates.select(key, "_slug"), key, "left")
         .withColumn("note_id", F.coalesce("note_id", F.substring(F.sha2(F.col(key), 256), 1, 32)))
-        .withColumn("slug", slugify(F.col("title")))
-    )
-    gone = creates.where(F.col("reclaimed_id").isNotNull()).select(F.col("reclaimed_id").alias("note_id"))
-    loose = old.where(F.col(key).isNull()).join(gone, "note_id", "left_anti")
-    store = store.unionByName(loose.select(*store.columns))
-    results = (
-        bad.unionByName(known.select(F.col("item_id").cast("string").alias("item_id"), F.lit("updated").alias("status"),
-                                     F.lit("").alias("detail")))
-        .unionByName(resolved.select(F.col("item_id").cast("string").alias("item_id"), "status", "detail"))
+        .withColumn("title", F.coalesce("_old_title", "title"))
+        .withColumn("slug", F.coalesce("_old_slug", "_slug", slugify(F.col("title")))).withColumn("fit", F.lit("whole"))
     )
-    return store, results
+    if content_limit is not None:
+        touched = trimmed(touched, content_limit, F.col("status") == "updated", vocab)
+    touched = touched.select(*existing.columns, "fit", F.col("status").alias("_status")).checkpoint()
+    written = touched.where("fit <> 'skipped'")
+    gone = creates.join(written.select(key), key, "left_semi").where(F.col("reclaimed_id").isNotNull()).select(
+        F.col("reclaimed_id").alias("note_id"))
+    store = written.select(*existing.columns).unionByName(
+        old.join(written.select(key), key, "left_anti").join(gone, "note_id", "left_anti").select(*existing.columns))
+    # what became of each url, and of each row that brought it
+    by_url = touched.select(
+        key, F.when(F.col("fit") == "skipped", "content_too_large_skipped").otherwise(F.col("_status")).alias("status"),
+        F.when(F.col("fit") != "whole", F.col("fit")).otherwise("").alias("detail")
+    ).unionByName(outcomes.where(F.col("status") != "created").select(key, "status", "detail"))
+    first = good.select(key, F.col("item_id").alias("_first"))
+    firsts = rows.join(first, key).where(F.col("item_id") == F.col("_first")).groupBy(key).agg(
+        F.min("profile").alias("_by")).join(first, key)
+    later = (F.col("item_id") != F.col("_first")) | ~F.col("profile").eqNullSafe(F.col("_by"))
+    each = rows.select(key, "profile", "item_id").join(firsts, key).join(by_url, key).select(
+        *named, F.when(later & (F.col("status") == "created"), "updated").otherwise(F.col("status")).alias("status"),
+        "detail")
+    return store, results.unionByName(each)
 
 
 def sweep_conflict_merge(pending: DataFrame, stored: DataFrame, vocab: TagVocabulary = TAGS) -> DataFrame:

@@ -271,7 +271,7 @@ def merge_relevance(t: Tables) -> DataFrame:
 @query(with_views("pages_v", body="""+
 o as (select norm, min(page_id) as page_id from pages_v where page_id % 3 = 0 group by norm), old as (select o.norm, o.page_id, p.profile from o join pages_v p on p.page_id = o.page_id),
 i as (select norm, profile, min(page_id) as page_id from pages_v where page_id % 2 = 0 group by norm, profile), j as (select *, case when page_id % 17 = 0 then null else cast(1 + page_id % 10 as int) end as score from i),
-g as (select norm, min_by(page_id, (profile, cast(page_id as varchar))) as page_id, max(coalesce(score, 0)) as best, string_agg(profile || '=' || coalesce(cast(score as varchar), '?'), '|' order by profile) as rel from j group by norm)
+g as (select norm, min_by(page_id, (cast(page_id as varchar), profile)) as page_id, max(coalesce(score, 0)) as best, string_agg(profile || '=' || coalesce(cast(score as varchar), '?'), '|' order by profile) as rel from j group by norm)
 select coalesce(old.norm, g.norm) as norm, case when g.norm is null then 'unchanged' when old.norm is null then 'created' else 'updated' end as status,
   case when g.norm is null then old.page_id else g.page_id end as title_page, case when g.norm is null then 3 else case when old.norm is null then 1 else 4 end end as version,
   case when g.norm is null then 'old=4' when old.norm is null then g.rel else g.rel || '|old=4' end as relevance,
@@ -557,7 +557,7 @@ def _structured(t: Tables) -> DataFrame:
     title = F.trim(F.regexp_replace(F.substring(F.substring_index("text", "\n", 1), 1, 60), "[^A-Za-z0-9 ]", ""))
     claim = F.regexp_replace(F.substring("text", 1, 80), r"[^A-Za-z0-9 .,]", "")
     even = F.col("doc_id") % 2 == 0
-    return t.spread(t.documents).select(
+    return t.documents.select(
         "doc_id", title.alias("title"), F.concat(F.lit("HTTPS://Example.COM/d/"), F.col("doc_id").cast("string"), F.lit("/?utm_x=1")).alias("source_url"),
         F.when(F.col("doc_id") % 4 == 0, tg.no_tags()).otherwise(F.array(F.concat(F.lit("profile:"), "lang"), F.lit(TAGS.ingested_by))).alias("tags"),
         ((F.col("n_chars") % 11) / 10).alias("confidence"),

@@ -16,11 +16,6 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def spread(self, df: DataFrame) -> DataFrame:
-        """Use all cores where a table has fewer input splits than there are; a large table stays as it is."""
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)

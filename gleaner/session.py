@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,11 +41,14 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables.
+    """The shared folder for checkpoints and intermediate tables, from `spark.checkpoint.dir`.
 
-    Comes from the session; a temporary folder is used only where nothing is set, as in local tests.
+    Only a local session may do without: it gets a temporary folder.  On a cluster the executors would not see it.
     """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return sc.getCheckpointDir()

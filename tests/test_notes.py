@@ -167,7 +167,7 @@ def test_upsert(spark):
     assert got["https://e.com/g"].title == "Fresh [e.com]" and got["https://e.com/f"].title == "Fresh"
     assert "" not in got and None not in got and len(got) == 6
     status = {r.item_id: r.status for r in results.collect()}
-    assert status == {"1": "updated", "3": "created", "4": "created", "5": "invalid_input", "6": "created", "7": "created"}
+    assert status == {"1": "updated", "2": "updated", "3": "created", "4": "created", "5": "invalid_input", "6": "created", "7": "created"}
 
 
 def test_upsert_keeps_content_columns(spark):
@@ -313,3 +313,65 @@ def test_references(spark):
         ("2601.00002v2", "versioned"), ("2601.99999", "unknown")}
     newer = edges.withColumn("evidence", F.struct(F.lit("k").alias("kind"), F.lit(0.5).alias("score")))
     assert [r.evidence.score for r in graph.upsert_edges(edges, newer).collect()] == [0.5]
+
+
+# ---- upserts lose nothing -----------------------------------------------------------------------------------------
+
+def stored_notes(spark, *rows):
+    names = [f.name for f in spark.createDataFrame([], NOTES).schema]
+    blank = dict.fromkeys(names)
+    return spark.createDataFrame([tuple({**blank, **r}[n] for n in names) for r in rows], NOTES)
+
+
+def test_upsert_keeps_notes_that_say_something(spark):
+    existing = stored_notes(spark, note("hold", "", tags=[], full_text="a text"), note("hull", "", tags=[], tier3=(["c"], [], [], [], [])),
+                            note("void", "", tags=[]))
+    new = incoming_rows(spark, [("p", str(i), t, f"https://e{i}.com/x", 7) for i, t in enumerate(["hold", "hull", "void"])])
+    notes, results = store.upsert_notes(existing, new)
+    got = {r.note_id: r.title for r in notes.collect()}
+    assert got["n-hold"] == "hold" and got["n-hull"] == "hull" and "n-void" not in got and len(got) == 5
+    assert {r.title for r in notes.where("source_url <> ''").collect()} == {"hold [e0.com]", "hull [e1.com]", "void"}
+    assert {r.status for r in results.collect()} == {"created"}
+
+
+def test_upsert_keeps_title_and_slug_of_stored_notes(spark):
+    existing = stored_notes(spark, note("Same", "https://a.com/1"), note("Same [b.com]", "https://b.com/1", slug="same-b-com"))
+    notes = store.upsert_notes(existing, incoming_rows(spark, [("p", "1", "Same", "https://b.com/1", 7)]))[0].collect()
+    assert sorted((r.title, r.slug) for r in notes) == [("Same", "same"), ("Same [b.com]", "same-b-com")]
+
+
+def test_last_row_of_a_profile_wins_and_each_row_has_a_status(spark):
+    new = incoming_rows(spark, [("p", "1", "First", "https://e.com/a", 3), ("p", "2", "Second", "https://e.com/a", 9),
+                                ("q", "3", "Third", "https://e.com/a", 5)]).withColumn("summary", F.concat(F.lit("s"), "item_id"))
+    notes, results = store.upsert_notes(stored_notes(spark), new)
+    r = notes.first()
+    assert (r.title, r.summary, {(e.profile, e.score) for e in r.relevance}) == ("First", "s3", {("p", 9), ("q", 5)})
+    assert sorted((x.item_id, x.profile, x.status) for x in results.collect()) == [
+        ("1", "p", "created"), ("2", "p", "updated"), ("3", "q", "updated")]
+
+
+def test_stale_versions(spark):
+    existing = stored_notes(spark, note("A", "https://e.com/a", version=4), note("B", "https://e.com/b", version=4))
+    new = incoming_rows(spark, [("p", "1", "A", "https://e.com/a", 7), ("p", "2", "B", "https://e.com/b", 7)]).withColumn(
+        "expected_version", F.when(F.col("item_id") == "1", 3).otherwise(4))
+    notes, results = store.upsert_notes(existing, new, retry_conflicts=False)
+    assert {r.item_id: r.status for r in results.collect()} == {"1": "version_conflict", "2": "updated"}
+    assert {r.title: r.version for r in notes.collect()} == {"A": 4, "B": 5}
+    notes, results = store.upsert_notes(existing, new)
+    assert {r.status for r in results.collect()} == {"updated"} and {r.version for r in notes.collect()} == {5}
+
+
+def test_upsert_applies_the_size_ladder(spark):
+    deep = (["c" * 100], [], [], [], [])
+    existing = stored_notes(spark, note("A", "https://e.com/a"), note("B", "https://e.com/b", summary="old"))
+    rows = [("p", "1", "A", "https://e.com/a", 7), ("p", "2", "B", "https://e.com/b", 7), ("p", "3", "C", "https://e.com/c", 7),
+            ("p", "4", "D", "https://e.com/d", 7), ("p", "5", "E", "https://e.com/e", 7)]
+    said = spark.createDataFrame([("1", "s", "f" * 50, deep), ("2", "s" * 500, None, None), ("3", "s", "f" * 300, None), ("4", "s", None, None),
+                                  ("5", "s", None, (["c" * 400], [], [], [], []))], f"item_id STRING, summary STRING, full_text STRING, tier3 {TIER3}")
+    notes, results = store.upsert_notes(existing, incoming_rows(spark, rows).join(said, "item_id"), content_limit=150)
+    got = {r.title: r for r in notes.collect()}
+    assert got["A"].full_text is None and got["A"].tier3 is None and TAGS.repair_needed in got["A"].tags
+    assert (got["B"].summary, got["B"].version) == ("old", 1)
+    assert got["C"].full_text is None and got["D"].version == 1 and "E" not in got
+    assert {r.item_id: r.status for r in results.collect()} == {
+        "1": "updated", "2": "content_too_large_skipped", "3": "created", "4": "created", "5": "content_too_large_skipped"}
