@@ -13,7 +13,7 @@ from gleaner.functions.tags import first_tag, has_prefix, has_tag, max_profile_s
 from gleaner.functions.text import one_line, year_month_from_path
 from gleaner.operators.cascade import threshold
 from gleaner.operators.ordered import running
-from gleaner.operators.store import apply_rejection_guard
+from gleaner.operators.store import apply_rejection_guard, trimmed
 from gleaner.schemas import REPAIR
 from gleaner.session import checkpoint_dir
 from gleaner.vocabulary import (
@@ -150,11 +150,12 @@ def repair_sweep(
     gives the same outcomes by name:
     archive_download (path, failure_stage, error), text_extraction (text_tag), re_extract (outcome, text_tag),
     tier2_enrich (full_text, failure_stage, error), tier3_extract (tier3, failure_stage, error).
-    Every visited note gets a new version, unless it is still too large without its deep sections.
+    With a `content_limit` the size ladder is applied to what the stages gave.  Every visited note gets a new version,
+    unless it is still too large without its deep sections.
     """
     original = F.col("_original")
     score = F.col("_score")
-    df = notes.withColumn("_original", F.col("tags")).withColumn("_score", max_profile_score(F.col("relevance")))
+    df = notes.withColumn("_before", F.struct(*notes.columns)).withColumn("_original", F.col("tags")).withColumn("_score", max_profile_score(F.col("relevance")))
     first = select_stages(original, F.col("archive_path"), F.lit(False), score, vocab=vocab)
     for name, cond in first.items():
         df = df.withColumn(f"_{name}", cond)
@@ -207,12 +208,9 @@ def repair_sweep(
     df = df.withColumn("tags", apply_rejection_guard(merge_tags(original, F.col("_new"), vocab), vocab))
     df = df.withColumn("swept", F.lit(True))
     if content_limit is not None:
-        base = sum((F.coalesce(F.length(c), F.lit(0)) for c in ("title", "summary", "user_notes")), F.lit(0))
-        df = df.withColumn("swept", base <= content_limit)
+        df = trimmed(df, content_limit, F.lit(True), vocab).withColumn("swept", F.col("fit") != "skipped").drop("fit")
     when = F.current_timestamp() if now is None else now
-    touched = (
-        df.withColumn("version", F.when(F.col("swept"), F.col("version") + 1).otherwise(F.col("version")))
-        .withColumn("tags", F.when(F.col("swept"), F.col("tags")).otherwise(original))
-        .withColumn("updated_at", F.when(F.col("swept"), when).otherwise(F.col("updated_at")))
-    )
-    return touched.select(*notes.columns, "swept")
+    touched = df.withColumn("version", F.col("version") + 1).withColumn("updated_at", when)
+    # a note that does not fit even without its deep sections stays as it was, in every column
+    return touched.select(
+        *[F.when(F.col("swept"), F.col(c)).otherwise(F.col("_before")[c]).alias(c) for c in notes.columns], "swept")

@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from gleaner.functions.payloads import parse_scores
 from gleaner.operators.ordered import numbered
 from gleaner.schemas import SCORES
+from gleaner.session import checkpoint_dir
 from gleaner.vocabulary import SCORE_BATCH
 
 Scorer = Callable[[pd.DataFrame], pd.DataFrame]
@@ -105,17 +106,21 @@ def relevance_gate(scored: DataFrame, threshold: int | str = 7) -> DataFrame:
 
 def score_candidates(
     candidates: DataFrame, scorer: Scorer | None, size: int = SCORE_BATCH, retries: int = 1,
-    keys: Sequence[str] = ("profile", "source"), order: str = "item_id",
+    keys: Sequence[str] = ("profile", "source"), order: str = "item_id", prompts: DataFrame | None = None,
 ) -> DataFrame:
     """Score batches with a pluggable function of one batch (pandas in: candidates, pandas out: item_id, score, ...).
 
+    With `prompts` (profile, prompt), each row of a batch carries its profile's prompt as column `prompt`.
+
     Rows of a batch are brought together by (keys, batch_id), so a hot source spreads over many tasks.  A batch whose
     scorer keeps failing, or returns an invalid row, poisons its (profile, source).  Without a scorer nothing passes.
-    Persist the result before branching: a scorer need not be deterministic.
+    What the scorer answers is checkpointed before anything branches on it, so each batch is scored once.
     """
     if scorer is None:
         return candidates.sparkSession.createDataFrame([], SCORES)
     batched = score_batches(candidates, keys, order, size)
+    if prompts is not None:
+        batched = batched.join(prompts.select("profile", "prompt"), "profile", "left")
     group = [*keys, "batch_id"]
     fields = "item_id STRING, score DOUBLE, confidence DOUBLE, reason STRING, filter_tags ARRAY<STRING>, pos INT"
     types = dict(batched.dtypes)
@@ -137,7 +142,8 @@ def score_candidates(
             out[name] = value
         return out.reindex(columns=[*group, "ok", *names])
 
-    raw = batched.groupBy(*group).applyInPandas(run_batch, schema)
+    checkpoint_dir(candidates.sparkSession)
+    raw = batched.groupBy(*group).applyInPandas(run_batch, schema).checkpoint()
     in_batch = raw.join(batched.select(*group, "item_id"), [*group, "item_id"], "left_semi")
     problem = score_problem(F.col("item_id"), F.col("score"), F.col("reason"))
     status = raw.groupBy(*group).agg(

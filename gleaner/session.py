@@ -52,3 +52,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return sc.getCheckpointDir()
+
+
+def folders(spark: SparkSession, path: str, prefix: str = "batch=") -> list[int]:
+    """Numbers of the subfolders `prefix`N of a folder, in order; none if it is not there."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions.markdown import render_note
 from gleaner.functions.tags import archive_problem
 from gleaner.functions.text import archive_path
 from gleaner.operators.graph import upsert_edges
-from gleaner.session import checkpoint_dir
+from gleaner.session import checkpoint_dir, drop_folder
 from gleaner.vocabulary import TAGS, TagVocabulary
 
 LAYOUT = ("kind", "source", "year", "month")
@@ -26,11 +26,38 @@ def with_layout(notes: DataFrame, published: str = "published") -> DataFrame:
 
 
 def write_notes(notes: DataFrame, path: str) -> None:
-    """Replace exactly the partitions that the rows belong to."""
-    (
-        with_layout(notes).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*LAYOUT).parquet(path)
-    )
+    """Put the rows in place of the stored notes of the same id; all other notes of their months stay.
+
+    The months the rows belong to, and those that hold an older row of one of their ids, are rewritten from a copy laid
+    aside in the shared checkpoint folder.
+    """
+    spark = notes.sparkSession
+    rows = with_layout(notes)
+    if _exists(spark, path):
+        names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+        stored = spark.read.schema(names).parquet(path)
+        months = rows.select(*LAYOUT).unionByName(
+            stored.join(rows.select("note_id"), "note_id", "left_semi").select(*LAYOUT)).distinct()
+        kept = stored.join(months, list(LAYOUT), "left_semi").join(rows.select("note_id"), "note_id", "left_anti")
+        rows = rows.unionByName(kept)
+        left = months.join(rows.select(*LAYOUT), list(LAYOUT), "left_anti").collect()  # months: a handful of rows
+        rows = aside(rows, path)
+        for month in left:
+            drop_folder(spark, "/".join([path, *[f"{c}={month[c]}" for c in LAYOUT]]))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root)
+
+
+def aside(df: DataFrame, path: str) -> DataFrame:
+    """The rows written to the shared checkpoint folder and read back, so that `path` may be replaced."""
+    spark = df.sparkSession
+    place = f"{checkpoint_dir(spark).rstrip('/')}/aside-{spark.sparkContext.applicationId}-{abs(hash(path))}"
+    df.write.mode("overwrite").parquet(place)
+    return spark.read.schema(df.schema).parquet(place)
 
 
 def rendered(notes: DataFrame, vocab: TagVocabulary = TAGS) -> tuple[DataFrame, DataFrame]:
@@ -77,10 +104,7 @@ def append_collisions(results: DataFrame, path: str) -> None:
 
 def replace_table(df: DataFrame, path: str) -> None:
     """Overwrite a table that `df` itself reads: the new rows are written aside first."""
-    spark = df.sparkSession
-    aside = f"{checkpoint_dir(spark).rstrip('/')}/aside-{spark.sparkContext.applicationId}-{abs(hash(path))}"
-    df.write.mode("overwrite").parquet(aside)
-    spark.read.schema(df.schema).parquet(aside).write.mode("overwrite").parquet(path)
+    aside(df, path).write.mode("overwrite").parquet(path)
 
 
 def write_edges(existing: DataFrame, new: DataFrame, path: str) -> None:

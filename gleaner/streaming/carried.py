@@ -19,6 +19,7 @@ from gleaner.operators.ledger import cadence, stall_flags
 from gleaner.operators.ordered import streaks
 from gleaner.operators.repair import attempts_and_cap, classify_failure
 from gleaner.operators.reports import rejection_rates
+from gleaner.session import drop_folder, folders
 from gleaner.vocabulary import ATTEMPT_CAP, LEDGER_WINDOW
 
 Step = Callable[[DataFrame, int], None]
@@ -31,13 +32,22 @@ class Carried:
         self.root = root.rstrip("/")
 
     def load(self, name: str, like: DataFrame, batch_id: int) -> DataFrame:
-        """State the batch before left under this name; none for the first batch."""
-        if batch_id == 0:
+        """State the last batch that wrote one left under this name; none for the first batch.
+
+        A batch may have been held back by a gate, so that is not always the batch before.
+        """
+        earlier = [n for n in folders(like.sparkSession, f"{self.root}/{name}") if n < batch_id]
+        if not earlier:
             return like.limit(0)
-        return like.sparkSession.read.schema(like.schema).parquet(f"{self.root}/{name}/batch={batch_id - 1}")
+        return like.sparkSession.read.schema(like.schema).parquet(f"{self.root}/{name}/batch={earlier[-1]}")
 
     def save(self, name: str, df: DataFrame, batch_id: int) -> None:
+        """Write the state of this batch and drop those older than the one it was made from."""
+        spark = df.sparkSession
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch_id}")
+        earlier = [n for n in folders(spark, f"{self.root}/{name}") if n < batch_id]
+        for n in earlier[:-1]:
+            drop_folder(spark, f"{self.root}/{name}/batch={n}")
 
     def emit(self, df: DataFrame, batch_id: int) -> DataFrame:
         """Write the batch's output and give it back as written, so nothing is computed twice."""

@@ -5,52 +5,47 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import slugify
 from gleaner.functions.urls import with_normalised_url
 from gleaner.operators.store import upsert_notes
+from gleaner.schemas import NOTES
+from gleaner.session import folders
 from gleaner.streaming.carried import Step
 from gleaner.vocabulary import TAGS, TagVocabulary
 
-STORE = (
-    "source_url STRING, title STRING, tags ARRAY<STRING>, "
-    "relevance ARRAY<STRUCT<profile: STRING, score: INT, reason: STRING>>, confidence DOUBLE, user_notes STRING, "
-    "version BIGINT, note_id STRING, slug STRING"
-)
+#: the streamed store holds whole notes
+STORE = NOTES
 
 
 def bucket_of(buckets: int, key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def upsert_step(path: str, buckets: int = 256, vocab: TagVocabulary = TAGS) -> Step:
-    """Merge each micro-batch of incoming rows into the note table under `path`.
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """The streamed note table with its bucket column; empty before the first batch."""
+    if not folders(spark, f"{path}/notes", "bucket="):
+        return spark.createDataFrame([], f"{STORE}, bucket INT")
+    return spark.read.schema(f"{STORE}, bucket INT").parquet(f"{path}/notes").where("note_id IS NOT NULL")
 
-    The table is partitioned by a hash of the url.  A batch reads and rewrites only the buckets its urls fall into,
-    plus the notes of other buckets that hold one of its slugs.  The merged rows are staged under the batch id before
-    the table changes: a batch that runs again after a failure puts the same staged rows in place, so it is applied
-    exactly once.
-    """
-    notes_path, staged_path, done_path = f"{path}/notes", f"{path}/staged", f"{path}/done"
 
-    def exists(spark, folder: str) -> bool:
-        try:
-            spark.read.parquet(folder)
-            return True
-        except AnalysisException:
-            return False
+def upsert_step(path: str, buckets: int = 256, vocab: TagVocabulary = TAGS, content_limit: int | None = None) -> Step:
+    """Merge each micro-batch of incoming rows into the note table under `path`; `read_store` reads it.
+
+    The table is partitioned by a hash of the url.  A batch reads and rewrites the buckets its urls fall into and those
+    of notes it reclaims.  Every rewritten bucket gets one row without an id, so that a bucket that ends up empty is
+    replaced too.  The rows are staged under the batch id before the table changes: a batch that runs again after a
+    failure puts the same staged rows in place, so it is applied exactly once.
+    """
+    staged_path, done_path = f"{path}/staged", f"{path}/done"
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         staged = f"{staged_path}/batch={batch_id}"
-        if not exists(spark, f"{done_path}/batch={batch_id}"):
-            if exists(spark, notes_path):
-                notes = spark.read.schema(f"{STORE}, bucket INT").parquet(notes_path)
-            else:
-                notes = spark.createDataFrame([], f"{STORE}, bucket INT")
+        if batch_id not in folders(spark, done_path):
+            notes = read_store(spark, path)
             incoming = with_normalised_url(batch, "source_url", "source_url")
             touched = incoming.where(F.coalesce("source_url", F.lit("")) != "").select(
                 bucket_of(buckets, F.col("source_url")).alias("bucket")).distinct()
@@ -58,31 +53,56 @@ def upsert_step(path: str, buckets: int = 256, vocab: TagVocabulary = TAGS) -> S
             slugs = incoming.select(slugify(F.col("title")).alias("slug")).distinct()
             # squatters elsewhere: they matter for collisions but are not merged with anything
             far = notes.join(touched, "bucket", "left_anti").join(slugs, "slug", "left_semi")
-            known = near.unionByName(far).drop("bucket")
-            merged, results = upsert_notes(known, incoming, vocab=vocab)
+            known = near.unionByName(far)
+            merged, results = upsert_notes(known.drop("bucket"), incoming, vocab=vocab, content_limit=content_limit)
+            merged = merged.checkpoint()
+            gone = known.select("note_id", "bucket").join(merged.select("note_id"), "note_id", "left_anti")
+            left = gone.select("bucket").distinct().join(touched, "bucket", "left_anti")
             # notes without a url are placed by their id
             place = bucket_of(buckets, F.coalesce(F.nullif("source_url", F.lit("")), "note_id"))
-            merged = merged.withColumn("bucket", place).join(touched, "bucket", "left_semi")
-            merged.write.mode("overwrite").parquet(staged)
+            rows = merged.withColumn("bucket", place).join(touched, "bucket", "left_semi").unionByName(
+                notes.join(left, "bucket", "left_semi").join(gone.select("note_id"), "note_id", "left_anti"))
+            rows = rows.unionByName(touched.unionByName(left), allowMissingColumns=True)
+            rows.write.mode("overwrite").parquet(staged)
             results.write.mode("overwrite").parquet(f"{path}/results/batch={batch_id}")
             spark.range(1).write.mode("overwrite").parquet(f"{done_path}/batch={batch_id}")
         rows = spark.read.schema(f"{STORE}, bucket INT").parquet(staged)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(notes_path)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(
+            f"{path}/notes")
 
     return step
 
 
-def gated(step: Step, is_open: Callable[[], bool], runs_path: str, profile: str, kind: str = "scheduled") -> Step:
-    """Skip a micro-batch while the breaker is open and record a skipped run instead."""
+def gated(step: Step, is_open: Callable[[], bool], runs_path: str, profile: str, held_path: str,
+          kind: str = "scheduled") -> Step:
+    """While the breaker is open, hold a micro-batch back and record a skipped run; the next batch that gets through
+    takes the rows held so far along, before its own.
+
+    Held rows and what was taken are kept under `held_path` by batch id, so a batch that runs again does the same.
+    """
     def maybe(batch: DataFrame, batch_id: int) -> None:
-        if not is_open():
-            return step(batch, batch_id)
-        now = datetime.now(timezone.utc).isoformat()
-        row = [(f"skip-{batch_id}", profile, kind, "skipped", now, now, "circuit breaker open")]
-        batch.sparkSession.createDataFrame(
-            row, "run_id STRING, profile STRING, kind STRING, status STRING, started_at STRING, completed_at STRING, "
-                 "error STRING",
-        ).write.mode("append").json(runs_path)
-        return None
+        spark = batch.sparkSession
+        rows_path, taken_path = f"{held_path}/rows", f"{held_path}/taken"
+        taken = {n: [r.held for r in spark.read.parquet(f"{taken_path}/batch={n}").collect()]
+                 for n in folders(spark, taken_path)}
+        if batch_id not in taken and is_open():
+            now = datetime.now(timezone.utc).isoformat()
+            row = [(f"skip-{batch_id}", profile, kind, "skipped", now, now, "circuit breaker open")]
+            if batch_id not in folders(spark, rows_path):
+                spark.createDataFrame(
+                    row, "run_id STRING, profile STRING, kind STRING, status STRING, started_at STRING, "
+                         "completed_at STRING, error STRING").write.mode("append").json(runs_path)
+            batch.write.mode("overwrite").parquet(f"{rows_path}/batch={batch_id}")
+            return
+        if batch_id not in taken:
+            before = {n for ns in taken.values() for n in ns}
+            mine = [n for n in folders(spark, rows_path) if n < batch_id and n not in before]
+            spark.createDataFrame([(n,) for n in mine], "held LONG").write.mode("overwrite").parquet(
+                f"{taken_path}/batch={batch_id}")
+            taken[batch_id] = mine
+        for n in sorted(taken[batch_id]):
+            held = spark.read.schema(batch.schema).parquet(f"{rows_path}/batch={n}")
+            batch = held.unionByName(batch)
+        step(batch, batch_id)
 
     return maybe

@@ -108,6 +108,11 @@ def test_note_sinks(spark, tmp_path):
     writers.write_notes(notes.where("note_id = 'a1'").withColumn("version", F.lit(9).cast("bigint")), str(tmp_path / "notes"))
     back = {(r.kind, r.source, r.year, r.month): r.version for r in spark.read.parquet(str(tmp_path / "notes")).collect()}
     assert back == {("papers", "arxiv", 2026, 1): 1, ("articles", "blog", 2026, 1): 9}
+    # other notes of the month stay, and a note that changes its month leaves the old one
+    one = notes.where("note_id = 'a1'")
+    writers.write_notes(one.withColumn("note_id", F.lit("a2")), str(tmp_path / "notes"))
+    writers.write_notes(one.withColumn("published", F.add_months("published", 1).cast("timestamp")), str(tmp_path / "notes"))
+    assert {(r.note_id, r.month) for r in spark.read.parquet(str(tmp_path / "notes")).where("source = 'blog'").collect()} == {("a1", 2), ("a2", 1)}
     refused = writers.render_notes(notes, str(tmp_path / "text"))
     assert [r.problem for r in refused.collect()] == ["missing_ingested_by"]
     texts = spark.read.json(str(tmp_path / "text")).select(F.col("slug").alias("file"), "text")
@@ -257,14 +262,51 @@ def test_upsert_stream_is_applied_once(spark, tmp_path):
     second = arrive(spark, ("q", "3", "One", "https://e.com/1"), ("p", "4", "Two", "https://f.org/4"))
     step(second, 1)
     step(second, 1)
-    got = {r.source_url: r for r in spark.read.parquet(str(tmp_path / "notes")).collect()}
+    got = {r.source_url: r for r in upserts.read_store(spark, str(tmp_path)).collect()}
     assert got["https://e.com/1"].version == 2 and {e.profile for e in got["https://e.com/1"].relevance} == {"p", "q"}
     assert got["https://f.org/4"].title == "Two [f.org]" and got["https://e.com/2"].version == 1 and len(got) == 3
-    done = []
-    gate = upserts.gated(lambda b, i: done.append(i), lambda: len(done) == 1, str(tmp_path / "runs"), "p")
-    gate(second, 0)
-    gate(second, 1)
-    assert done == [0] and files.read_runs(spark, str(tmp_path / "runs")).first().status == "skipped"
+
+
+def test_streamed_store_keeps_content_and_drops_reclaimed_notes(spark, tmp_path):
+    """Several batches give what one batch upsert gives, with whole notes, also where a bucket ends up empty."""
+    blank = dict.fromkeys(f.name for f in spark.createDataFrame([], NOTES).schema)
+    stored = [{"note_id": f"r{i}", "title": "Residue", "slug": "residue", "source_url": "", "tags": [], "version": 1} for i in range(2)]
+    stored.append({"note_id": "k", "title": "Kept", "slug": "kept", "source_url": "", "tags": [], "full_text": "says", "version": 1})
+    rows = spark.createDataFrame([tuple({**blank, **r}.values()) for r in stored], NOTES)
+    place = upserts.bucket_of(64, F.coalesce(F.nullif("source_url", F.lit("")), "note_id"))
+    rows.withColumn("bucket", place).write.partitionBy("bucket").parquet(str(tmp_path / "notes"))
+    batches = [arrive(spark, ("p", "1", "Residue", "https://e.com/1"), ("p", "2", "Kept", "https://e.com/2")),
+               arrive(spark, ("q", "3", "Residue", "https://e.com/1")), arrive(spark, ("p", "4", "New", "https://e.com/4"))]
+    step = upserts.upsert_step(str(tmp_path), buckets=64)
+    for i, batch in enumerate(batches):
+        step(batch.withColumn("full_text", F.concat(F.lit("text "), "item_id")).withColumn("summary", F.lit("s")), i)
+    got = {r.note_id: r for r in upserts.read_store(spark, str(tmp_path)).collect()}
+    assert "r0" not in got and got["k"].full_text == "says" and len(got) == 5
+    by_url = {r.source_url: (r.title, r.slug, r.full_text, r.summary, r.version) for r in got.values() if r.source_url}
+    assert by_url == {"https://e.com/1": ("Residue", "residue", "text 3", "s", 2),
+                      "https://e.com/2": ("Kept [e.com]", "kept-e-com", "text 2", "s", 1),
+                      "https://e.com/4": ("New", "new", "text 4", "s", 1)}
+
+
+def test_gated_batches_are_replayed(spark, tmp_path):
+    seen, is_open = [], []
+
+    def step(batch, batch_id):
+        seen.append((batch_id, sorted(r.item_id for r in batch.collect())))
+
+    gate = upserts.gated(step, lambda: bool(is_open), str(tmp_path / "runs"), "p", str(tmp_path / "held"))
+    rows = [arrive(spark, ("p", str(i), "T", f"https://e.com/{i}")) for i in range(5)]
+    gate(rows[0], 0)
+    is_open.append(1)
+    gate(rows[1], 1)
+    gate(rows[2], 2)
+    is_open.clear()
+    gate(rows[3], 3)
+    gate(rows[3], 3)
+    gate(rows[4], 4)
+    assert seen == [(0, ["0"]), (3, ["1", "2", "3"]), (3, ["1", "2", "3"]), (4, ["4"])]
+    runs = files.read_runs(spark, str(tmp_path / "runs")).collect()
+    assert [r.status for r in runs] == ["skipped"] * 2
 
 
 # ---- a whole run --------------------------------------------------------------------------------------------------
@@ -316,6 +358,55 @@ def test_whole_run(spark):
         run_plan.RunPlan("backfill")
 
 
+def test_run_leaves_ledger_notices_and_edges(spark):
+    profiles = feeds.profiles_table(spark, [{"profile": "p"}, {"profile": "q"}, {"profile": "idle"}])
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting(rows_in):
+        seen.add(1)
+        assert rows_in.prompt.iloc[0].startswith("about")
+        return scorer(rows_in)
+
+    def shared(spark, plan):
+        rows = provider(spark, plan).where("profile = 'p' and item_id in ('2601.00000', '2601.00005')")
+        short = "<article><p>" + "word " * 140 + "</p></article>"
+        post = provider(spark, plan).where("item_id = 'h'").withColumn("html", F.lit(short))
+        # q brings the paper that p drops
+        return rows.unionByName(post).unionByName(rows.where("item_id = '2601.00000'").withColumn("profile", F.lit("q")))
+
+    def judge(rows_in):
+        out = counting(rows_in)
+        out.loc[rows_in.profile == "q", "score"] = 9.0
+        return out
+
+    earlier = spark.createDataFrame(
+        [(f"{p}{i}", p, "scheduled", "completed", f"2026-01-0{i}T00:00:00+00:00", 5, 0) for p in ("p", "idle") for i in (1, 2)],
+        "run_id STRING, profile STRING, kind STRING, status STRING, completed_at STRING, sources_checked INT, ingested INT")
+    errors = spark.createDataFrame([("q", "rss", "timeout", "slow")], "profile STRING, source STRING, kind STRING, detail STRING")
+    sinks = spark.createDataFrame([("d", "digest", "digest", True, ["scheduled"], None)],
+                                  "name STRING, type STRING, event_mode STRING, enabled BOOLEAN, notify_on ARRAY<STRING>, min_score INT")
+    past = run_plan.Past(earlier, None, "about {profile_description}", errors, sinks)
+    plan = run_plan.RunPlan(now=datetime(2026, 1, 3, tzinfo=timezone.utc))
+    existing = notes_frame(spark, []).drop("published", "source_tag")
+    result = run_plan.run(spark, plan, profiles, existing, run_plan.Plugs(shared, judge), past=past,
+                          finished=datetime(2026, 1, 3, 0, 1, tzinfo=timezone.utc))
+    runs = {r.profile: r for r in result.runs.collect()}
+    assert seen.value == 3  # one call per batch: p and q papers, q's post
+    assert (runs["p"].ingested, runs["p"].outcome, runs["p"].duration_seconds) == (1, "success", 60.0)
+    assert runs["q"].degraded_reasons == ["source_acquisition"] and runs["q"].degraded
+    assert runs["idle"].outcome == "success" and runs["idle"].completed_at.startswith("2026-01-03T00:01")
+    assert {(r.profile, r.source, r.filter_drop, r.created) for r in result.funnel.collect()} == {
+        ("p", "arxiv", 1, 1), ("q", "arxiv", 0, 1), ("q", "rss", 0, 1)}
+    assert {(r.profile, r.sink) for r in result.notices.collect()} == {("p", "d"), ("q", "d"), ("idle", "d")}
+    assert result.edges.count() == 0
+    notes = {r.source_url: r for r in result.notes.collect()}
+    assert "word word" in notes["https://b.org/post"].full_text  # 700 characters are enough for an article
+    # a paper without a page gets its text from the plugged extractor
+    pdf = run_plan.run(spark, plan, profiles, existing, run_plan.Plugs(
+        provider, scorer, tier2=lambda rows_in: rows_in.item_id.map(lambda _: "from the document")))
+    assert pdf.notes.where("source_url = 'https://arxiv.org/abs/2601.00004'").first().full_text == "from the document"
+
+
 def test_prompts(spark):
     profiles = feeds.profiles_table(spark, [{"profile": "p", "description": "D"}, {"profile": "q"}])
     rejected = spark.createDataFrame([("p", "Bad one", 1), ("p", "Newer", 2)], "profile STRING, title STRING, pos INT")
