@@ -2,8 +2,8 @@
 
 Look-alike characters, letters set apart and drawn-out letters are undone: the characters of a suspicious token span a
 lattice of what they may stand for, and the path most likely under a trigram model of the corpus's characters is the
-restored token.  The trigram counts come from all texts.  Words and word beginnings that toxic labelled documents share
-then score the restored text.
+restored token.  The trigram counts come from all texts.  Words, word beginnings, and beginnings that several
+different words share, as far as toxic labelled documents have them more often, then score the restored text.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,6 +29,8 @@ LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
               "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "*": "aeiou", "#": "aeiou"}
 #: Log-probabilities of the channel: a look-alike instead of its letter, and a character that stands for nothing.
 ALIKE, EMPTY = math.log(0.5), math.log(0.3)
+#: Letters of the beginnings that are features, and how many different words must share one for a feature of its own.
+BEGINNINGS, SHARED = (4, 5, 6), (1, 2, 4)
 #: Codes of characters: letters a to z, one for all other letters, and 0 for what is none.
 CODES = 28
 #: Tokens remembered per worker.
@@ -75,13 +77,20 @@ def character_model(counts: dict[int, int]) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Character model, feature weights and prior log-odds; `every`: features without a weight count too."""
+    """Character model, evidence of features by strength, weights of the strongest ones, and prior log-odds.
+
+    `strength` orders the features; None stands for all features of a text, without weights.
+    """
 
     characters: list
+    strength: dict[str, float] | None
     weights: dict[str, float]
     prior: float
-    every: bool = False
     remembered: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    beginnings: set[str] = field(default_factory=set)
+
+    def __post_init__(self) -> None:
+        self.beginnings = {f.partition("*")[0] for f in self.strength or () if "*" in f}
 
     def restore(self, token: str) -> str:
         """The most likely reading of a lowered token."""
@@ -108,34 +117,37 @@ class Model:
             paths = after
         return max((score + self.characters[a][b][0], text) for (a, b), (score, text) in paths.items())[1]
 
+    def _matters(self, word: str) -> bool:
+        return self.strength is None or word in self.strength or any(word[:k] in self.beginnings for k in BEGINNINGS)
+
     def features(self, text: str | None) -> set[str]:
-        """Words of the restored text, whole and by their first four to six letters (those end with an asterisk)."""
+        """Features of the restored text: words; `stem*n` where at least n different words begin with the stem."""
         lowered = (text or "").lower()
         tokens = set(lowered.split())
         tokens.update(re.sub(r"[ ._*-]", "", m) for m in _APART.findall(lowered))
         known = self.remembered
         if len(known) > REMEMBERED:
             known.clear()
-        found: set[str] = set()
+        words: set[str] = set()
         for token in tokens:
             got = known.get(token)
             if got is None:
-                made = []
-                for word in _WORDS.findall(self.restore(token)):
-                    made += [word, *[word[:k] + "*" for k in (4, 5, 6) if len(word) >= k]]
-                if not self.every:
-                    made = [m for m in made if m in self.weights]
-                got = known[token] = tuple(made)
-            found.update(got)
-        return found
+                got = known[token] = tuple(w for w in _WORDS.findall(self.restore(token)) if self._matters(w))
+            words.update(got)
+        begun = Counter(w[:k] for w in words for k in BEGINNINGS if len(w) >= k)
+        words.update(f"{stem}*{n}" for stem, count in begun.items() for n in SHARED if count >= n)
+        return words if self.strength is None else {w for w in words if w in self.strength}
+
+    def strongest(self, text: str | None) -> dict[str, str]:
+        """By the first letters of the features, the strongest one of each."""
+        best: dict[str, str] = {}
+        for name in sorted(self.features(text), key=lambda f: (self.strength[f], f)):
+            best[name[:BEGINNINGS[0]]] = name
+        return best
 
     def score(self, text: str | None) -> float:
-        """Probability of the label: each word's strongest feature adds its weight to the prior log-odds."""
-        by_stem: dict[str, float] = {}
-        for name in self.features(text):
-            stem = name[:4].rstrip("*")
-            by_stem[stem] = max(by_stem.get(stem, 0.0), self.weights[name])
-        odds = self.prior + sum(by_stem.values())
+        """Probability of the label: the strongest features add their weights to the prior log-odds."""
+        odds = self.prior + sum(self.weights[f] for f in self.strongest(text).values())
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
 
 
@@ -167,17 +179,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     rows = settled(rows.groupBy("toxic", "like").agg(F.max("text").alias("text")).select("toxic", "text"))
     size = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     clean, toxic = size.get(0, 0), size.get(1, 0)
-    blank = Model(characters, {}, 0.0, every=True)
+    if not clean or not toxic:
+        return Model(characters, {}, {}, math.log((toxic + 0.5) / (clean + 0.5)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
-        for batch in batches:
-            for label, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[label].update(blank.features(value))
-        for label in (0, 1):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen[label]), pa.string()), pa.array([label] * len(seen[label]), pa.int32()),
-                 pa.array(list(seen[label].values()), pa.int64())], ["feature", "label", "n"])
+    def weight(a: int, c: int) -> float:
+        return math.log((a + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
 
     def part(n: Column, all_n: Column, both: Column, every: int) -> Column:
         return F.when(n > 0, n * F.log(n * every / (all_n * both))).otherwise(0.0)
@@ -187,13 +193,32 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     statistic = 2 * (part(a, F.lit(toxic), both, every) + part(c, F.lit(clean), both, every)
                      + part(toxic - a, F.lit(toxic), every - both, every)
                      + part(clean - c, F.lit(clean), every - both, every))
-    kept = rows.mapInArrow(run, "feature string, label int, n long").groupBy("feature").agg(
+    blank = Model(characters, None, {}, 0.0)
+    kept = _by_label(rows, blank.features).where(
+        (a >= SUPPORT) & (a * clean > c * toxic) & (statistic >= EVIDENCE)).collect()
+    # of the features that a text has of one stem only the strongest counts, so weights are those of being the strongest
+    first = Model(characters, {r.feature: weight(r.toxic, r.clean) for r in kept}, {}, 0.0)
+    levels = _by_label(rows, lambda t: first.strongest(t).values()).collect()
+    weights = {r.feature: weight(r.toxic, r.clean) for r in levels}
+    return Model(characters, {f: first.strength[f] for f in weights}, weights,
+                 math.log((toxic + 0.5) / (clean + 0.5)))
+
+
+def _by_label(rows: DataFrame, features: Callable[[str | None], Iterable[str]]) -> DataFrame:
+    """(feature, toxic, clean): documents of either label (toxic, text) that have a feature."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: tuple[Counter, Counter] = (Counter(), Counter())
+        for batch in batches:
+            for label, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                seen[label].update(features(value))
+        for label in (0, 1):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(seen[label]), pa.string()), pa.array([label] * len(seen[label]), pa.int32()),
+                 pa.array(list(seen[label].values()), pa.int64())], ["feature", "label", "n"])
+
+    return rows.mapInArrow(run, "feature string, label int, n long").groupBy("feature").agg(
         F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"),
-        F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("clean")) \
-        .where((a >= SUPPORT) & (a * clean > c * toxic) & (statistic >= EVIDENCE)).collect() if toxic and clean else []
-    weights = {r.feature: math.log((r.toxic + 0.5) / (toxic + 1)) - math.log((r.clean + 0.5) / (clean + 1))
-               for r in kept}
-    return Model(characters, weights, math.log((toxic + 0.5) / (clean + 0.5)))
+        F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("clean"))
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
