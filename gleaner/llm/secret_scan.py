@@ -110,10 +110,10 @@ def random_tokens(tokens: DataFrame, level: float = LEVEL) -> DataFrame:
     ordinary = F.col("token").rlike(ORDINARY)
     null = scored.where(ordinary).groupBy("band").agg(
         F.count("*").alias("words"), F.avg("unevenness").alias("mean"), F.stddev_pop("unevenness").alias("sd"))
-    everywhere = scored.where(ordinary).agg(F.avg("unevenness").alias("mean0"), F.stddev_pop("unevenness").alias("sd0"))
+    every = scored.where(ordinary).agg(F.avg("unevenness").alias("mean"), F.stddev_pop("unevenness").alias("sd")).first()
     # a band of few words takes the scores of all words, which are shorter and so closer to random: a stricter null
-    tested = scored.where(~ordinary).join(null, "band", "left").withColumn("one", F.lit(1)) \
-        .join(everywhere.withColumn("one", F.lit(1)), "one") \
+    tested = scored.where(~ordinary).join(null, "band", "left") \
+        .withColumn("mean0", F.lit(every.mean).cast("double")).withColumn("sd0", F.lit(every.sd).cast("double")) \
         .withColumn("enough", F.coalesce(F.col("words") >= 30, F.lit(False))) \
         .withColumn("z", (F.col("unevenness") - F.when(F.col("enough"), F.col("mean")).otherwise(F.col("mean0")))
                     / F.greatest(F.when(F.col("enough"), F.col("sd")).otherwise(F.col("sd0")), F.lit(0.5))) \
