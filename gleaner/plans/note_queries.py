@@ -159,7 +159,7 @@ def cascade_gates(t: Tables) -> DataFrame:
 
 @query(f"""with {GATES_SQL},
 f as (select c.*, d.lang, d.source, c.doc_id % 9 = 0 as missing, c.doc_id % 18 = 0 as gone, (run_tier2 and not tier2_ok) or (run_tier1 and not tier1_ok) or (run_tier3 and not tier3_ok) as flag,
-  {ARXIV_ID_SQL.replace('doc_id', 'c.doc_id')} as id, left(regexp_replace(d.text, '\\s+', ' ', 'g'), 40) as abstract from c join documents d on d.doc_id = c.doc_id)
+  {ARXIV_ID_SQL.replace('doc_id', 'c.doc_id')} as id, regexp_replace(d.text, '\\s+', ' ', 'g') as abstract from c join documents d on d.doc_id = c.doc_id)
 select doc_id, concat_ws('|', 'profile:' || lang, 'arxiv-id:' || id, 'source:arxiv', 'ingested-by:gleaner', 'schema:1', 'cat:' || source, 'cat:' || lang,
    case when missing then 'gleaner:archive-missing' end, case when gone then 'gleaner:archive-terminal' end, case when has_text then 'text:html' else 'text:abstract-only' end,
    case when full_text_kept then 'full-text' end, case when missing then 'gleaner:repair-needed' end, case when run_tier3 and tier3_ok then 'gleaner:deep-extracted' end,
@@ -179,7 +179,7 @@ def build_tags(t: Tables) -> DataFrame:
         "arxiv", categories=F.array("source", "lang"), arxiv_id=arxiv_like_id(), archive_terminal=F.col("gone"),
         text_tag=F.when(F.col("has_text"), "text:html").otherwise("text:abstract-only"), **common)
     rss = tg.build_tags("rss", source_tag=F.lit("blog"), feed_slug=F.col("source"), **common)
-    abstract = F.substring(F.regexp_replace("text", r"\s+", " "), 1, 40)
+    abstract = F.regexp_replace("text", r"\s+", " ")
     return df.select(
         "doc_id", F.array_join(arxiv, "|").alias("arxiv_tags"), F.array_join(rss, "|").alias("rss_tags"),
         tg.summary_text("arxiv", tier1_attempted=F.col("run_tier1"), tier1_ok=F.col("tier1_ok"), abstract=abstract)
@@ -301,10 +301,10 @@ def merge_notes(t: Tables) -> DataFrame:
 
 # ---- slug collisions ----------------------------------------------------------------------------------------------
 
-_TITLE30 = "left(split_part(text, chr(10), 1), 30)"
+_TITLE = "split_part(text, chr(10), 1)"
 _PAPER_URL = """case when n_chars % 3 = 0 then 'https://blog' || (n_chars % 4) || '.example.com/p' || n_chars else 'https://arxiv.org/abs/2601.' || lpad(cast(n_chars % 100000 as varchar), 5, '0') end"""
 COLLISION_SQL = f"""
-d as (select doc_id, cast(doc_id as varchar) as id, {_TITLE30} as title, {SLUG_SQL.format(_TITLE30)} as slug, {_PAPER_URL} as url from documents where {SLUG_SQL.format(_TITLE30)} <> ''),
+d as (select doc_id, cast(doc_id as varchar) as id, {_TITLE} as title, {SLUG_SQL.format(_TITLE)} as slug, {_PAPER_URL} as url from documents where {SLUG_SQL.format(_TITLE)} <> ''),
 e as (select id, slug, doc_id % 10 = 0 as residue, case when doc_id % 10 = 0 then '' else url end as url from d where doc_id % 2 = 0 qualify row_number() over (partition by slug order by id) = 1),
 i as (select id, title, slug, url, nullif(regexp_extract(url, 'arxiv\\.org/abs/([^\\s?#]+)', 1), '') as arxiv from d where doc_id % 2 = 1)"""
 
@@ -312,7 +312,7 @@ i as (select id, title, slug, url, nullif(regexp_extract(url, 'arxiv\\.org/abs/(
 def _papers(t: Tables) -> DataFrame:
     url = F.expr("case when n_chars % 3 = 0 then concat('https://blog', n_chars % 4, '.example.com/p', n_chars) "
                  "else concat('https://arxiv.org/abs/2601.', lpad(cast(n_chars % 100000 as string), 5, '0')) end")
-    title = F.substring(F.substring_index("text", "\n", 1), 1, 30)
+    title = F.substring_index("text", "\n", 1)
     return t.documents.select(
         "doc_id", F.col("doc_id").cast("string").alias("item_id"), title.alias("title"), slugify(title).alias("slug"),
         url.alias("source_url")).where("slug <> ''")
@@ -513,8 +513,8 @@ def related_top5(t: Tables) -> DataFrame:
 # ---- digests and rendering ----------------------------------------------------------------------------------------
 
 DIGEST_SQL = """
-i as (select lang || '/' || source as run_id, lang as profile, cast(doc_id as varchar) as item_id, regexp_replace(left(split_part(text, chr(10), 1), 60), '[^A-Za-z0-9 ]', '', 'g') as title,
-  cast(1 + n_chars % 10 as int) as score, 'https://d/' || doc_id as url from documents where 1 + n_chars % 10 >= 7 and source <> 'src3'),
+i as (select lang || '/' || source as run_id, lang as profile, cast(doc_id as varchar) as item_id, split_part(text, chr(10), 1) as title,
+  cast(1 + n_chars % 10 as int) as score, 'https://d/' || doc_id as url from documents where 1 + n_chars % 10 >= 7 and lang <> 'es'),
 r as (select lang || '/' || source as run_id, lang as profile, cast(count(*) as int) as sources_checked, '2024-01-31' as run_date from documents group by all),
 a as (select run_id, count(*) as ingested, count(*) filter (where score >= 8) as high_relevance, max(score) as best_score from i group by run_id)"""
 
@@ -523,10 +523,10 @@ def _digest(t: Tables) -> tuple[DataFrame, DataFrame]:
     run = F.concat("lang", F.lit("/"), "source").alias("run_id")
     items = t.documents.select(
         run, F.col("lang").alias("profile"), F.col("doc_id").cast("string").alias("item_id"),
-        F.regexp_replace(F.substring(F.substring_index("text", "\n", 1), 1, 60), "[^A-Za-z0-9 ]", "").alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.expr("cast(1 + n_chars % 10 as int)").alias("score"),
         F.concat(F.lit("https://d/"), F.col("doc_id").cast("string")).alias("url"), "source",
-    ).where("score >= 7 and source <> 'src3'").drop("source")
+    ).where("score >= 7 and profile <> 'es'").drop("source")
     runs = t.documents.groupBy(run, F.col("lang").alias("profile")).agg(
         F.count(F.lit(1)).cast("int").alias("sources_checked")).withColumn("run_date", F.lit("2024-01-31"))
     return runs, items
@@ -554,8 +554,8 @@ def digest_pages(t: Tables) -> DataFrame:
 
 
 def _structured(t: Tables) -> DataFrame:
-    title = F.trim(F.regexp_replace(F.substring(F.substring_index("text", "\n", 1), 1, 60), "[^A-Za-z0-9 ]", ""))
-    claim = F.regexp_replace(F.substring("text", 1, 80), r"[^A-Za-z0-9 .,]", "")
+    title = F.trim(F.substring_index("text", "\n", 1))
+    claim = F.substring_index("text", "\n", 1)
     even = F.col("doc_id") % 2 == 0
     return t.documents.select(
         "doc_id", title.alias("title"), F.concat(F.lit("HTTPS://Example.COM/d/"), F.col("doc_id").cast("string"), F.lit("/?utm_x=1")).alias("source_url"),
@@ -564,7 +564,7 @@ def _structured(t: Tables) -> DataFrame:
         F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("arxiv/2026/01/"), F.col("doc_id").cast("string"), F.lit(".pdf"))).alias("archive_path"),
         F.when(F.col("doc_id") % 7 == 0, "").otherwise(claim).alias("summary"),
         F.when(even, F.struct(F.array(claim, F.lit("two")).alias("contributions"), F.lit("m1").alias("method"), F.lit("r1").alias("result"), F.lit("v1").alias("relevance"))).cast(TIER1).alias("tier1"),
-        F.when(F.col("doc_id") % 5 == 0, F.regexp_replace("text", "#", "")).alias("full_text"),
+        F.col("text").alias("full_text"),
         F.when(F.col("doc_id") % 6 == 0, F.struct(F.array(claim).alias("claims"), F.array(F.lit("d1"), F.lit("d2")).alias("datasets"), tg.no_tags().alias("builds_on"), F.array(F.lit("q")).alias("open_questions"), tg.no_tags().alias("potential_connections"))).cast(TIER3).alias("tier3"),
         F.when(F.col("doc_id") % 9 == 0, F.array().cast(tg.RELEVANCE)).otherwise(F.array(
             F.struct(F.col("lang").alias("profile"), F.expr("cast(1 + n_chars % 10 as int)").alias("score"), F.lit("because").alias("reason")),
@@ -573,16 +573,16 @@ def _structured(t: Tables) -> DataFrame:
         F.when(F.col("doc_id") % 8 == 0, F.concat(F.lit("## User Notes\r\nkept "), F.col("doc_id").cast("string"), F.lit("\n## not a section\n"))).alias("user_notes"))
 
 
-_CLAIM = "regexp_replace(left(text, 80), '[^A-Za-z0-9 .,]', '', 'g')"
+_CLAIM = "split_part(text, chr(10), 1)"
 NOTE_FIELDS_SQL = f"""
-s as (select doc_id, lang, n_chars, text, trim(regexp_replace(left(split_part(text, chr(10), 1), 60), '[^A-Za-z0-9 ]', '', 'g'), ' ') as title, {_CLAIM} as claim from documents)"""
+s as (select doc_id, lang, n_chars, text, trim(split_part(text, chr(10), 1), ' ') as title, {_CLAIM} as claim from documents)"""
 NOTE_TEXT_SQL = """'---' || chr(10) || 'note_type: summary' || chr(10) || 'namespace: gleaner' || chr(10) || 'source_url: https://example.com/d/' || doc_id || chr(10)
  || case when doc_id % 4 = 0 then 'tags: []' else 'tags:' || chr(10) || '  - profile:' || lang || chr(10) || '  - ingested-by:gleaner' end || chr(10)
  || 'confidence: ' || case n_chars % 11 when 0 then '0.0' when 10 then '1.0' else '0.' || (n_chars % 11) end || chr(10) || '---' || chr(10) || '# ' || title || chr(10) || chr(10)
  || '## Archive' || chr(10) || case when doc_id % 3 = 0 then 'path: arxiv/2026/01/' || doc_id || '.pdf' || chr(10) else '' end || chr(10)
  || case when doc_id % 2 = 0 then '## Summary' || chr(10) || '### Contributions' || chr(10) || '- ' || claim || chr(10) || '- two' || chr(10) || chr(10) || '### Method' || chr(10) || 'm1' || chr(10) || chr(10) || '### Result' || chr(10) || 'r1' || chr(10) || chr(10) || '### Relevance' || chr(10) || 'v1' || chr(10)
       when doc_id % 7 = 0 or claim = '' then '' else '## Summary' || chr(10) || claim || chr(10) end
- || case when doc_id % 5 = 0 and replace(text, '#', '') <> '' then chr(10) || '## Full Text' || chr(10) || replace(text, '#', '') || chr(10) else '' end
+ || case when text <> '' then chr(10) || '## Full Text' || chr(10) || text || chr(10) else '' end
  || case when doc_id % 6 = 0 then chr(10) || '## Claims' || chr(10) || '- ' || claim || chr(10) || chr(10) || '## Datasets & Benchmarks' || chr(10) || '- d1' || chr(10) || '- d2' || chr(10) || chr(10) || '## Builds On' || chr(10) || chr(10) || '## Open Questions' || chr(10) || '- q' || chr(10) else '' end
  || chr(10) || '## Profile Relevance' || chr(10) || case when doc_id % 9 = 0 then '' else '### ' || lang || chr(10) || 'Score: ' || (1 + n_chars % 10) || '/10' || chr(10) || 'because' || chr(10) || chr(10) || '### zz' || chr(10) || 'Score: 2/10' || chr(10) || 'also' || chr(10) end
  || chr(10) || case when doc_id % 8 = 0 then '## User Notes' || chr(13) || chr(10) || 'kept ' || doc_id || chr(10) || '## not a section' || chr(10) else '## User Notes' || chr(10) end"""
@@ -600,7 +600,7 @@ def render_note(t: Tables) -> DataFrame:
 @query(f"""with {NOTE_FIELDS_SQL} select cast(doc_id as varchar) as file, title, 'https://example.com/d/' || doc_id as source_url,
   case when doc_id % 4 = 0 then '' else 'profile:' || lang || '|ingested-by:gleaner' end as tags, case when doc_id % 3 = 0 then 'arxiv/2026/01/' || doc_id || '.pdf' end as archive_path,
   (n_chars % 11) / 10.0 as confidence, case when doc_id % 2 = 0 then claim || '|two' end as contributions, case when doc_id % 6 = 0 then 'd1|d2' end as datasets,
-  case when doc_id % 5 = 0 and replace(text, '#', '') <> '' then md5(regexp_replace(replace(text, '#', ''), '[\\r\\n]+$', '')) end as full_text_md5,
+  case when text <> '' then md5(regexp_replace(text, '[\\r\\n]+$', '')) end as full_text_md5,
   case when doc_id % 9 = 0 then '' else lang || '=' || (1 + n_chars % 10) || ':because|zz=2:also' end as relevance,
   case when doc_id % 8 = 0 then '## User Notes' || chr(13) || chr(10) || 'kept ' || doc_id || chr(10) || '## not a section' || chr(10) else '## User Notes' || chr(10) end as user_notes
 from s where title <> ''""")

@@ -47,7 +47,7 @@ def _runs(t: Tables) -> DataFrame:
 def _cand(t: Tables) -> DataFrame:
     return t.documents.select(
         F.col("lang").alias("profile"), "source", F.col("doc_id").cast("string").alias("item_id"),
-        F.substring(F.substring_index("text", "\n", 1), 1, 200).alias("title"), F.col("text").alias("abstract"),
+        F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("abstract"),
         "n_chars", "doc_id",
     )
 
@@ -88,7 +88,7 @@ def _logs(t: Tables) -> DataFrame:
 
 def _notes(t: Tables) -> DataFrame:
     return t.documents.select(
-        F.col("doc_id").alias("note_id"), F.substring(F.substring_index("text", "\n", 1), 1, 60).alias("title"),
+        F.col("doc_id").alias("note_id"), F.substring_index("text", "\n", 1).alias("title"),
         F.expr("cast(1 + n_chars % 10 as int)").alias("max_score"), F.expr("doc_id % 3 <> 0").alias("has_archive"),
         F.expr("case doc_id % 4 when 0 then 'text:abstract-only' when 1 then 'text:html' when 2 then 'text:pdf' "
                "else '' end").alias("text_tag"),
@@ -132,11 +132,11 @@ SQL = {
  case when event_type = 'error' or (event_type = 'signup' and event_id % 7 = 0) then null else least(cast(floor(value) as int) % 4, cast(event_id % 3 as int)) end as ingested
  from events""",
     "cand_v": """
- select lang as profile, source, cast(doc_id as varchar) as item_id, left(split_part(text, chr(10), 1), 200) as title, text as abstract, n_chars, doc_id from documents""",
+ select lang as profile, source, cast(doc_id as varchar) as item_id, split_part(text, chr(10), 1) as title, text as abstract, n_chars, doc_id from documents""",
     "scores_v": """
  select lang as profile, cast(doc_id as varchar) as item_id, cast(1 + n_chars % 10 as int) as score from documents where doc_id % 17 <> 0""",
     "rej_v": """
- select d.lang as profile, cast(d.doc_id as varchar) as item_id, left(split_part(d.text, chr(10), 1), 200) as title, d.doc_id
+ select d.lang as profile, cast(d.doc_id as varchar) as item_id, split_part(d.text, chr(10), 1) as title, d.doc_id
  from documents d join labels l on d.doc_id = l.doc_id where l.toxic = 1 or l.quality = 0""",
     "probes_v": """
  select event_id as probe_id, user_id as target, ts, case when event_type in ('error','click') then 'degraded' else 'ok' end as status from events""",
@@ -147,7 +147,7 @@ SQL = {
  select event_id, ts, case event_type when 'error' then 'ERROR' when 'click' then 'WARNING' else 'INFO' end as level, user_id as run_id,
  case event_id % 4 when 0 then 'slug_collision' when 1 then 'tier2_terminal_flip' when 2 then 'archive_terminal_flip' else 'other' end as sweep_stage, props from events""",
     "notes_v": """
- select doc_id as note_id, left(split_part(text, chr(10), 1), 60) as title, cast(1 + n_chars % 10 as int) as max_score,
+ select doc_id as note_id, split_part(text, chr(10), 1) as title, cast(1 + n_chars % 10 as int) as max_score,
  doc_id % 3 <> 0 as has_archive,
  case doc_id % 4 when 0 then 'text:abstract-only' when 1 then 'text:html' when 2 then 'text:pdf' else '' end as text_tag,
  doc_id % 5 = 0 as text_terminal, doc_id % 6 = 0 as full_text, doc_id % 8 = 0 as deep_extracted,
