@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -21,6 +21,8 @@ from pyspark.sql.window import Window
 CHUNK = "_chunk"
 HALO = "_halo"
 _SKETCHES = 64
+#: rows drawn per chunk where quantiles come from a sample
+_SAMPLED = 50
 _PREFIX_BYTES = 7
 _LOWEST = -(2**63)
 #: below this a key is never worth cutting
@@ -56,7 +58,15 @@ def _numeric_order(df: DataFrame, col: Column) -> Column:
 
 
 def _sketched(df: DataFrame, keys: list[str], n: int) -> list:
-    """Quantile sketches of `v` (per key), taken in 64 slices so that no task merges them all."""
+    """Quantile sketches of `v` (per key), taken in 64 slices so that no task merges them all.
+
+    Text has no quantile sketch: there the quantiles are those of a bounded sample, the values of the rows with the
+    smallest hashes, and compare as text, whatever their prefixes.
+    """
+    if not keys and isinstance(df.schema["v"].dataType, T.StringType):
+        drawn = df.orderBy(F.xxhash64(*df.columns), *df.columns).limit(_SAMPLED * n).select("v").collect()
+        values = sorted((r.v for r in drawn), key=lambda v: v.encode())
+        return [Row(cuts=[values[len(values) * i // n] for i in range(1, n)])] if values else []
     probs = F.array(*[F.lit(i / n) for i in range(1, n)])
     return (
         df.groupBy(*keys, F.pmod(F.spark_partition_id(), F.lit(_SKETCHES)).alias("part"))
@@ -65,8 +75,13 @@ def _sketched(df: DataFrame, keys: list[str], n: int) -> list:
     )
 
 
+def _binary(value: object) -> object:
+    """Text in the order Spark compares it in."""
+    return value.encode() if isinstance(value, str) else value
+
+
 def _merge(sketches: list) -> list:
-    values = sorted(x for s in sketches for x in s)
+    values = sorted((x for s in sketches for x in s), key=_binary)
     return values[len(sketches) // 2 :: len(sketches)] if sketches else []
 
 
@@ -90,7 +105,7 @@ def cut_points(df: DataFrame, first: Column, second: Column | None, chunks: int)
         for value, sketches in found.items():
             cuts += [(value, w) for w in sorted(set(_merge(sketches)))]
     # the frequent value's own start comes first, then the cuts inside it
-    return sorted(cuts, key=lambda c: (c[0], c[1] is not None, c[1] if c[1] is not None else 0))
+    return sorted(cuts, key=lambda c: (_binary(c[0]), c[1] is not None, c[1] if c[1] is not None else 0))
 
 
 def _chunk_number(first: Column, second: Column | None, cuts: Sequence[tuple]) -> Column:
@@ -155,7 +170,9 @@ def with_chunks(
     is_hot = F.xxhash64(*keys).isin(hashes)
     columns = [split_on] if isinstance(split_on, Column) else list(split_on)[:2]
     hot = df.where(is_hot)
-    first, second = ([_numeric_order(hot, c) for c in columns] + [None])[:2]
+    text = isinstance(hot.select(columns[0].alias("v")).schema["v"].dataType, T.StringType)
+    leading = columns[0] if text else _numeric_order(hot, columns[0])
+    first, second = [leading, *[_numeric_order(hot, c) for c in columns[1:]], None][:2]
     cuts = cut_points(hot, first, second, chunks)
     number = F.coalesce(_chunk_number(first, second, cuts), F.lit(0)) if cuts else F.lit(0)
     return df.withColumn(CHUNK, F.when(is_hot, number).otherwise(-1)), True

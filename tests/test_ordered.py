@@ -105,6 +105,20 @@ def test_string_order_with_shared_prefix(spark):
     assert {r.item: r.rn for r in got.collect()} == {x: i + 1 for i, x in enumerate(ids)}
 
 
+def test_several_hot_text_keys_and_stray_values_are_split(spark):
+    """Two hot feeds of different prefixes and one odd id: no chunk holds more than three times its share."""
+    rows = [("a", f"https://a.example.com/{i:06d}") for i in range(2000)] + [("b", f"urn:b:{i:06d}") for i in range(2000)]
+    rows += [("a", "!odd"), ("b", "\u00fcber"), ("c", "x")]
+    df = spark.createDataFrame(rows, "key STRING, item STRING").repartition(6)
+    chunked = ordered.with_chunks(df, ["key"], F.col("item"), 16, 100)[0]
+    sizes = [r["count"] for r in chunked.groupBy("key", ordered.CHUNK).count().collect()]
+    assert max(sizes) <= 3 * len(rows) / 16
+    got = ordered.numbered(df, ["key"], [F.col("item")], F.col("item"), chunks=16, hot_rows=100)
+    for key in "abc":
+        own = sorted((item for k, item in rows if k == key), key=str.encode)
+        assert {r.item: r.rn for r in got.where(F.col("key") == key).collect()} == {x: i + 1 for i, x in enumerate(own)}
+
+
 def test_paged_lists_are_whole(frame, rows):
     pages = ordered.paged(frame, ["key"], [F.col(c) for c in ORDER], F.col("ts"), 10, chunks=6, hot_rows=40)
     sizes = {(r.key, r.page): r["count"] for r in pages.groupBy("key", "page").count().collect()}
