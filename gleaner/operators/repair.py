@@ -99,13 +99,13 @@ def record_counted_failure(
     return F.when(failed, new).otherwise(repair), F.when(failed & (bumped >= cap), flagged).otherwise(tags)
 
 
-def attempts_and_cap(attempts: DataFrame, cap: int = ATTEMPT_CAP) -> DataFrame:
+def attempts_and_cap(attempts: DataFrame, cap: int = ATTEMPT_CAP, hot_rows: int | None = None) -> DataFrame:
     """Running count of counted failures per note and stage, the terminal flag, and the row that flips it."""
     counted = (classify_failure(F.col("failure_stage")) == "counted").cast("bigint")
     rows = running(
         attempts.withColumn("_counted", F.coalesce(counted, F.lit(0))), ["note_id", "stage"],
         [F.col("ts"), F.col("attempt_id")], {"n_counted": ("sum", F.col("_counted"))},
-        [F.col("ts"), F.col("attempt_id")])
+        [F.col("ts"), F.col("attempt_id")], hot_rows=hot_rows)
     return (
         rows.withColumn("terminal", F.col("n_counted") >= cap)
         .withColumn("flips", (F.col("_counted") == 1) & (F.col("n_counted") == cap))

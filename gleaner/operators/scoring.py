@@ -20,11 +20,11 @@ Scorer = Callable[[pd.DataFrame], pd.DataFrame]
 
 def score_batches(
     candidates: DataFrame, keys: Sequence[str] = ("profile", "source"), order: str = "item_id",
-    size: int = SCORE_BATCH,
+    size: int = SCORE_BATCH, hot_rows: int | None = None,
 ) -> DataFrame:
     """Contiguous batches of `size` in the order of `order` within each (profile, source); `batch_id` from 0."""
     size = max(size, 1)
-    ranked = numbered(candidates, keys, [F.col(order)], F.col(order), "_rn")
+    ranked = numbered(candidates, keys, [F.col(order)], F.col(order), "_rn", hot_rows=hot_rows)
     return ranked.withColumn("batch_id", F.floor((F.col("_rn") - 1) / size).cast("bigint")).drop("_rn")
 
 

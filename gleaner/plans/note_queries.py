@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from gleaner.functions.markdown import render_note as render
 from gleaner.functions.text import slugify
 from gleaner.functions.urls import arxiv_canonical_url
 from gleaner.operators import cascade, graph, repair, reports, scoring, store
-from gleaner.plans.registry import query
+from gleaner.plans.registry import ORACLES, query
 from gleaner.plans.text_queries import SLUG_SQL
 from gleaner.plans.views import ARXIV_ID_SQL, Tables, arxiv_like_id, with_views
 from gleaner.schemas import REPAIR, TIER1, TIER3
@@ -35,6 +36,33 @@ def score_gate(t: Tables) -> DataFrame:
     return scoring.relevance_gate(scored).select("item_id", "batch_id", "poisoned", "drop_reason", "decision")
 
 
+def score_by_length(rows: pd.DataFrame) -> pd.DataFrame:
+    """A scorer that fails on batches holding a score of 11."""
+    score = (1 + rows.n_chars % 11).astype(float)
+    return pd.DataFrame({"item_id": rows.item_id, "score": score, "confidence": 0.5, "reason": rows.prompt,
+                         "filter_tags": [["t"]] * len(rows)})
+
+
+@query(with_views("cand_v", body=f"""+
+b as (select *, (row_number() over (partition by profile, source order by item_id) - 1) // {BATCH} as batch_id, 1 + n_chars % 11 as score from cand_v),
+p as (select *, bool_or(score > 10) over (partition by profile, source) as poisoned from b)
+select profile, item_id, cast(score as int) as score, batch_id, 'for ' || profile as reason from p where not poisoned"""))
+def score_candidates(t: Tables) -> DataFrame:
+    items = t.cand_v.select("profile", "source", "item_id", "n_chars")
+    prompts = items.select("profile").distinct().withColumn("prompt", F.concat(F.lit("for "), "profile"))
+    return scoring.score_candidates(items, score_by_length, size=BATCH, retries=0, prompts=prompts).select(
+        "profile", "item_id", "score", "batch_id", "reason")
+
+
+@query(ORACLES["score_gate"])
+def score_gate_cut(t: Tables) -> DataFrame:
+    """The same with every source cut that has more than a handful of rows."""
+    batches = scoring.score_batches(t.cand_v.select("profile", "source", "item_id"), size=BATCH, hot_rows=5)
+    flagged = scoring.poisoned(batches, F.col("batch_id") == 3)
+    scored = scoring.attach_scores(flagged, t.scores_v).withColumn("score", F.when(~F.col("poisoned"), F.col("score")))
+    return scoring.relevance_gate(scored).select("item_id", "batch_id", "poisoned", "drop_reason", "decision")
+
+
 @query("""
 with r as (select user_id % 7 as profile, event_type as source, event_id // 25 as batch_id, event_id as pos, cast(user_id as varchar) as item_id,
    case when event_id % 997 = 0 then 11 else 1 + event_id % 10 end as score, case when event_id % 1499 = 0 then null else 'r' end as reason from events),

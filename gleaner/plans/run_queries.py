@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gleaner.operators import ledger, reports
 from gleaner.operators.predicates import filter_logs, filter_runs, notify_sinks
 from gleaner.operators.repair import attempts_and_cap, classify_failure
-from gleaner.plans.registry import query
+from gleaner.plans.registry import ORACLES, query
 from gleaner.plans.views import Tables, with_views
 from gleaner.functions.tags import source_family
 
@@ -110,6 +110,13 @@ def attempts_cap(t: Tables) -> DataFrame:
         "attempt_id", classify_failure(F.col("failure_stage")).alias("class"), "n_counted", "terminal", "flips")
 
 
+@query(ORACLES["attempts_cap"])
+def attempts_cap_cut(t: Tables) -> DataFrame:
+    """The same with every key cut that has more than a handful of rows."""
+    return attempts_and_cap(t.attempts_v, hot_rows=5).select(
+        "attempt_id", classify_failure(F.col("failure_stage")).alias("class"), "n_counted", "terminal", "flips")
+
+
 def _starts(t: Tables) -> DataFrame:
     return t.events_v.select(
         F.col("event_id").alias("run_id"), F.col("user_id").alias("profile"),

@@ -3,53 +3,72 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from gleaner.plans.registry import query
 from gleaner.plans.run_queries import STALLS, WRITES_SQL
-from gleaner.plans.views import Tables, with_views
+from gleaner.plans.views import Tables, attempts_of, probes_of, runs_of, with_views
 from gleaner.session import checkpoint_dir
 from gleaner.streaming import carried, windows
 
 
-def _stream(t: Tables) -> DataFrame:
-    return (
-        t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", 1).parquet(t.folder).withColumn("ts", F.col("ts").cast("timestamp"))
-    )
+#: parts of the events, oldest first, each arriving after the stream has run over those before it
+ARRIVALS = 4
 
 
 def _folder(t: Tables, name: str) -> str:
     return f"{checkpoint_dir(t.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _in_arrivals(t: Tables, root: str, start: Callable[[DataFrame], DataStreamWriter]) -> None:
+    """Run a stream over the events as they arrive: in time order, in several runs that go on where the last one ended.
+
+    Each part is written to a shared folder and the stream is started again over what is new, so state is carried from
+    batch to batch and across restarts.
+    """
+    events = t.events
+    at = events.select(F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("at"))
+    cuts = sorted(set(at.approxQuantile("at", [i / ARRIVALS for i in range(1, ARRIVALS)], 0.01)))
+    number = F.lit(0)
+    for cut in cuts:
+        number = number + (F.unix_micros(F.col("ts").cast("timestamp")) > F.lit(int(cut))).cast("int")
+    for part in range(len(cuts) + 1):
+        events.where(number == part).write.mode("append").parquet(f"{root}/in")
+        stream = t.spark.readStream.schema(events.schema).parquet(f"{root}/in").withColumn(
+            "ts", F.col("ts").cast("timestamp"))
+        start(stream).option("checkpointLocation", f"{root}/cp").trigger(availableNow=True).start().awaitTermination()
+
+
 @query("select distinct user_id, event_type, strftime(ts, '%Y-%m-%d') as day from events")
 def stream_dedupe(t: Tables) -> DataFrame:
     root = _folder(t, "dedupe")
-    keyed = _stream(t).select("user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), "ts")
-    once = windows.stream_dedupe(keyed, ["user_id", "event_type", "day"], "3 days", "ts")
-    once.writeStream.format("parquet").option("checkpointLocation", f"{root}/cp").option("path", f"{root}/out").trigger(
-        availableNow=True).start().awaitTermination()
-    return t.spark.read.schema(once.schema).parquet(f"{root}/out").select("user_id", "event_type", "day")
+
+    def start(events: DataFrame) -> DataStreamWriter:
+        keyed = events.select("user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), "ts")
+        once = windows.stream_dedupe(keyed, ["user_id", "event_type", "day"], "3 days", "ts")
+        return once.writeStream.format("parquet").option("path", f"{root}/out")
+
+    _in_arrivals(t, root, start)
+    return t.spark.read.parquet(f"{root}/out").select("user_id", "event_type", "day")
 
 
 @query(f"""with {WRITES_SQL} select strftime(time_bucket(interval '15 minutes', ts), '%Y-%m-%d %H:%M:%S') as window_start, status, count(*) as n
 from w where status not in ('created', 'updated') group by 1, 2""")
 def stream_rates(t: Tables) -> DataFrame:
     root = _folder(t, "rates")
-    writes = _stream(t).select("ts", F.expr(
-        "case event_type when 'error' then 'slug_collision' when 'click' then 'version_conflict' "
-        "when 'view' then 'created' else 'updated' end").alias("status"))
-    counts = windows.failing_write_counts(writes)
+    status = F.expr("case event_type when 'error' then 'slug_collision' when 'click' then 'version_conflict' "
+                    "when 'view' then 'created' else 'updated' end").alias("status")
 
     def step(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
 
     # update mode gives every change of a count; the newest batch of each window holds its value
-    counts.writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", f"{root}/cp").trigger(
-        availableNow=True).start().awaitTermination()
+    _in_arrivals(t, root, lambda events: windows.failing_write_counts(events.select("ts", status)).writeStream.outputMode(
+        "update").foreachBatch(step))
     changes = t.spark.read.parquet(f"{root}/out")
     return changes.groupBy("window_start", "status").agg(F.max_by("n", "batch").alias("n")).select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "status", "n")
@@ -58,16 +77,8 @@ def stream_rates(t: Tables) -> DataFrame:
 @query(with_views("runs_v", body=STALLS + "select run_id, ingestion_stall, fetch_stall from f"))
 def stream_stalls(t: Tables) -> DataFrame:
     root = _folder(t, "stalls")
-    runs = _stream(t).select(
-        F.col("event_id").alias("run_id"), F.col("user_id").alias("profile"),
-        F.expr("case when event_id % 5 = 0 then 'backfill' when event_id % 5 = 1 then 'manual' else 'scheduled' end").alias("kind"),
-        F.expr("case when event_type = 'error' then 'failed' when event_type = 'signup' and event_id % 7 = 0 then 'skipped' "
-               "else 'completed' end").alias("status"), F.col("ts").alias("completed_at"),
-        F.expr("case when not (event_type = 'error' or (event_type = 'signup' and event_id % 7 = 0)) "
-               "then cast(floor(value) as int) % 4 end").alias("sources_checked"), "event_id",
-    ).withColumn("ingested", F.expr("case when sources_checked is not null then least(sources_checked, cast(event_id % 3 as int)) end")).drop("event_id")
     store = carried.Carried(root)
-    carried.run(runs, carried.stall_step(store), f"{root}/cp").trigger(availableNow=True).start().awaitTermination()
+    _in_arrivals(t, root, lambda events: carried.run(runs_of(events), carried.stall_step(store), f"{root}/cp"))
     return store.results(t.spark).select("run_id", "ingestion_stall", "fetch_stall")
 
 
@@ -77,11 +88,17 @@ n as (select *, sum(counted) over (partition by note_id, stage order by ts, atte
 select attempt_id, cast(n_counted as bigint) as n_counted, n_counted >= 3 as terminal, counted = 1 and n_counted = 3 as flips from n"""))
 def stream_attempts(t: Tables) -> DataFrame:
     root = _folder(t, "attempts")
-    attempts = _stream(t).select(
-        F.col("event_id").alias("attempt_id"), F.col("user_id").alias("note_id"),
-        F.expr("case event_id % 3 when 0 then 'tier2' when 1 then 'tier3' else 'archive' end").alias("stage"), "ts",
-        F.expr("case event_type when 'error' then 'parse' when 'click' then 'validate' when 'view' then 'oversize' "
-               "when 'signup' then 'http' else 'ok' end").alias("failure_stage"))
     store = carried.Carried(root)
-    carried.run(attempts, carried.attempt_step(store), f"{root}/cp").trigger(availableNow=True).start().awaitTermination()
+    _in_arrivals(t, root, lambda events: carried.run(attempts_of(events), carried.attempt_step(store), f"{root}/cp"))
     return store.results(t.spark).select("attempt_id", "n_counted", "terminal", "flips")
+
+
+@query(with_views("probes_v", body="""+
+g as (select *, sum(case when status <> 'degraded' then 1 else 0 end) over (partition by target order by ts, probe_id) as grp from probes_v)
+select probe_id, count(*) filter (where status = 'degraded') over (partition by target, grp order by ts, probe_id) as bad_streak,
+  count(*) filter (where status = 'degraded') over (partition by target, grp order by ts, probe_id) >= 3 as circuit_open from g"""))
+def stream_circuit(t: Tables) -> DataFrame:
+    root = _folder(t, "circuit")
+    store = carried.Carried(root)
+    _in_arrivals(t, root, lambda events: carried.run(probes_of(events), carried.circuit_step(store), f"{root}/cp"))
+    return store.results(t.spark).select("probe_id", "bad_streak", "circuit_open")

@@ -29,10 +29,10 @@ def _events(t: Tables) -> DataFrame:
     return t.events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _runs(t: Tables) -> DataFrame:
+def runs_of(events: DataFrame) -> DataFrame:
     idle = F.expr("event_type = 'error' or (event_type = 'signup' and event_id % 7 = 0)")
     checked = F.expr("cast(floor(value) as int) % 4")
-    return _events(t).select(
+    return events.select(
         F.col("event_id").alias("run_id"), F.col("user_id").alias("profile"),
         F.expr("case when event_id % 5 = 0 then 'backfill' when event_id % 5 = 1 then 'manual' else 'scheduled' end")
         .alias("kind"),
@@ -63,14 +63,14 @@ def _rej(t: Tables) -> DataFrame:
     return _cand(t).join(marked, "doc_id").select("profile", "item_id", "title", "doc_id")
 
 
-def _probes(t: Tables) -> DataFrame:
-    return _events(t).select(
+def probes_of(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_id").alias("probe_id"), F.col("user_id").alias("target"), "ts",
         F.when(F.col("event_type").isin("error", "click"), "degraded").otherwise("ok").alias("status"))
 
 
-def _attempts(t: Tables) -> DataFrame:
-    return _events(t).select(
+def attempts_of(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_id").alias("attempt_id"), F.col("user_id").alias("note_id"),
         F.expr("case event_id % 3 when 0 then 'tier2' when 1 then 'tier3' else 'archive' end").alias("stage"), "ts",
         F.expr("case event_type when 'error' then 'parse' when 'click' then 'validate' when 'view' then 'oversize' "
@@ -109,8 +109,8 @@ def _pages(t: Tables) -> DataFrame:
 
 
 _VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
-    "events_v": _events, "runs_v": _runs, "cand_v": _cand, "scores_v": _scores, "rej_v": _rej, "probes_v": _probes,
-    "attempts_v": _attempts, "logs_v": _logs, "notes_v": _notes, "pages_v": _pages,
+    "events_v": _events, "runs_v": lambda t: runs_of(_events(t)), "cand_v": _cand, "scores_v": _scores, "rej_v": _rej, "probes_v": lambda t: probes_of(_events(t)),
+    "attempts_v": lambda t: attempts_of(_events(t)), "logs_v": _logs, "notes_v": _notes, "pages_v": _pages,
 }
 
 ARXIV_ID_SQL = "'26' || lpad(cast(doc_id % 12 + 1 as varchar), 2, '0') || '.' || lpad(cast(doc_id as varchar), 5, '0')"
