@@ -14,7 +14,7 @@ from gleaner.operators import cascade, graph, repair, reports, scoring, store
 from gleaner.plans.registry import ORACLES, query
 from gleaner.plans.text_queries import SLUG_SQL
 from gleaner.plans.views import ARXIV_ID_SQL, Tables, arxiv_like_id, with_views
-from gleaner.schemas import REPAIR, TIER1, TIER3
+from gleaner.schemas import NOTES, REPAIR, TIER1, TIER3
 from gleaner.sources import feeds
 from gleaner.sources.files import parse_notes
 from gleaner.vocabulary import TAGS
@@ -391,6 +391,96 @@ def resolve_collisions(t: Tables) -> DataFrame:
         "item_id", "title", "slug", "status", "reclaimed_id", "detail")
 
 
+# ---- upserts: two profiles bring each url, a third of the urls are known, others meet residue of aborted writes -----
+
+UPSERT_SQL = """
+i as (select doc_id, doc_id // 2 as n, case when doc_id % 2 = 0 then 'a' else 'b' end as profile,
+  cast(1 + n_chars % 10 as int) as score, text from documents),
+g as (select n, string_agg(profile || '=' || score, '|' order by profile) as rel, max(score) as best,
+  arg_max(text, doc_id) as text, min(doc_id) as first_id, n % 3 = 0 as known, n % 3 <> 0 and n % 5 = 2 as held from i
+  group by n)"""
+
+
+def _upsert(t: Tables) -> tuple[DataFrame, DataFrame]:
+    n = F.expr("doc_id div 2").cast("string")
+    rows = t.documents.select(
+        F.expr("case when doc_id % 2 = 0 then 'a' else 'b' end").alias("profile"),
+        F.lpad(F.col("doc_id").cast("string"), 15, "0").alias("item_id"), F.concat(F.lit("Title "), n).alias("title"),
+        F.concat(F.lit("https://D.example.com/p/"), n, F.lit("/?utm_x=1")).alias("source_url"),
+        F.expr("cast(1 + n_chars % 10 as int)").alias("score"), F.lit("r").alias("reason"),
+        F.array(F.lit(TAGS.ingested_by)).alias("tags"), F.lit(None).cast("string").alias("user_notes"),
+        F.col("text").alias("full_text"))
+    known, held = F.col("n") % 3 == 0, F.col("n") % 5 == 2
+    number = F.col("n").cast("string")
+    blank = spark_columns(t)
+    stored = t.documents.select(F.expr("doc_id div 2").alias("n"), "text").groupBy("n").agg(
+        F.min("text").alias("text")).where(known | held | (F.col("n") % 5 == 1))
+    values = {
+        "note_id": F.concat(F.when(known, "s").otherwise("r"), number),
+        "version": F.when(known, 4).otherwise(1).cast("bigint"),
+        "title": F.when(known, F.concat(F.lit("Stored "), number, F.lit(" [x]"))).otherwise(
+            F.concat(F.lit("Title "), number)),
+        "slug": F.concat(F.when(known, "kept-").otherwise("title-"), number),
+        "source_url": F.when(known, F.concat(F.lit("https://d.example.com/p/"), number)).otherwise(""),
+        "tags": F.when(known, F.array(F.lit("mine"))).otherwise(tg.no_tags()), "confidence": F.lit(0.1),
+        "full_text": F.when(known | held, F.concat(F.lit("old"), F.coalesce("text", F.lit("")))),
+        "relevance": F.from_json(F.when(known, '[{"profile":"old","score":4,"reason":"x"}]'), tg.RELEVANCE)}
+    store_rows = stored.select(*[values.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in blank])
+    return store_rows, rows
+
+
+def spark_columns(t: Tables) -> list[tuple[str, str]]:
+    return t.spark.createDataFrame([], NOTES).dtypes
+
+
+@query(f"""with {UPSERT_SQL}
+select case when known then 's' || n else left(sha256('https://d.example.com/p/' || n), 32) end as note_id,
+  case when known then 'Stored ' || n || ' [x]' when held then 'Title ' || n || ' [d.example.com]' else 'Title ' || n end
+    as title,
+  case when known then 'kept-' || n when held then 'title-' || n || '-d-example-com' else 'title-' || n end as slug,
+  case when known then 5 else 1 end as version, case when known then rel || '|old=4' else rel end as relevance,
+  greatest(best, case when known then 4 else 0 end) / 10.0 as confidence, md5(text) as full_text_md5 from g
+union all select 'r' || n, 'Title ' || n, 'title-' || n, 1, '', 0.1, md5('old' || (select min(text) from i where i.n = g.n))
+  from g where held""")
+def upsert_notes(t: Tables) -> DataFrame:
+    shown = F.array_join(F.transform("relevance", lambda e: F.concat(e["profile"], F.lit("="), e["score"].cast("string"))), "|")
+    return store.upsert_notes(*_upsert(t))[0].select(
+        "note_id", "title", "slug", "version", F.coalesce(shown, F.lit("")).alias("relevance"), "confidence",
+        F.md5("full_text").alias("full_text_md5"))
+
+
+@query(f"""with {UPSERT_SQL}
+select i.profile, lpad(cast(i.doc_id as varchar), 15, '0') as item_id,
+  case when g.known or i.doc_id <> g.first_id then 'updated' else 'created' end as status from i join g on g.n = i.n""")
+def upsert_writes(t: Tables) -> DataFrame:
+    return store.upsert_notes(*_upsert(t))[1].select("profile", "item_id", "status")
+
+
+@query("""
+with l as (select doc_id, lang, text, length(split_part(text, chr(10), 1)) + 1 as base, length(text) as ft, doc_id % 400 + 15 as t3
+  from documents),
+f as (select *, case when base + ft + t3 <= 700 then 'whole' when base + t3 <= 700 then 'no_full_text'
+  when base <= 700 then 'tier1_only' else 'skipped' end as fit from l)
+select doc_id as note_id, fit <> 'skipped' as swept, case when fit = 'skipped' then 7 else 8 end as version,
+  md5(case when fit in ('whole', 'skipped') then text end) as full_text_md5,
+  case when fit <> 'tier1_only' then doc_id % 400 end as claim_chars,
+  case when fit = 'tier1_only' then 'gleaner:repair-needed|ingested-by:gleaner|' else 'ingested-by:gleaner|' end
+    || 'profile:' || lang as tags from f""")
+def sweep_oversize(t: Tables) -> DataFrame:
+    claim = F.expr("repeat('c', cast(doc_id % 400 as int))")
+    notes = t.documents.select(
+        F.col("doc_id").alias("note_id"), F.substring_index("text", "\n", 1).alias("title"), F.lit("s").alias("summary"),
+        F.array(F.concat(F.lit("profile:"), "lang"), F.lit(TAGS.ingested_by)).alias("tags"),
+        F.lit(None).cast("string").alias("archive_path"), F.lit(7).cast("bigint").alias("version"),
+        F.from_json(F.lit("[]"), tg.RELEVANCE).alias("relevance"), F.col("text").alias("full_text"),
+        F.from_json(F.to_json(F.struct(F.array(claim).alias("claims"))), TIER3).alias("tier3"),
+        F.lit(None).cast(REPAIR).alias("repair"), F.lit("").alias("user_notes"),
+        F.lit(None).cast("timestamp").alias("updated_at"))
+    return repair.repair_sweep(notes, content_limit=700).select(
+        "note_id", "swept", "version", F.md5("full_text").alias("full_text_md5"),
+        F.length(F.get("tier3.claims", F.lit(0))).alias("claim_chars"), F.array_join(F.array_sort("tags"), "|").alias("tags"))
+
+
 @query("""
 with l as (select doc_id, 200 + length(source) as base, n_chars as ft, (doc_id % 50) * 40 as t3, doc_id % 3 = 0 as ex from documents),
 f as (select *, case when base + ft + t3 <= 2000 then 'whole' when base + t3 <= 2000 then 'no_full_text' when ex and base <= 2000 then 'tier1_only' else 'skipped' end as fit from l)
