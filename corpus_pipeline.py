@@ -46,11 +46,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens, ids and the byte spans of the ids (packed little-endian 32-bit integers)."""
+    """doc_id, source, n_tokens, ids and where each id's span of text bytes ends (packed little-endian 32-bit integers).
+
+    The spans tile the text, so each starts where the one before ends.
+    """
     apply_settings(spark)
     rows = piece_codec.encode(docs.select("doc_id", "source", "text"), public_tokenizers.path(TOKENIZER))
     return rows.select("doc_id", "source", F.expr("cast(length(ids) div 4 as bigint)").alias("n_tokens"),
-                       "ids", "starts", "ends")
+                       "ids", "ends")
 
 
 STAGES = [("toxicity", drop_toxic), ("line_dedup", cut_repeated_lines), ("simhash", drop_near_copies),
