@@ -115,6 +115,11 @@ def cadence(runs: DataFrame, n: int, time: str = "completed_at") -> DataFrame:
     )
 
 
+def in_closed_window() -> Column:
+    """Whether a run of `cadence` belongs to a window that is complete; a window has at most n rows."""
+    return F.max("emits").over(Window.partitionBy("profile", "window_id"))
+
+
 def run_duration(started: Column, completed: Column) -> Column:
     """Seconds between two instants, null where one cannot be read."""
     return (F.unix_micros(completed) - F.unix_micros(started)) / F.lit(1_000_000.0)

@@ -177,26 +177,33 @@ def squatter_mentions(logs: DataFrame) -> DataFrame:
 
 
 def squatters(mentions: DataFrame) -> DataFrame:
-    """Per squatting id: how often, when, and how many distinct slugs, urls and titles; newest first."""
-    return mentions.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("timestamp").alias("first_seen"),
-        F.max("timestamp").alias("last_seen"),
-        F.count_distinct("slug").alias("n_slugs"),
-        F.count_distinct(F.nullif("source_url", F.lit(""))).alias("n_urls"),
-        F.count_distinct(F.nullif("title", F.lit(""))).alias("n_titles"),
-    ).orderBy(F.col("last_seen").desc(), "doc_id")
+    """Per squatting id: how often, when, and how many distinct slugs, urls and titles.
 
+    Counted from one row per id and value, which map tasks aggregate first.
+    """
+    values = _mentioned(mentions, every=True)
+    return values.groupBy("doc_id").agg(
+        F.sum(F.when(F.col("field") == "mention", F.col("n")).otherwise(0)).alias("n"),
+        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
+        *[F.count_if(F.col("field") == field).alias(name) for field, name in (
+            ("slug", "n_slugs"), ("source_url", "n_urls"), ("title", "n_titles"))])
 
-def squatter_values(mentions: DataFrame) -> DataFrame:
-    """The distinct slugs, urls and titles behind `squatters`, one row each: a busy id needs no unbounded list."""
+
+def _mentioned(mentions: DataFrame, every: bool = False) -> DataFrame:
+    """One row per id, field and value; with `every` also one per id for all its mentions."""
+    named = [(c, F.nullif(F.col(c), F.lit(""))) for c in ("slug", "source_url", "title")]
     pairs = F.filter(
-        F.array(*[F.struct(F.lit(kind).alias("field"), F.nullif(F.col(c), F.lit("")).alias("value"))
-                  for kind, c in (("slug", "slug"), ("source_url", "source_url"), ("title", "title"))]),
+        F.array(*[F.struct(F.lit(kind).alias("field"), value.alias("value"))
+                  for kind, value in [*named, *([("mention", F.lit("-"))] if every else [])]]),
         lambda p: p["value"].isNotNull(),
     )
     return mentions.select("doc_id", "timestamp", F.inline(pairs)).groupBy("doc_id", "field", "value").agg(
-        F.min("timestamp").alias("first_seen"), F.count(F.lit(1)).alias("n"))
+        F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen"), F.count(F.lit(1)).alias("n"))
+
+
+def squatter_values(mentions: DataFrame) -> DataFrame:
+    """The distinct slugs, urls and titles behind `squatters`, one row each: a busy id needs no unbounded list."""
+    return _mentioned(mentions).select("doc_id", "field", "value", "first_seen", "n")
 
 
 #: fixed values

@@ -321,9 +321,8 @@ g as (select w.profile, w.window_id, w.run_id, w.sources_checked, unnest([w.kind
 select profile, cast(window_id as bigint) as window_id, tag, count(*) as total, count(*) filter (where run_id % 4 = 0) as n_rejected,
   round(count(*) filter (where run_id % 4 = 0) / count(*), 4) as rate from g group by profile, window_id, tag"""))
 def rejection_cadence(t: Tables) -> DataFrame:
-    numbered = ledger.cadence(t.runs_v, 7)
-    closed = numbered.where("emits").select("profile", "window_id")
-    items = numbered.join(closed, ["profile", "window_id"], "left_semi").select(
+    numbered = ledger.cadence(t.runs_v, 7).withColumn("closed", ledger.in_closed_window())
+    items = numbered.where("closed").select(
         "profile", "window_id", (F.col("run_id") % 4 == 0).alias("rejected"),
         F.array(F.col("kind"), F.concat(F.lit("checked:"), F.col("sources_checked").cast("string"))).alias("tags"))
     return reports.rejection_rates(items, ["profile", "window_id"])

@@ -67,7 +67,7 @@ def read_rss(spark: SparkSession, path: str, feeds: DataFrame, now: Column | Non
         file_name, "title", F.get(alternates, F.lit(0))["_href"].alias("url"),
         feed_published(F.col("published"), F.col("updated"), now).alias("published"), "summary")
     rows = require_fields(items.unionByName(entries), ["title", "url"])
-    return rows.join(feeds, "file").withColumn("title", strip(F.col("title"))).orderBy(F.col("published").desc(), "url")
+    return rows.join(feeds, "file").withColumn("title", strip(F.col("title")))
 
 
 def to_candidates(df: DataFrame, kind: str) -> DataFrame:

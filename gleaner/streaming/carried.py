@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.window import Window
 
-from gleaner.operators.ledger import cadence, stall_flags
+from gleaner.operators.ledger import cadence, in_closed_window, stall_flags
 from gleaner.operators.ordered import streaks
 from gleaner.operators.repair import attempts_and_cap, classify_failure
 from gleaner.operators.reports import rejection_rates
@@ -135,14 +135,13 @@ def cadence_step(store: Carried, n: int, tags: Column, rejected: Column) -> Step
         waiting = store.load("open", done, batch_id)
         closed_before = store.load("closed", done.select("profile", F.lit(0).cast("bigint").alias("n_closed")), batch_id)
         numbered = cadence(waiting.unionByName(done), n).join(closed_before, "profile", "left").withColumn(
-            "window_id", F.col("window_id") + F.coalesce("n_closed", F.lit(0)))
-        closed = numbered.where("emits").select("profile", "window_id")
-        items = numbered.join(closed, ["profile", "window_id"], "left_semi").select(
+            "window_id", F.col("window_id") + F.coalesce("n_closed", F.lit(0))).withColumn("_closed", in_closed_window())
+        items = numbered.where("_closed").select(
             "profile", "window_id", F.col("_rejected").alias("rejected"), F.col("_tags").alias("tags"))
         store.emit(rejection_rates(items, ["profile", "window_id"]), batch_id)
-        rest = numbered.join(closed, ["profile", "window_id"], "left_anti").select(*done.columns)
+        rest = numbered.where(~F.col("_closed")).select(*done.columns)
         store.save("open", rest, batch_id)
-        ends = closed.groupBy("profile").agg((F.max("window_id") + 1).alias("n_closed"))
+        ends = numbered.where("emits").groupBy("profile").agg((F.max("window_id") + 1).alias("n_closed"))
         kept = closed_before.join(ends.select("profile"), "profile", "left_anti")
         store.save("closed", ends.unionByName(kept), batch_id)
 
