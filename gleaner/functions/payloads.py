@@ -124,6 +124,7 @@ def write_outcome(envelope: Column) -> Column:
 QUIET_MESSAGE = "No new relevant content found today."  # fixed value
 
 
+# The labels of the lines of a message, and the texts of a run without news.
 def item_message(profile: Column, run_date: Column, item: Column, product: str = "gleaner") -> Column:
     """Text lines about one ingested item; `item` has title, score, url, reason, tags, related."""
     related = F.filter(item["related"], lambda r: F.coalesce(r, F.lit("")) != "")

@@ -171,7 +171,7 @@ def arxiv_id_from_url(url: Column) -> Column:
 
 
 def arxiv_ref(item: Column) -> Column:
-    """(prior_title, arxiv_id) of a reference such as `FooNet (arXiv:2412.12345)`; null without an id."""
+    """(prior_title, arxiv_id) of a reference such as `Tidal Graphs (arXiv:2507.00321)`; null without an id."""
     pattern = r"(?s)^(.*?)arXiv:([0-9]{4}\.[0-9]{4,5}(?:v[0-9]+)?)"
     ref = F.regexp_extract(item, pattern, 2)
     before = F.regexp_replace(F.regexp_extract(item, pattern, 1), r"(?U)\s+$", "")

@@ -360,8 +360,8 @@ def _stored_papers(t: Tables) -> DataFrame:
 
 @query(f"""with {COLLISION_SQL}
 select i.id as item_id, e.id as holder_id, case when e.url <> '' and e.url = i.url then 'duplicate' when e.residue then 'reclaimable' else 'distinct' end as kind,
-  case when e.url <> '' and e.url = i.url then case when i.arxiv is not null then 'same paper: tag arxiv-id:' || i.arxiv else 'same paper: source_url ' || e.url end
-       when e.residue then 'no tags, no source_url and an empty body: residue of an aborted write' else 'own metadata (tags=1, source_url=' || e.url || ', body_len=4)' end as reason
+  case when e.url <> '' and e.url = i.url then case when i.arxiv is not null then 'arxiv=' || i.arxiv else 'url=' || e.url end
+       when e.residue then 'blank' else 'tags=1 url=' || e.url || ' chars=4' end as reason
 from i join e on e.slug = i.slug""")
 def classify_collision(t: Tables) -> DataFrame:
     incoming = _papers(t).where("doc_id % 2 = 1").drop("doc_id")

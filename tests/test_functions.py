@@ -71,9 +71,9 @@ def test_arxiv_ids(evaluate):
     assert evaluate(["http://arxiv.org/abs/2601.00001v3", "2601.00001", "https://arxiv.org/abs/cs/0101001v1"],
                     ux.arxiv_id(V)) == ["2601.00001", "2601.00001", "cs/0101001"]
     assert evaluate(["https://arxiv.org/abs/2601.1v2?x=1", "https://e.com"], ux.arxiv_id_from_url(V)) == ["2601.1v2", None]
-    refs = evaluate(["FooNet (arXiv:2412.12345)", "arXiv:2412.12345", "Bar arXiv:2412.12345v2 x", "no ref"], ux.arxiv_ref(V))
+    refs = evaluate(["Tidal Graphs (arXiv:2507.00321)", "arXiv:2412.12345", "Bar arXiv:2412.12345v2 x", "no ref"], ux.arxiv_ref(V))
     assert [r and tuple(r) for r in refs] == [
-        ("FooNet", "2412.12345"), ("2412.12345", "2412.12345"), ("Bar", "2412.12345v2"), None]
+        ("Tidal Graphs", "2507.00321"), ("2412.12345", "2412.12345"), ("Bar", "2412.12345v2"), None]
     assert evaluate(["https://arxiv.org/abs/2601.1", "https://Blog.x.org:1/p"], ux.slug_suffix(V)) == [
         " [arXiv 2601.1]", " [blog.x.org]"]
 
