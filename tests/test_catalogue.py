@@ -9,11 +9,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from gleaner.plans import catalogue
 from tools.check_catalogue import rows_of
 
 from conftest import SMALL
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+#: the optional subpackage has tests of its own
+QUERIES, ORACLES = catalogue.queries(), catalogue.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +44,10 @@ def test_query(spark, duck, name):
     assert rows_of(df.columns, df.collect()) == rows_of(columns, cursor.fetchall())
 
 
+def test_entry_offers_the_catalogue():
+    assert QUERIES.keys() <= entry.queries().keys() and ORACLES.keys() <= entry.oracle_sql().keys()
+
+
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
 
