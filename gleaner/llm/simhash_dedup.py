@@ -152,10 +152,15 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     key = [F.col(id_col).alias("doc_id"), F.xxhash64(F.lit(1), text).alias("ka"),
            F.xxhash64(F.lit(2), text, F.length(text)).alias("kb")]
     rows = settled(with_fingerprints(docs.select(*key, F.col(text).alias("text")), "text", "fp"))
-    best = with_components(rows).groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("g")) \
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ka", "kb")).alias("w")) \
-        .select(F.col("w.doc_id").alias("w_id"), F.col("w.ka").alias("w_a"), F.col("w.kb").alias("w_b"))
+    different = rows.groupBy("doc_id", "ka", "kb").agg(F.count("*").alias("n"), F.first("fp").alias("fp"))
+    nameless = F.when(F.col("component_id").isNull(), F.col("fp")).alias("g")
+    best = with_components(different).groupBy("component_id", nameless) \
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ka", "kb", "n")).alias("w")) \
+        .select(F.col("w.doc_id").alias("w_id"), F.col("w.ka").alias("w_a"), F.col("w.kb").alias("w_b"),
+                F.col("w.n").alias("w_n"))
     kept = docs.join(best, docs[id_col].eqNullSafe(F.col("w_id")) & (F.xxhash64(F.lit(1), docs[text]) == F.col("w_a"))
                      & (F.xxhash64(F.lit(2), docs[text], F.length(docs[text])) == F.col("w_b")))
+    # only rows that agree in id and text are left to be told apart, so whole texts are moved once
     names = docs.columns
-    return kept.dropDuplicates(["w_id", "w_a", "w_b"]).select(*[docs[c] for c in names])
+    single = kept.where("w_n = 1").select(*[docs[c] for c in names])
+    return single.unionAll(kept.where("w_n > 1").dropDuplicates(["w_id", "w_a", "w_b"]).select(*[docs[c] for c in names]))
