@@ -64,17 +64,19 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     of fewer than three lines has no window and stays whole, as does a null one (0 lines); windows of blank lines alone
     do not count.  A document that repeats wholly keeps its row with an empty text.
     """
+    f_id, f_a, f_b, f_runs = (free_name(docs, n) for n in ("f_id", "f_a", "f_b", "runs"))
     found = covered_runs(docs, id_col, text).select(
-        F.col("doc.id").alias("f_id"), F.col("doc.ka").alias("f_a"), F.col("doc.kb").alias("f_b"), "runs")
-    runs = F.col("runs")
-    joined = docs.join(found, docs[id_col].eqNullSafe(F.col("f_id")) & (F.xxhash64(F.lit(1), docs[text]) == F.col("f_a"))
-                       & (F.xxhash64(F.lit(2), docs[text], F.length(docs[text])) == F.col("f_b")), "left")
+        F.col("doc.id").alias(f_id), F.col("doc.ka").alias(f_a), F.col("doc.kb").alias(f_b), F.col("runs").alias(f_runs))
+    runs = F.col(f_runs)
+    joined = docs.join(
+        found, docs[id_col].eqNullSafe(F.col(f_id)) & (F.xxhash64(F.lit(1), docs[text]) == F.col(f_a))
+        & (F.xxhash64(F.lit(2), docs[text], F.length(docs[text])) == F.col(f_b)), "left")
     # between run i - 1 and run i stand the lines that are kept
     kept = F.get(F.transform(F.array(F.split(docs[text], "\n", -1)), lambda lines: F.flatten(F.transform(
         F.sequence(F.lit(0), F.size(runs)), lambda i: F.get(F.transform(
             F.array(F.coalesce(F.get(runs, i - 1)["last"] + 1, F.lit(0))), lambda start: F.slice(
-                lines, start + 1,
-                F.greatest(F.lit(0), F.coalesce(F.get(runs, i)["first"], F.size(lines)) - start))), F.lit(0))))), F.lit(0))
+                lines, start + 1, F.greatest(
+                    F.lit(0), F.coalesce(F.get(runs, i)["first"], F.size(lines)) - start))), F.lit(0))))), F.lit(0))
     cut = F.aggregate(runs, F.lit(0).cast("long"), lambda s, r: s + r["last"] - r["first"] + 1)
     new = F.when(runs.isNull(), docs[text]).otherwise(F.array_join(kept, "\n"))
     lines = F.when(docs[text].isNull(), F.lit(0)).otherwise(F.size(F.split(docs[text], "\n", -1))).cast("long")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.llm.components import components
-from gleaner.llm.shared import bounded_batches, settled
+from gleaner.llm.shared import bounded_batches, free_name, settled
 
 RADIUS, WORDS, SEED = 3, 3, 42
 #: Different fingerprints that a bucket may hold before it is dealt again.
@@ -109,7 +109,8 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     met = settled(keyed.join(shared, ["t1", "key"]))
     small = met.where(F.col("n") <= bucket).select("t1", F.lit(0).cast("short").alias("t2"), "key", "fp")
     first_mask = F.element_at(F.array(*[F.lit(m).cast("long") for m in FIRST]), F.col("t1").cast("int"))
-    large = tables(met.where(F.col("n") > bucket).select("fp", "t1", first_mask.alias("kept")), SECOND, F.col("kept"), "t2")
+    large = met.where(F.col("n") > bucket).select("fp", "t1", first_mask.alias("kept"))
+    large = tables(large, SECOND, F.col("kept"), "t2")
     buckets = small.unionByName(large.select("t1", "t2", "key", "fp")).groupBy("t1", "t2", "key") \
         .agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1).select("fps")
 
@@ -154,13 +155,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     rows = settled(with_fingerprints(docs.select(*key, F.col(text).alias("text")), "text", "fp"))
     different = rows.groupBy("doc_id", "ka", "kb").agg(F.count("*").alias("n"), F.first("fp").alias("fp"))
     nameless = F.when(F.col("component_id").isNull(), F.col("fp")).alias("g")
+    w_id, w_a, w_b, w_n = (free_name(docs, n) for n in ("w_id", "w_a", "w_b", "w_n"))
     best = with_components(different).groupBy("component_id", nameless) \
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ka", "kb", "n")).alias("w")) \
-        .select(F.col("w.doc_id").alias("w_id"), F.col("w.ka").alias("w_a"), F.col("w.kb").alias("w_b"),
-                F.col("w.n").alias("w_n"))
-    kept = docs.join(best, docs[id_col].eqNullSafe(F.col("w_id")) & (F.xxhash64(F.lit(1), docs[text]) == F.col("w_a"))
-                     & (F.xxhash64(F.lit(2), docs[text], F.length(docs[text])) == F.col("w_b")))
+        .select(F.col("w.doc_id").alias(w_id), F.col("w.ka").alias(w_a), F.col("w.kb").alias(w_b),
+                F.col("w.n").alias(w_n))
+    kept = docs.join(best, docs[id_col].eqNullSafe(F.col(w_id)) & (F.xxhash64(F.lit(1), docs[text]) == F.col(w_a))
+                     & (F.xxhash64(F.lit(2), docs[text], F.length(docs[text])) == F.col(w_b)))
     # only rows that agree in id and text are left to be told apart, so whole texts are moved once
-    names = docs.columns
-    single = kept.where("w_n = 1").select(*[docs[c] for c in names])
-    return single.unionAll(kept.where("w_n > 1").dropDuplicates(["w_id", "w_a", "w_b"]).select(*[docs[c] for c in names]))
+    single = kept.where(F.col(w_n) == 1).select(docs.columns)
+    return single.unionAll(kept.where(F.col(w_n) > 1).dropDuplicates([w_id, w_a, w_b]).select(docs.columns))

@@ -17,7 +17,9 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from gleaner.llm import line_dedup, piece_codec, queries, secret_scan, simhash_dedup, token_counts, toxicity
+from gleaner.llm import (
+    line_dedup, piece_codec, queries, secret_scan, simhash_dedup, source_mix, token_counts, toxicity,
+)
 
 from conftest import SMALL
 
@@ -265,6 +267,18 @@ def test_line_dedup_awkward(spark, awkward):
     assert got == [(1, 0, long[:8]), (1, 0, long[:8]), (2, 20_000, "new\nend")]
 
 
+def test_columns_of_any_name_are_kept(spark):
+    """Names that the operators use inside may be names of the table too."""
+    names = ["f_id", "f_a", "runs", "w_id", "w_n", "ka", "component_id", "fp", "source_size", "kept", "copies", "lines_cut"]
+    docs = spark.createDataFrame([(1, "a b c\nd\ne", "s", *names), (2, "a b c\nd\ne", "s", *names)],
+                                 "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    for rows in (line_dedup.without_repeats(docs), simhash_dedup.one_of_each(docs), source_mix.mixed(docs),
+                 piece_codec.encode(docs, MODEL)):
+        assert rows.columns[:len(docs.columns)] == docs.columns
+        assert [tuple(r)[3:15] for r in rows.collect()][0] == tuple(names)
+    assert secret_scan.scan(docs).count() == 2 and simhash_dedup.near_duplicates(docs).count() == 2
+
+
 # operator 6
 
 def test_toxicity_on_rows_held_out(spark):
