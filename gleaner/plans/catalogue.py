@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.plans import note_queries, registry, run_queries, stream_queries, text_queries  # noqa: F401
+from gleaner.plans import (  # noqa: F401
+    file_queries, note_queries, registry, run_queries, stream_queries, text_queries,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
