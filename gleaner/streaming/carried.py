@@ -3,7 +3,8 @@
 What a later batch must know of the past is little: the last rows of each profile, a count per note and stage.  It
 is kept as one table per batch id next to the output, so a batch that runs twice reads the same state and overwrites
 its own output.  Inside a batch the work is the batch operator itself, which splits hot keys.
-No batch may hold rows older than those of the batch before it; rows within a batch may come in any order.
+Rows within a batch may come in any order.  Rows older than the newest of earlier batches would change what has been
+given out already: they are set aside in the `late` folder and not counted.
 """
 
 from __future__ import annotations
@@ -55,6 +56,26 @@ class Carried:
         df.write.mode("overwrite").parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
+    def in_time(self, batch: DataFrame, batch_id: int, time: str) -> DataFrame:
+        """The batch without its late rows, which are set aside; carries the newest time of all batches so far."""
+        spark = batch.sparkSession
+        clock = self.load("clock", batch.select(F.col(time).alias("newest")), batch_id).agg(F.max("newest")).first()[0]
+        here = batch.agg(F.max(time)).first()[0]
+        newest = max((t for t in (clock, here) if t is not None), default=None)
+        kind = dict(batch.dtypes)[time]
+        self.save("clock", spark.range(1).select(F.lit(newest).cast(kind).alias("newest")), batch_id)
+        if clock is None:
+            return batch
+        late = F.coalesce(F.col(time) < F.lit(clock).cast(kind), F.lit(False))
+        batch.where(late).write.mode("overwrite").parquet(f"{self.root}/late/batch={batch_id}")
+        return batch.where(~late)
+
+    def late(self, spark: SparkSession, schema: str) -> DataFrame:
+        """All rows set aside so far."""
+        if not folders(spark, f"{self.root}/late"):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(f"{self.root}/late")
+
     def results(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.root}/out").drop("batch")
 
@@ -79,6 +100,7 @@ def newest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int
 def stall_step(store: Carried) -> Step:
     """Stall flags of each new run; the last 20 rows of every profile are carried."""
     def step(batch: DataFrame, batch_id: int) -> None:
+        batch = store.in_time(batch, batch_id, "completed_at")
         before = store.load("tail", batch, batch_id)
         both = before.withColumn("_new", F.lit(False)).unionByName(batch.withColumn("_new", F.lit(True)))
         store.emit(stall_flags(both).where("_new").drop("_new"), batch_id)
@@ -91,6 +113,7 @@ def stall_step(store: Carried) -> Step:
 def circuit_step(store: Carried, threshold: int = 3) -> Step:
     """Breaker state after each probe; the open streak of every target is carried."""
     def step(batch: DataFrame, batch_id: int) -> None:
+        batch = store.in_time(batch, batch_id, "ts")
         carry = store.load("streak", batch.select("target", F.lit(0).cast("bigint").alias("carry")), batch_id)
         bad = F.col("status") == "degraded"
         here = F.struct("ts", "probe_id")
@@ -111,6 +134,7 @@ def circuit_step(store: Carried, threshold: int = 3) -> Step:
 def attempt_step(store: Carried, cap: int = ATTEMPT_CAP) -> Step:
     """Running counted failures; one number per note and stage is carried, so a flip appears once."""
     def step(batch: DataFrame, batch_id: int) -> None:
+        batch = store.in_time(batch, batch_id, "ts")
         keys = ["note_id", "stage"]
         carry = store.load("count", batch.select(*keys, F.lit(0).cast("bigint").alias("carry")), batch_id)
         total = F.col("n_counted") + F.coalesce("carry", F.lit(0))
@@ -131,6 +155,7 @@ def cadence_step(store: Carried, n: int, tags: Column, rejected: Column) -> Step
     Carried are the runs of the open window (fewer than n per profile) and the number of windows closed so far.
     """
     def step(batch: DataFrame, batch_id: int) -> None:
+        batch = store.in_time(batch, batch_id, "completed_at")
         done = batch.where(F.col("status") == "completed").withColumn("_tags", tags).withColumn("_rejected", rejected)
         waiting = store.load("open", done, batch_id)
         closed_before = store.load("closed", done.select("profile", F.lit(0).cast("bigint").alias("n_closed")), batch_id)

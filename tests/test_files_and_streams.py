@@ -212,6 +212,24 @@ def test_carried_state_equals_batch(spark, tables, tmp_path, kind):
     assert rows(store.results(spark), *cols) == rows(want, *cols)
 
 
+def test_late_rows_are_set_aside(spark, tmp_path):
+    schema = "attempt_id INT, note_id STRING, stage STRING, ts TIMESTAMP, failure_stage STRING"
+
+    def batch(*rows_in):
+        return spark.createDataFrame([(i, "n", "tier2", datetime(2026, 1, d), "parse") for i, d in rows_in], schema)
+
+    store = carried.Carried(str(tmp_path))
+    step = carried.attempt_step(store)
+    step(batch((1, 3), (2, 2)), 0)
+    step(batch((3, 1), (4, 3), (5, 4)), 1)
+    step(batch((3, 1), (4, 3), (5, 4)), 1)
+    step(batch((6, 3), (7, 9)), 2)
+    step(batch((8, 9)), 3)
+    got = {r.attempt_id: r.n_counted for r in store.results(spark).collect()}
+    assert got == {2: 1, 1: 2, 4: 3, 5: 4, 7: 5, 8: 6}
+    assert sorted(r.attempt_id for r in store.late(spark, schema).collect()) == [3, 6]
+
+
 def test_dedupe_and_rates(spark, tmp_path):
     data = [(i, "a" if i % 2 else "b", datetime(2026, 1, 1, i % 20, i % 60), "slug_collision" if i % 3 else "created") for i in range(60)]
     df = spark.createDataFrame(data, "id INT, k STRING, ts TIMESTAMP, status STRING")
