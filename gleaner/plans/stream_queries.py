@@ -17,7 +17,7 @@ from gleaner.streaming import carried, windows
 
 
 #: parts of the events, oldest first, each arriving after the stream has run over those before it
-ARRIVALS = 4
+ARRIVALS = 3
 
 
 def _folder(t: Tables, name: str) -> str:
