@@ -8,6 +8,10 @@ bits is equal under some of the fifteen masks.  No pair within the radius is mis
 A bucket of more than `BUCKET` different fingerprints is dealt again by a second set of masks over the bits the first
 left open, which bounds what is compared at once by the number of bits then left.  A bucket yields a spanning forest of
 its links, never all its pairs.
+
+The pipeline's stage (`one_of_each`) links more: also texts whose sets of five-word shingles have a Jaccard similarity of
+`ALIKE` or more.  Candidates share one of `BANDS` keys of `ROWS` minima each, which a pair at 0.8 misses with probability
+5e-8; each is checked exactly.  A key's texts meet leaders first, and only what is not connected then meets in pairs.
 """
 
 from __future__ import annotations
@@ -27,6 +31,11 @@ from gleaner.llm.shared import bounded_batches, free_name, settled
 RADIUS, WORDS, SEED = 3, 3, 42
 #: Different fingerprints that a bucket may hold before it is dealt again.
 BUCKET = 512
+#: Near copies in the pipeline: words of a shingle, the least similarity in tenths, keys, minima of a key, rounds of leaders.
+NEAR_WORDS, ALIKE, BANDS, ROWS, LEADERS = 5, 8, 32, 4, 2
+_RNG = np.random.default_rng(SEED)
+FLIPS = _RNG.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
+FACTORS = _RNG.integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
 
 
 def _signed(value: int) -> int:
@@ -63,8 +72,38 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(counts * 2 > len(starts), bitorder="little").view("<u8")[0])
 
 
-def with_fingerprints(docs: DataFrame, text: str, name: str) -> DataFrame:
-    """The rows without their texts and with the fingerprint as a signed long."""
+def shingles(text: str | None, size: int = NEAR_WORDS) -> np.ndarray:
+    """Hashes of the different shingles of `size` words of a text, A-Z lowered, in order; of all words if there are fewer."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = np.concatenate([[0], ends[:-1]])[:max(len(words) - size + 1, 1)].tolist()
+    ends = (ends[min(size, len(words)) - 1:] - 1).tolist()
+    return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, ends)), np.uint64, len(starts)))
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """One key per band, as signed longs; none for a text without words."""
+    if not len(hashes):
+        return []
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 1024):
+        least = np.minimum(least, ((hashes[at:at + 1024, None] ^ FLIPS) * FACTORS).min(0))
+    return [_signed(xxhash.xxh64_intdigest(row.tobytes(), band)) for band, row in enumerate(least.reshape(BANDS, ROWS))]
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two ordered sets of hashes have a Jaccard similarity of ALIKE tenths or more."""
+    if 10 * min(len(a), len(b)) < ALIKE * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 10 * both >= ALIKE * (len(a) + len(b) - both)
+
+
+def with_of_text(docs: DataFrame, text: str, fields: dict[str, tuple]) -> DataFrame:
+    """The rows without their texts and with more columns: name to (Spark type, Arrow type, function of the text)."""
     bounded_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c != text]
     docs = docs.select(*kept, text)
@@ -72,11 +111,16 @@ def with_fingerprints(docs: DataFrame, text: str, name: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(len(kept)).to_pylist()
-            prints = pa.array([_signed(fingerprint(t)) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], prints], [*kept, name])
+            new = [pa.array([make(t) for t in texts], arrow) for _, arrow, make in fields.values()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], [*kept, *fields])
 
     return docs.mapInArrow(run, T.StructType([*[f for f in docs.schema.fields if f.name != text],
-                                              T.StructField(name, T.LongType())]))
+                                              *[T.StructField(n, spark) for n, (spark, *_) in fields.items()]]))
+
+
+def with_fingerprints(docs: DataFrame, text: str, name: str) -> DataFrame:
+    """The rows without their texts and with the fingerprint as a signed long."""
+    return with_of_text(docs, text, {name: (T.LongType(), pa.int64(), lambda t: _signed(fingerprint(t)))})
 
 
 def forest(prints: np.ndarray) -> np.ndarray:
@@ -137,26 +181,90 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
                                         "component_id")
 
 
-def with_components(rows: DataFrame) -> DataFrame:
-    """Rows with doc_id and fp, and their component_id.  Equal fingerprints are one node, so copies cost one row each."""
+def placed(rows: DataFrame) -> DataFrame:
+    """Different fingerprints (fp), the smallest doc_id of each (rep), and the root of the links of radius 3."""
     nodes = settled(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     roots = components(links(nodes))
-    placed = nodes.join(roots, nodes["fp"] == roots["node"], "left") \
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left") \
         .select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    smallest = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
-    return rows.join(placed.join(smallest, "root").select("fp", "component_id"), "fp")
+
+
+def with_components(rows: DataFrame, places: DataFrame | None = None) -> DataFrame:
+    """Rows with doc_id and fp, and their component_id.  Equal fingerprints are one node, so copies cost one row each."""
+    places = placed(rows) if places is None else places
+    smallest = places.groupBy("root").agg(F.min("rep").alias("component_id"))
+    return rows.join(places.join(smallest, "root").select("fp", "component_id"), "fp")
+
+
+def alike_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of pairs of texts (x, y) with their roots (rx, ry) the links (a, b) between roots of texts that are alike."""
+    both = pairs.join(sets.select(F.col("ka").alias("x"), F.col("hashes").alias("hx")), "x") \
+        .join(sets.select(F.col("ka").alias("y"), F.col("hashes").alias("hy")), "y").select("rx", "ry", "hx", "hy")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = [alike(np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8"))
+                    for x, y in zip(batch.column(2), batch.column(3))]
+            found = batch.filter(pa.array(near, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(found.columns[:2], ["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
+def joined_by_likeness(places: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """`places` with the roots that texts alike connect: rows have ka, fp and bands; texts have ka and text."""
+    places = settled(places)
+    one = rows.groupBy("ka").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands")) \
+        .join(places.select("fp", "root"), "fp")
+    keyed = one.select("ka", "root", F.explode("bands").alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    met = settled(keyed.join(shared.select("key"), "key"))
+    wanted = met.select(F.col("ka").alias("w")).distinct()
+    # equal texts have equal sets, so any of them will do
+    sets = settled(with_of_text(texts.join(wanted, F.col("ka") == F.col("w"), "left_semi").select("ka", "text"), "text", {
+        "hashes": (T.BinaryType(), pa.binary(), lambda t: shingles(t).astype("<u8").tobytes())}).dropDuplicates(["ka"]))
+    found, roots = None, None
+    for turn in range(LEADERS + 1):
+        now = met if roots is None else met.join(roots, met["root"] == roots["node"], "left").select(
+            "key", "ka", F.coalesce(roots["root"], met["root"]).alias("root"))
+        open_ = now.groupBy("key").agg(
+            F.min("root").alias("lo"), F.max("root").alias("hi"),
+            F.min(F.struct(F.xxhash64(F.lit(turn), "ka").alias("h"), "ka", "root")).alias("first")) \
+            .where("lo < hi").select("key", "first")
+        left = settled(now.join(open_, "key"))
+        if left.isEmpty():
+            break
+        if turn < LEADERS:
+            pairs = left.where(F.col("root") != F.col("first.root")).select(
+                F.col("ka").alias("x"), F.col("first.ka").alias("y"), F.col("root").alias("rx"),
+                F.col("first.root").alias("ry"))
+        else:
+            x, y = left.drop("first"), left.select("key", F.col("ka").alias("y"), F.col("root").alias("ry"))
+            pairs = x.join(y, "key").where("root < ry").select(F.col("ka").alias("x"), "y", F.col("root").alias("rx"), "ry")
+        new = settled(alike_links(pairs.distinct(), sets))
+        found = new if found is None else found.unionByName(new)
+        roots = settled(components(found))
+    if roots is None:
+        return places
+    return places.withColumnRenamed("root", "r").join(roots, F.col("r") == F.col("node"), "left") \
+        .select("fp", "rep", F.coalesce("root", "r").alias("root"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without near-duplicates: of each component the row of the smallest id stays (nulls last, then by
-    a hash of the text; of rows that agree in both, one).  All columns are kept."""
+    a hash of the text; of rows that agree in both, one).  All columns are kept.  Texts link within three bits, as in
+    operator 3, and where their five-word shingles are alike."""
     key = [F.col(id_col).alias("doc_id"), F.xxhash64(F.lit(1), text).alias("ka"),
            F.xxhash64(F.lit(2), text, F.length(text)).alias("kb")]
-    rows = settled(with_fingerprints(docs.select(*key, F.col(text).alias("text")), "text", "fp"))
+    whole = docs.select(*key, F.col(text).alias("text"))
+    rows = settled(with_of_text(whole, "text", {
+        "fp": (T.LongType(), pa.int64(), lambda t: _signed(fingerprint(t))),
+        "bands": (T.ArrayType(T.LongType()), pa.list_(pa.int64()), lambda t: band_keys(shingles(t)))}))
     different = rows.groupBy("doc_id", "ka", "kb").agg(F.count("*").alias("n"), F.first("fp").alias("fp"))
     nameless = F.when(F.col("component_id").isNull(), F.col("fp")).alias("g")
     w_id, w_a, w_b, w_n = (free_name(docs, n) for n in ("w_id", "w_a", "w_b", "w_n"))
-    best = with_components(different).groupBy("component_id", nameless) \
+    places = joined_by_likeness(placed(different), rows, whole.select("ka", "text"))
+    best = with_components(different, places).groupBy("component_id", nameless) \
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ka", "kb", "n")).alias("w")) \
         .select(F.col("w.doc_id").alias(w_id), F.col("w.ka").alias(w_a), F.col("w.kb").alias(w_b),
                 F.col("w.n").alias(w_n))
