@@ -4,6 +4,7 @@ Base patterns give spans of known shapes.  Beside them, every unbroken token of
 battery of randomness tests over the alphabet of the encoding it looks like: chi-squared uniformity of its symbols, runs
 above and below the middle symbol, and serial correlation.  What ordinary long words score in the same battery, by
 length, is the null distribution; a token's p-value is how likely an ordinary token of its length is as even as it is.
+A table of few such words takes the null from `REFERENCE`, so that one without any is tested as well.
 Within each band of lengths the false discovery rate is held at `LEVEL` (Benjamini and Hochberg, p-values rounded up to
 the edge of a bin, so that counts per bin are all that is gathered).
 """
@@ -34,6 +35,15 @@ ENCODINGS = (
 )
 #: What an ordinary word looks like; false discoveries allowed; bins of p-values for each factor of ten.
 ORDINARY, LEVEL, BINS = "^[A-Za-z]?[a-z]+$", 0.01, 10
+#: Ordinary words that a null needs at least, and long ones for tables that have fewer: common words in a row, cut to
+#: sizes of every band up to 181 characters.
+ENOUGH = 30
+_COMMON = ("information development international government community management understanding particular environment "
+           "experience education production technology department important different following available national "
+           "performance organization relationship individual everything according president character knowledge "
+           "population treatment").split()
+REFERENCE = ["".join((_COMMON * 2)[i:i + 24])[:size] for i in range(len(_COMMON))
+             for size in (20, 22, 24, 28, 33, 40, 47, 56, 66, 80, 93, 112, 140, 170)]
 
 
 def _spans(text: Column, pattern: str, least: int, group: int) -> Column:
@@ -108,13 +118,16 @@ def random_tokens(tokens: DataFrame, level: float = LEVEL) -> DataFrame:
     """Of different tokens (column token) those declared random: token, encoding, p."""
     scored = settled(battery(tokens.where(F.col("token").isNotNull())))
     ordinary = F.col("token").rlike(ORDINARY)
-    null = scored.where(ordinary).groupBy("band").agg(
-        F.count("*").alias("words"), F.avg("unevenness").alias("mean"), F.stddev_pop("unevenness").alias("sd"))
-    every = scored.where(ordinary).agg(F.avg("unevenness").alias("mean"), F.stddev_pop("unevenness").alias("sd")).first()
+    pooled = (F.count("*").alias("words"), F.avg("unevenness").alias("mean"), F.stddev_pop("unevenness").alias("sd"))
+    null, every = scored.where(ordinary).groupBy("band").agg(*pooled), scored.where(ordinary).agg(*pooled).first()
+    if every.words < ENOUGH:
+        words = tokens.sparkSession.range(1).select(F.explode(F.array(*[F.lit(w) for w in REFERENCE])).alias("token"))
+        known = battery(words)
+        null, every = known.groupBy("band").agg(*pooled), known.agg(*pooled).first()
     # a band of few words takes the scores of all words, which are shorter and so closer to random: a stricter null
     tested = scored.where(~ordinary).join(null, "band", "left") \
         .withColumn("mean0", F.lit(every.mean).cast("double")).withColumn("sd0", F.lit(every.sd).cast("double")) \
-        .withColumn("enough", F.coalesce(F.col("words") >= 30, F.lit(False))) \
+        .withColumn("enough", F.coalesce(F.col("words") >= ENOUGH, F.lit(False))) \
         .withColumn("z", (F.col("unevenness") - F.when(F.col("enough"), F.col("mean")).otherwise(F.col("mean0")))
                     / F.greatest(F.when(F.col("enough"), F.col("sd")).otherwise(F.col("sd0")), F.lit(0.5))) \
         .where(F.col("z").isNotNull()) \
