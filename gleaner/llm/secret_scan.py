@@ -5,6 +5,8 @@ battery of randomness tests over the alphabet of the encoding it looks like: chi
 above and below the middle symbol, and serial correlation.  What ordinary long words score in the same battery, by
 length, is the null distribution; a token's p-value is how likely an ordinary token of its length is as even as it is.
 A table of few such words takes the null from `REFERENCE`, so that one without any is tested as well.
+Beside a whole token its parts between `/`, `_` and `-` are tested, and UUIDs without their hyphens, as a random value
+glued to a name or path shows only alone; of spans within one another the widest declared stays.
 Within each band of lengths the false discovery rate is held at `LEVEL` (Benjamini and Hochberg, p-values rounded up to
 the edge of a bin, so that counts per bin are all that is gathered).
 """
@@ -24,7 +26,11 @@ BASE = (
     ("access", r"AKIA[A-Z0-9]{16,}", 20, 0),
     ("hex", r"[0-9a-f]{24,}", 24, 0),
 )
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+#: `=` stands only behind, as padding, so a name before it is a token of its own.
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
+UUID = "[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
+#: What is tested within a token: parts between slashes, parts without any joint, UUIDs.
+PARTS = (r"[A-Za-z0-9+_-]{20,}={0,2}", r"[A-Za-z0-9+]{20,}={0,2}", f"(?<![A-Za-z0-9]){UUID}(?![A-Za-z0-9])")
 #: Encodings by the characters they use, the narrowest that fits: pattern and alphabet.
 ENCODINGS = (
     ("decimal", "^[0-9]+$", "0123456789"),
@@ -78,7 +84,8 @@ def normal_below(z: Column) -> Column:
 def battery(tokens: DataFrame) -> DataFrame:
     """(token) with n, band, encoding and unevenness: the sum of the three tests' normal scores, about -1 to 2 for
     random tokens and growing with length for all others."""
-    core = F.regexp_replace(F.translate("token", "-_", "+/"), "=", "")
+    core = F.when(F.col("token").rlike(f"^{UUID}$"), F.translate(F.lower("token"), "-", "")) \
+        .otherwise(F.regexp_replace(F.translate("token", "-_", "+/"), "=", ""))
     kind, letters = F.lit(ENCODINGS[-1][0]), F.lit(ENCODINGS[-1][2])
     for name, pattern, alphabet in reversed(ENCODINGS[:-1]):
         kind = F.when(core.rlike(pattern), name).otherwise(kind)
@@ -160,12 +167,23 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
             s["start"].alias("start"), F.lit(i).alias("no"), s["end"].alias("end")))
 
     rows = rows.withColumn("base", F.array_sort(F.concat(*[tagged(i) for i in range(len(BASE))])))
-    free = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
-    rows = settled(rows.select("doc_id", "ka", "kb", "base", free.alias("tokens")))
-    each = rows.where(F.size("tokens") > 0).select("doc_id", "ka", "kb", F.explode("tokens").alias("t")).select(
-        "doc_id", "ka", "kb", "t.start", "t.end", F.col("t.found").alias("token"))
+    rows = settled(rows.select("doc_id", "ka", "kb", "base", "tokens"))
+    whole_tokens = rows.where(F.size("tokens") > 0).select("doc_id", "ka", "kb", "base", F.explode("tokens").alias("t"))
+    parts = F.array(F.struct(F.lit(0).cast("long").alias("start"), (F.col("t.end") - F.col("t.start")).alias("end"),
+                             F.col("t.found").alias("found"), F.col("t.size").alias("size")))
+    parts = F.array_distinct(F.concat(parts, *[_spans(F.col("t.found"), p, 20, 0) for p in PARTS]))
+    each = whole_tokens.select("doc_id", "ka", "kb", "base", F.col("t.start").alias("at"), F.explode(parts).alias("p")) \
+        .select("doc_id", "ka", "kb", "base", (F.col("at") + F.col("p.start")).alias("start"),
+                (F.col("at") + F.col("p.end")).alias("end"), F.col("p.found").alias("token")) \
+        .where(~F.exists("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))).drop("base")
+    each = settled(each)
     declared = random_tokens(each.select("token").distinct())
-    added = each.join(declared.select("token"), "token").groupBy("doc_id", "ka", "kb").agg(
+    # spans of one token lie within one another or apart
+    before = W.partitionBy("doc_id", "ka", "kb").orderBy("start", F.col("end").desc()).rowsBetween(
+        W.unboundedPreceding, -1)
+    spans = each.join(declared.select("token"), "token").select("doc_id", "ka", "kb", "start", "end").distinct() \
+        .withColumn("reached", F.max("end").over(before))
+    added = spans.where(F.col("reached").isNull() | (F.col("reached") < F.col("end"))).groupBy("doc_id", "ka", "kb").agg(
         F.array_sort(F.collect_set(F.struct("start", "end"))).alias("found")) \
         .select(F.col("doc_id").alias("f_id"), F.col("ka").alias("f_a"), F.col("kb").alias("f_b"), "found")
     names = F.array(*[F.lit(name) for name, *_ in BASE])

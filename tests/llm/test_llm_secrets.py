@@ -29,3 +29,31 @@ def test_a_few_long_words_change_nothing(spark):
     words = [(100, "internationalizationsettings"), (101, "abababababababababababab")]
     got = found(spark, rows + words)
     assert got.pop(100) == got.pop(101) == [] and got == found(spark, rows)
+
+
+def test_values_glued_to_names_and_paths(spark):
+    rng = random.Random(5)
+    rows, want = [], {}
+    for glue, size in (("aws_secret_access_key=", 40), ("AWS_SECRET_ACCESS_KEY=", 40),
+                       ("https://host/download/session/", 40)):
+        letters = string.ascii_letters + string.digits
+        for _ in range(15):
+            value = "".join(rng.choice(letters) for _ in range(size))
+            want[len(rows)] = (len(glue), len(glue) + size)
+            rows.append((len(rows), glue + value))
+    for _ in range(15):
+        digits = "%032x" % rng.getrandbits(128)
+        uuid = "-".join((digits[:8], digits[8:12], digits[12:16], digits[16:20], digits[20:]))
+        want[len(rows)] = (3, 39)
+        rows.append((len(rows), f"id {uuid} end"))
+    got = found(spark, rows)
+    for first in range(0, 60, 15):
+        hit = sum(any(a <= want[i][0] and want[i][1] <= b for a, b in got[i]) for i in range(first, first + 15))
+        assert hit >= 12, (first, hit)
+
+
+def test_padding_stays_with_its_value(spark):
+    rng = random.Random(6)
+    keys = ["".join(rng.choice(BASE64) for _ in range(43)) + "=" for _ in range(10)]
+    got = found(spark, [(i, f"k {key} e") for i, key in enumerate(keys)])
+    assert sum(got[i] == [(2, 46)] for i in range(10)) >= 8
