@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm import (
-    chat_format, line_dedup, permutation_index, piece_codec, secret_scan, simhash_dedup, source_mix, token_counts,
-    toxicity, vectors,
+    byte_shards, chat_format, chat_repair, filter_audit, line_dedup, permutation_index, piece_codec, secret_scan,
+    simhash_dedup, source_mix, token_counts, toxicity, vectors,
 )
+from gleaner.llm.shared import settled
 from gleaner.session import apply_settings
 
 PIECES, RANKS = "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"
@@ -98,6 +99,31 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    cells = filter_audit.cells(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return filter_audit.interactions(cells)
+
+
+def op12_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
+    rows = byte_shards.shard_list(_table(spark, folder, "documents"))
+    return rows.select("doc_id", "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = _table(spark, folder, "conversations")
+    turns = chat_repair.damaged(given)
+    audits = settled(chat_repair.audited(turns))
+    rows = audits.join(chat_repair.digests(turns, audits).withColumnRenamed("conv_id", "c"),
+                       F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
+    every = given.select(F.col("conv_id").alias("c")).distinct()
+    counts = [F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in (
+        "gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(rows, F.col("conv_id").eqNullSafe(F.col("c")), "left").select(
+        F.col("c").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -178,10 +204,76 @@ select conv_id, count(*) as n_turns,
 from o group by conv_id
 """
 
+OP11_SQL = r"""
+with d as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as body,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
+    coalesce(doc_id > min(doc_id) over (partition by coalesce(text, '')), false) as copied from documents),
+m as (
+  select doc_id, part, (len(words) < 50)::int + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::int
+    + 4 * (100 * len(regexp_extract_all(body, '[A-Z]')) > 5 * length(body))::int
+    + 8 * regexp_matches(body, '[#$%&*|]')::int + 16 * copied::int as mask from d),
+l as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+c as (
+  select part, mask, count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(toxic), 0) as toxic
+  from m left join l using (doc_id) group by part, mask),
+f as (select * from (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) as t(x, bit)),
+o as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+  from f a, f b, f c, f d, f e where a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s as (
+  select filter_order, i::int as step, bits[i] as bit, list_sum(list_concat([0], bits[1:i - 1]))::int as earlier
+  from o, unnest(range(1, 6)) as t(i)),
+r as (
+  select part, filter_order, step, bit,
+    sum(case when mask & (earlier | bit) = 0 then n else 0 end)::bigint as kept,
+    sum(case when mask & earlier = 0 and mask & bit > 0 then n else 0 end)::bigint as removed,
+    sum(case when mask & earlier > 0 and mask & bit > 0 then n else 0 end)::bigint as redundant,
+    sum(case when mask = bit then n else 0 end)::bigint as unique_fails,
+    sum(case when mask & earlier = 0 and mask & bit > 0 then good else 0 end)::bigint as good_lost,
+    sum(case when mask & earlier = 0 and mask & bit > 0 then toxic else 0 end)::bigint as toxic_lost
+  from s, c group by part, filter_order, step, bit)
+select * exclude (bit), sum(removed) over (partition by part, bit)::bigint as shapley from r
+"""
+
+OP12_SQL = """
+with k as (
+  select list(list_reduce(list_concat([i], range(8)), lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384)
+    else c >> 1 end) order by i) as t from (select unnest(range(256))::bigint as i)),
+d as (
+  select doc_id, coalesce(strlen(text), 0)::bigint + 1 as size, xor(4294967295, list_reduce(
+      list_concat([4294967295::bigint], list_transform(
+        regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::bigint)),
+      lambda c, x: xor(c >> 8, k.t[(xor(c, x) & 255) + 1])))::bigint as text_crc32,
+    md5(coalesce(text, '')) as a, substr(md5(coalesce(doc_id::varchar, '')), 1, 16) as b, row_number() over () as nth
+  from documents, k),
+o as (
+  select *, row_number() over w - 1 as pos, (sum(size) over w)::bigint as upto, (sum(size) over ())::bigint as total
+  from d window w as (order by a, b, nth)),
+g as (
+  select a, min(upto - size) as lo, max(upto) as hi, min(pos) as first, max(pos) + 1 as behind, any_value(total) as total
+  from o group by a),
+s as (select i as s from unnest(range(1, 8)) as t(i)),
+ends as (
+  select s, 8 * lo as lo, 8 * hi as hi, s * total as place, first, behind, a, total,
+    100 * least(s * total - 8 * lo, 8 * hi - s * total) <= total as near
+  from s join g on 8 * lo <= s * total and s * total < 8 * hi),
+cut as (
+  select s, case when place - lo <= hi - place then first else behind end as cut from ends where near
+  union all
+  select s, case when e.place - 8 * (upto - size) <= 8 * upto - e.place then pos else pos + 1 end
+  from ends e join o on e.a = o.a and 8 * (upto - size) <= e.place and e.place < 8 * upto where not near),
+p as (select o.*, (select count(*) from cut where cut <= o.pos)::int as shard from o)
+select doc_id, size, text_crc32, 'bytes' as law, shard,
+  row_number() over (partition by shard order by pos) - 1 as slot, null::int as grown_shard
+from p
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sentencepiece, op2_exact_top_k, op3_simhash, op4_line_dedup, op5_source_mix, op6_toxicity, op7_secrets,
-        op8_token_counts, op9_permutation_index, op10_chat_format, pipeline)}
+        op8_token_counts, op9_permutation_index, op10_chat_format, op11_filter_audit, op12_byte_shards,
+        op13_chat_repair, pipeline)}
 
 ORACLES = {"op2_exact_top_k": OP2_SQL, "op4_line_dedup": OP4_SQL, "op5_source_mix": OP5_SQL,
-           "op10_chat_format": OP10_SQL}
+           "op10_chat_format": OP10_SQL, "op11_filter_audit": OP11_SQL, "op12_byte_shards": OP12_SQL}

@@ -25,7 +25,7 @@ def duck():
 
 def test_all_are_registered():
     assert queries.QUERIES.keys() <= entry.queries().keys() and queries.ORACLES.keys() <= entry.oracle_sql().keys()
-    assert [n.split("_")[0] for n in queries.QUERIES] == [*[f"op{i}" for i in range(1, 11)], "pipeline"]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [*[f"op{i}" for i in range(1, 14)], "pipeline"]
 
 
 @pytest.mark.parametrize("name", list(queries.ORACLES))
@@ -44,7 +44,7 @@ def test_native_plans(spark, name):
         assert word not in plan
 
 
-@pytest.mark.parametrize("name", ["op5_source_mix", "op6_toxicity", "op7_secrets", "op9_permutation_index"])
+@pytest.mark.parametrize("name", ["op5_source_mix", "op6_toxicity", "op7_secrets", "op9_permutation_index", "op12_byte_shards"])
 def test_reruns_agree(spark, name):
     first, second = (queries.QUERIES[name](spark, SMALL) for _ in range(2))
     assert rows_of(first.columns, first.collect()) == rows_of(second.columns, second.collect())
