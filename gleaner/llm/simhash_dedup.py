@@ -11,7 +11,8 @@ its links, never all its pairs.
 
 The pipeline's stage (`one_of_each`) links more: also texts whose sets of five-word shingles have a Jaccard similarity of
 `ALIKE` or more.  Candidates share one of `BANDS` keys of `ROWS` minima each, which a pair at 0.8 misses with probability
-5e-8; each is checked exactly.  A key's texts meet leaders first, and only what is not connected then meets in pairs.
+5e-8; each is checked exactly.  A key's texts meet leaders first, and what is not connected then meets by its rarest
+shingles, which spares pairs that cannot be alike.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from gleaner.llm.components import components
 from gleaner.llm.shared import bounded_batches, free_name, settled
@@ -33,6 +35,8 @@ RADIUS, WORDS, SEED = 3, 3, 42
 BUCKET = 512
 #: Near copies in the pipeline: words of a shingle, the least similarity in tenths, keys, minima of a key, rounds of leaders.
 NEAR_WORDS, ALIKE, BANDS, ROWS, LEADERS = 5, 8, 32, 4, 2
+#: Rounds of leaders among texts that share rare shingles.
+PREFIX_LEADERS = 2
 _RNG = np.random.default_rng(SEED)
 FLIPS = _RNG.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
 FACTORS = _RNG.integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
@@ -203,16 +207,40 @@ def alike_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = [alike(np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8"))
-                    for x, y in zip(batch.column(2), batch.column(3))]
+            near = [alike(x.values.to_numpy(), y.values.to_numpy()) for x, y in zip(batch.column(2), batch.column(3))]
             found = batch.filter(pa.array(near, pa.bool_()))
             yield pa.RecordBatch.from_arrays(found.columns[:2], ["a", "b"])
 
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+def prefixes(sets: DataFrame) -> DataFrame:
+    """(key, ka, ahead, n): the rarest shingles of each set, with how many of its n shingles are not rarer.
+
+    Shingles stand in one order for all sets, those of fewest sets first.  Two sets that are alike have
+    `enough_ahead` of them from their first common one on, so it stands among the first fifth of each; a shingle of one
+    set alone is nobody's first common one.
+    """
+    each = sets.select("ka", F.explode("hashes").alias("key"), F.size("hashes").alias("n"))
+    held = each.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    order = Window.partitionBy("ka").orderBy(F.coalesce("c", F.lit(1)), "key")
+    rows = each.join(held, "key", "left").withColumn("ahead", F.col("n") - F.row_number().over(order) + 1)
+    return rows.where(F.col("c").isNotNull() & (10 * F.col("ahead") >= ALIKE * F.col("n"))).select("key", "ka", "ahead", "n")
+
+
+def enough_ahead(ahead: Column, other_ahead: Column, n: Column, other_n: Column) -> Column:
+    """Whether two sets may still have as many shingles in common as sets of their sizes need to be alike."""
+    return (10 + ALIKE) * F.least(ahead, other_ahead) >= ALIKE * (n + other_n)
+
+
 def joined_by_likeness(places: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """`places` with the roots that texts alike connect: rows have ka, fp and bands; texts have ka and text."""
+    """`places` with the roots that texts alike connect: rows have ka, fp and bands; texts have ka and text.
+
+    Texts that share a key of minima meet in rounds: in each round all of a key's texts meet one of them, the leader,
+    and only keys whose texts are not all connected go on.  What the keys of minima leave open meets by rarest shingles,
+    again by leaders first; there pairs that their places rule out do not meet.  In the last round every pair meets that
+    could still be alike.
+    """
     places = settled(places)
     one = rows.groupBy("ka").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands")) \
         .join(places.select("fp", "root"), "fp")
@@ -222,28 +250,55 @@ def joined_by_likeness(places: DataFrame, rows: DataFrame, texts: DataFrame) ->
     wanted = met.select(F.col("ka").alias("w")).distinct()
     # equal texts have equal sets, so any of them will do
     sets = settled(with_of_text(texts.join(wanted, F.col("ka") == F.col("w"), "left_semi").select("ka", "text"), "text", {
-        "hashes": (T.BinaryType(), pa.binary(), lambda t: shingles(t).astype("<u8").tobytes())}).dropDuplicates(["ka"]))
-    found, roots = None, None
-    for turn in range(LEADERS + 1):
+        "hashes": (T.ArrayType(T.LongType()), pa.list_(pa.int64()), lambda t: shingles(t).view("<i8"))})
+        .dropDuplicates(["ka"]))
+    links_so_far: list[DataFrame] = []
+    roots: DataFrame | None = None
+
+    def still_open(met: DataFrame, turn: int) -> DataFrame:
+        """What meets in keys that are not connected yet, with today's roots and the key's leader of this turn."""
         now = met if roots is None else met.join(roots, met["root"] == roots["node"], "left").select(
-            "key", "ka", F.coalesce(roots["root"], met["root"]).alias("root"))
-        open_ = now.groupBy("key").agg(
-            F.min("root").alias("lo"), F.max("root").alias("hi"),
-            F.min(F.struct(F.xxhash64(F.lit(turn), "ka").alias("h"), "ka", "root")).alias("first")) \
+            *[c for c in met.columns if c != "root"], F.coalesce(roots["root"], met["root"]).alias("root"))
+        whole = F.struct(F.xxhash64(F.lit(turn), "key", "ka").alias("by"), *[c for c in met.columns if c != "key"])
+        open_ = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(whole).alias("first")) \
             .where("lo < hi").select("key", "first")
-        left = settled(now.join(open_, "key"))
-        if left.isEmpty():
-            break
-        if turn < LEADERS:
-            pairs = left.where(F.col("root") != F.col("first.root")).select(
-                F.col("ka").alias("x"), F.col("first.ka").alias("y"), F.col("root").alias("rx"),
-                F.col("first.root").alias("ry"))
-        else:
-            x, y = left.drop("first"), left.select("key", F.col("ka").alias("y"), F.col("root").alias("ry"))
-            pairs = x.join(y, "key").where("root < ry").select(F.col("ka").alias("x"), "y", F.col("root").alias("rx"), "ry")
-        new = settled(alike_links(pairs.distinct(), sets))
-        found = new if found is None else found.unionByName(new)
+        return settled(now.join(open_, "key"))
+
+    def connect(pairs: DataFrame) -> None:
+        nonlocal roots
+        links_so_far.append(settled(alike_links(pairs.distinct(), sets)))
+        found = links_so_far[0]
+        for more in links_so_far[1:]:
+            found = found.unionByName(more)
         roots = settled(components(found))
+
+    def with_leader(left: DataFrame) -> DataFrame:
+        return left.where(F.col("root") != F.col("first.root")).select(
+            F.col("ka").alias("x"), F.col("first.ka").alias("y"), F.col("root").alias("rx"),
+            F.col("first.root").alias("ry"))
+
+    left = None
+    for turn in range(LEADERS + 1):
+        left = still_open(met, turn)
+        if turn == LEADERS or left.isEmpty():
+            break
+        connect(with_leader(left))
+    if not left.isEmpty():
+        open_texts = left.groupBy("ka").agg(F.first("root").alias("root"))
+        posted = settled(prefixes(sets.join(open_texts, "ka", "left_semi")).join(open_texts, "ka"))
+        for turn in range(PREFIX_LEADERS + 1):
+            left = still_open(posted, turn)
+            if left.isEmpty():
+                break
+            if turn < PREFIX_LEADERS:
+                connect(with_leader(left.where(enough_ahead(
+                    F.col("ahead"), F.col("first.ahead"), F.col("n"), F.col("first.n")))))
+            else:
+                x, y = left.drop("first"), left.select("key", *[F.col(c).alias(f"y_{c}") for c in posted.columns if c != "key"])
+                both = x.join(y, (x["key"] == y["key"]) & (F.col("root") < F.col("y_root")) & enough_ahead(
+                    F.col("ahead"), F.col("y_ahead"), F.col("n"), F.col("y_n")))
+                connect(both.select(F.col("ka").alias("x"), F.col("y_ka").alias("y"), F.col("root").alias("rx"),
+                                    F.col("y_root").alias("ry")))
     if roots is None:
         return places
     return places.withColumnRenamed("root", "r").join(roots, F.col("r") == F.col("node"), "left") \

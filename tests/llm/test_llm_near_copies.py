@@ -64,3 +64,31 @@ def test_a_large_group_of_near_copies(spark):
     rows = [(i, edited(rng, base, 2)) for i in range(400)]
     got = simhash_dedup.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
     assert [r.doc_id for r in got] == plain_kept(rows) == [0]
+
+
+def counted(monkeypatch):
+    met, plain = [], simhash_dedup.alike_links
+    monkeypatch.setattr(simhash_dedup, "alike_links", lambda pairs, sets: met.append(pairs.count()) or plain(pairs, sets))
+    return met
+
+
+def test_a_group_just_below_the_limit_meets_leaders_only(spark, monkeypatch):
+    """2,000 texts share 170 of 192 words (Jaccard 0.76) and all keys of minima; none is alike, and pairs do not meet."""
+    met, rng = counted(monkeypatch), random.Random(7)
+    base = [f"w{rng.randrange(3000)}" for _ in range(170)]
+    rows = [(i, " ".join(base[:80] + [f"own{i}x{k}" for k in range(22)] + base[80:])) for i in range(2000)]
+    assert 0.7 < len(plain_shingles(rows[0][1]) & plain_shingles(rows[1][1])) / len(
+        plain_shingles(rows[0][1]) | plain_shingles(rows[1][1])) < 0.8
+    got = simhash_dedup.one_of_each(spark.createDataFrame(rows, SCHEMA)).count()
+    prints = {simhash_dedup.fingerprint(t) for _, t in rows}
+    assert got <= len(prints) and sum(met) < 100 * len(rows)
+
+
+def test_mixed_group_equals_all_pairs(spark):
+    """Copies of one text edited a little or a lot: all leaders leave some open, and rare shingles find the rest."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(3000)}" for _ in range(160)]
+    rows = [(i, edited(rng, base, rng.choice([1, 2, 3, 4, 6, 9, 14]))) for i in range(220)]
+    rows += [(1000 + i, " ".join(t.split()[rng.randint(0, 20):])) for i, t in rows[:60]] + [(2000, ""), (2001, None)]
+    got = simhash_dedup.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(r.doc_id for r in got) == plain_kept([(i, t or "") for i, t in rows])
