@@ -74,6 +74,139 @@ def _distinct_vectors(df: DataFrame, keep: int) -> tuple[DataFrame, DataFrame]:
     return firsts.join(some, ["profile", "vkey"]), keyed.select("profile", "vkey", "id")
 
 
+def _block_pairs(visits: DataFrame, placed: DataFrame, cells: DataFrame, block_rows: int, payload: str
+                 ) -> tuple[DataFrame, DataFrame, list[str], list[str]]:
+    """Queries and the notes of the cells they visit, both cut into blocks of bounded size, and the names to cogroup by.
+
+    Visits have profile, qkey, q<payload>, cell and blocks; placed has profile, vkey, ids, <payload> and cell; cells say
+    how many blocks each has.
+    """
+    load = visits.groupBy("profile", "cell").agg(
+        F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("qblocks"))
+    group = ["profile", "cell", "block", "qblock"]
+    query_side = visits.join(load, ["profile", "cell"]).select(
+        "profile", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.pmod(F.xxhash64("qkey"), F.col("qblocks")).cast("int").alias("qblock"), "qkey", f"q{payload}")
+    # the two sides of the cogroup come from the same tables: give the note side names of its own
+    note_group = [f"n_{g}" for g in group]
+    note_side = placed.join(cells, ["profile", "cell"]).join(load, ["profile", "cell"]).select(
+        F.col("profile").alias("n_profile"), F.col("cell").alias("n_cell"),
+        F.pmod(F.xxhash64("vkey"), F.col("blocks")).cast("int").alias("n_block"),
+        F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1)).alias("n_qblock"), F.col("vkey").alias("vkey"),
+        F.col(payload).alias(payload), F.get("ids", F.lit(0)).alias("first_id"))
+    return query_side, note_side, group, note_group
+
+
+def _ranked(found: DataFrame, placed: DataFrame, members: DataFrame, k: int, id_type: str) -> DataFrame:
+    """The k best ids of every query row, from (profile, qkey, vkey, score) with at least k + 1 rows per query if so many
+    are there; every id of equal vectors counts, the query's own does not."""
+    keep = k + 1
+    ids = placed.select("profile", "vkey", "ids")
+    best = Window.partitionBy("profile", "qkey").orderBy(F.col("score").desc(), "first_id")
+    # bounded: k+1 rows per query, each with the k+1 lowest ids of equal vectors
+    top = (
+        found.join(ids, ["profile", "vkey"]).withColumn("first_id", F.get("ids", F.lit(0)))
+        .withColumn("_rn", F.row_number().over(best)).where(F.col("_rn") <= keep)
+        .groupBy("profile", "qkey")
+        .agg(F.flatten(F.collect_list(F.transform(
+            "ids", lambda i: F.struct((-F.col("score")).alias("neg"), i.alias("id"))))).alias("cands"))
+        .withColumn("cands", F.slice(F.array_sort("cands"), 1, keep))
+    )
+    hits = members.withColumnRenamed("vkey", "qkey").join(top, ["profile", "qkey"]).select(
+        "profile", F.col("id").alias("source_id"),
+        F.posexplode(F.slice(F.filter("cands", lambda c: c["id"] != F.col("id")), 1, k)).alias("pos", "c"))
+    return hits.select(
+        "profile", "source_id", F.col("c.id").cast(id_type).alias("target_id"), (-F.col("c.neg")).alias("score"),
+        (F.col("pos") + 1).alias("rank"))
+
+
+def _cells_of_sample(notes: DataFrame, cells: int, sample_rows: int, rounds: int = 5) -> np.ndarray:
+    """Unit centres of groups of a bounded sample (rows of low hash), by a few rounds of k-means: one for every 32
+    vectors, at most `cells`."""
+    rows = notes.select("vector").orderBy(F.xxhash64("id"), "id").limit(sample_rows).collect()
+    points = np.unique(_unit(pd.Series([r.vector for r in rows])), axis=0) if rows else np.zeros((0, 1))
+    centres = points[np.random.default_rng(0).permutation(len(points))[:min(cells, -(-len(points) // 32))]]
+    for _ in range(rounds if len(points) > len(centres) else 0):
+        nearest = (points @ centres.T).argmax(axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, points)
+        length = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(length > 0, sums / np.where(length == 0, 1.0, length), centres)
+    return centres
+
+
+def related_index(
+    queries: DataFrame, notes: DataFrame, k: int = RELATED_LIMIT, threshold: float = THRESHOLDS["edge_score"],
+    cells: int = 256, visits: int = 24, shortlist: int = 256, bits: int = 256, sample_rows: int = 16_384,
+    block_rows: int = 4096,
+) -> DataFrame:
+    """`related_to` by an index: same inputs and columns, scores exact, but a related note may be missed.
+
+    Notes lie in cells around centres of a bounded sample; a query visits the `visits` nearest cells of its profile.
+    There notes are compared by signatures (signs of `bits` random projections), the `shortlist` of fewest differing
+    bits over all cells is compared exactly, and what reaches the threshold is ranked.  So a query compares at most
+    `shortlist` vectors however many notes there are; signatures are 1/16 to 1/64 of their vectors.  Every note is
+    indexed; vectors of other lengths than the sample's first are an error, as in `related_to`.
+    """
+    checkpoint_dir(notes.sparkSession)
+    profile_type, id_type = dict(notes.dtypes)["profile"], dict(notes.dtypes)["id"]
+    centres = _cells_of_sample(notes, cells, sample_rows)
+    if not len(centres):
+        return queries.select("profile", F.col("id").alias("source_id"), F.col("id").alias("target_id"),
+                              F.lit(0.0).alias("score"), F.lit(0).alias("rank")).limit(0)
+    planes = np.random.default_rng(1).standard_normal((centres.shape[1], bits))
+
+    @F.pandas_udf("struct<near:array<int>,signature:binary>")
+    def indexed(vectors: pd.Series) -> pd.DataFrame:
+        unit = _unit(vectors)
+        near = np.argsort(-(unit @ centres.T), axis=1, kind="stable")[:, :visits].astype("int32")
+        return pd.DataFrame({"near": list(near), "signature": [r.tobytes() for r in np.packbits(unit @ planes > 0, axis=1)]})
+
+    def with_index(df: DataFrame) -> DataFrame:
+        return df.withColumn("_i", indexed("vector")).select(*df.columns, "_i.*")
+
+    note_vecs, members = _distinct_vectors(notes, k + 1)
+    placed = with_index(note_vecs).withColumn("cell", F.get("near", F.lit(0))).checkpoint()
+    query_vecs = placed
+    if queries is not notes:
+        query_vecs, members = _distinct_vectors(queries, 1)
+        query_vecs = with_index(query_vecs).checkpoint()
+    sizes = placed.groupBy("profile", "cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
+    visiting = query_vecs.select("profile", F.col("vkey").alias("qkey"), F.col("signature").alias("qsignature"),
+                                 F.explode("near").alias("cell")).join(sizes, ["profile", "cell"])
+    query_side, note_side, group, note_group = _block_pairs(visiting, placed, sizes, block_rows, "signature")
+
+    def nearest_in_block(q: pd.DataFrame, n: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or n.empty:
+            return pd.DataFrame({"profile": [], "qkey": [], "vkey": [], "differ": []})
+        n = n.sort_values("vkey", ignore_index=True)
+        theirs = np.frombuffer(b"".join(n["signature"]), "<u8").reshape(len(n), -1)
+        mine = np.frombuffer(b"".join(q["qsignature"]), "<u8").reshape(len(q), -1)
+        taken, differ = [], []
+        for one in mine:
+            away = np.bitwise_count(theirs ^ one).sum(axis=1, dtype="int32")
+            some = np.argsort(away, kind="stable")[:shortlist]
+            taken.append(some)
+            differ.append(away[some])
+        rows = np.repeat(np.arange(len(q)), [len(t) for t in taken])
+        return pd.DataFrame({"profile": q["profile"].to_numpy()[rows], "qkey": q["qkey"].to_numpy()[rows],
+                             "vkey": n["vkey"].to_numpy()[np.concatenate(taken)], "differ": np.concatenate(differ)})
+
+    listed = query_side.groupBy(*group).cogroup(note_side.groupBy(*note_group)).applyInPandas(
+        nearest_in_block, f"profile {profile_type}, qkey STRING, vkey STRING, differ INT")
+    fewest = Window.partitionBy("profile", "qkey").orderBy("differ", "vkey")
+    listed = listed.withColumn("_rn", F.row_number().over(fewest)).where(F.col("_rn") <= shortlist).drop("_rn")
+
+    @F.pandas_udf("double")
+    def cosine(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(np.round((_unit(a) * _unit(b)).sum(axis=1), SIM_DIGITS))
+
+    vectors = query_vecs.select("profile", F.col("vkey").alias("qkey"), F.col("vector").alias("qvector"))
+    found = listed.join(vectors, ["profile", "qkey"]).join(placed.select("profile", "vkey", "vector"), ["profile", "vkey"]) \
+        .select("profile", "qkey", "vkey", cosine("qvector", "vector").alias("score")).where(F.col("score") >= threshold)
+    return _ranked(found, placed, members, k, id_type)
+
+
 def related_to(
     queries: DataFrame, notes: DataFrame, k: int = RELATED_LIMIT, threshold: float = THRESHOLDS["edge_score"],
     pivots: int | None = None, block_rows: int = 4096,
@@ -129,19 +262,7 @@ def related_to(
         )
         .select("profile", "qkey", "qvector", "c.cell", "c.blocks")
     )
-    load = visits.groupBy("profile", "cell").agg(
-        F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("qblocks"))
-    group = ["profile", "cell", "block", "qblock"]
-    query_side = visits.join(load, ["profile", "cell"]).select(
-        "profile", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.pmod(F.xxhash64("qkey"), F.col("qblocks")).cast("int").alias("qblock"), "qkey", "qvector")
-    # the two sides of the cogroup come from the same tables: give the note side names of its own
-    note_group = [f"n_{g}" for g in group]
-    note_side = placed.join(cells, ["profile", "cell"]).join(load, ["profile", "cell"]).select(
-        F.col("profile").alias("n_profile"), F.col("cell").alias("n_cell"),
-        F.pmod(F.xxhash64("vkey"), F.col("blocks")).cast("int").alias("n_block"),
-        F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1)).alias("n_qblock"), F.col("vkey").alias("vkey"),
-        F.col("vector").alias("vector"), F.get("ids", F.lit(0)).alias("first_id"))
+    query_side, note_side, group, note_group = _block_pairs(visits, placed, cells, block_rows, "vector")
     id_type = dict(notes.dtypes)["id"]
     profile_type = dict(notes.dtypes)["profile"]
 
@@ -163,23 +284,7 @@ def related_to(
 
     found = query_side.groupBy(*group).cogroup(note_side.groupBy(*note_group)).applyInPandas(
         best_in_block, f"profile {profile_type}, qkey STRING, vkey STRING, score DOUBLE")
-    ids = placed.select("profile", "vkey", "ids")
-    best = Window.partitionBy("profile", "qkey").orderBy(F.col("score").desc(), "first_id")
-    # bounded: k+1 rows per query, each with the k+1 lowest ids of equal vectors
-    top = (
-        found.join(ids, ["profile", "vkey"]).withColumn("first_id", F.get("ids", F.lit(0)))
-        .withColumn("_rn", F.row_number().over(best)).where(F.col("_rn") <= keep)
-        .groupBy("profile", "qkey")
-        .agg(F.flatten(F.collect_list(F.transform(
-            "ids", lambda i: F.struct((-F.col("score")).alias("neg"), i.alias("id"))))).alias("cands"))
-        .withColumn("cands", F.slice(F.array_sort("cands"), 1, keep))
-    )
-    hits = members.withColumnRenamed("vkey", "qkey").join(top, ["profile", "qkey"]).select(
-        "profile", F.col("id").alias("source_id"),
-        F.posexplode(F.slice(F.filter("cands", lambda c: c["id"] != F.col("id")), 1, k)).alias("pos", "c"))
-    return hits.select(
-        "profile", "source_id", F.col("c.id").cast(id_type).alias("target_id"), (-F.col("c.neg")).alias("score"),
-        (F.col("pos") + 1).alias("rank"))
+    return _ranked(found, placed, members, k, id_type)
 
 
 def related_edges(related: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gleaner.plans import (  # noqa: F401
-    file_queries, note_queries, registry, run_queries, stream_queries, text_queries,
+    file_queries, note_queries, registry, run_queries, source_queries, stream_queries, text_queries,
 )
 
 

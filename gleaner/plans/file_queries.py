@@ -69,8 +69,8 @@ def note_months(t: Tables) -> DataFrame:
         day.alias("published"))
     writers.write_notes(notes, path)
     writers.write_notes(notes.where("cast(note_id as bigint) % 5 = 0").withColumn("version", F.lit(2).cast("bigint")), path)
-    stored = t.spark.read.schema("note_id STRING, version BIGINT, full_text STRING, kind STRING, source STRING, "
-                                 "year STRING, month STRING").parquet(path)
+    stored = writers.read_notes_table(t.spark, path, "note_id STRING, version BIGINT, full_text STRING, kind STRING, "
+                                                     "source STRING, year STRING, month STRING")
     return stored.select("note_id", "kind", "source", "year", "month", "version", F.md5("full_text").alias("full_text_md5"))
 
 
@@ -88,9 +88,9 @@ def edge_table(t: Tables) -> DataFrame:
             F.col("event_type").alias("target_note_id"),
             F.struct(F.lit("vector").alias("kind"), F.col(score).cast("double").alias("score")).alias("evidence"))
 
-    writers.write_edges(t.spark.createDataFrame([], EDGES), as_edges("first"), path)
-    writers.write_edges(t.spark.read.schema(EDGES).parquet(path), as_edges("last"), path)
-    return t.spark.read.schema(EDGES).parquet(path).select(
+    writers.write_edges(as_edges("first"), path, 16)
+    writers.write_edges(as_edges("last"), path, 16)
+    return writers.read_edges(t.spark, path).select(
         "type", "source_note_id", "target_note_id", F.col("evidence.score").alias("score"))
 
 

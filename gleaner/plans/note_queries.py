@@ -401,7 +401,7 @@ g as (select n, string_agg(profile || '=' || score, '|' order by profile) as rel
   group by n)"""
 
 
-def _upsert(t: Tables) -> tuple[DataFrame, DataFrame]:
+def incoming_and_stored(t: Tables) -> tuple[DataFrame, DataFrame]:
     n = F.expr("doc_id div 2").cast("string")
     rows = t.documents.select(
         F.expr("case when doc_id % 2 = 0 then 'a' else 'b' end").alias("profile"),
@@ -444,7 +444,7 @@ union all select 'r' || n, 'Title ' || n, 'title-' || n, 1, '', 0.1, md5('old' |
   from g where held""")
 def upsert_notes(t: Tables) -> DataFrame:
     shown = F.array_join(F.transform("relevance", lambda e: F.concat(e["profile"], F.lit("="), e["score"].cast("string"))), "|")
-    return store.upsert_notes(*_upsert(t))[0].select(
+    return store.upsert_notes(*incoming_and_stored(t))[0].select(
         "note_id", "title", "slug", "version", F.coalesce(shown, F.lit("")).alias("relevance"), "confidence",
         F.md5("full_text").alias("full_text_md5"))
 
@@ -453,7 +453,7 @@ def upsert_notes(t: Tables) -> DataFrame:
 select i.profile, lpad(cast(i.doc_id as varchar), 15, '0') as item_id,
   case when g.known or i.doc_id <> g.first_id then 'updated' else 'created' end as status from i join g on g.n = i.n""")
 def upsert_writes(t: Tables) -> DataFrame:
-    return store.upsert_notes(*_upsert(t))[1].select("profile", "item_id", "status")
+    return store.upsert_notes(*incoming_and_stored(t))[1].select("profile", "item_id", "status")
 
 
 @query("""
@@ -628,23 +628,35 @@ def related_top5(t: Tables) -> DataFrame:
     return graph.related_to(vectors, vectors, threshold=0.30)
 
 
+@query("""
+with e as (select label as profile, vec_id as id, cast(embedding as double[]) as v from embeddings),
+p as (
+  select a.profile, a.id as source_id, b.id as target_id, round(list_cosine_similarity(a.v, b.v), 6) as score
+  from e a join e b on a.profile = b.profile and a.id <> b.id)
+select *, row_number() over (partition by profile, source_id order by score desc, target_id) as rank from p where score >= 0.3
+qualify row_number() over (partition by profile, source_id order by score desc, target_id) <= 5""")
+def related_index(t: Tables) -> DataFrame:
+    vectors = t.embeddings.select(F.col("label").alias("profile"), F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return graph.related_index(vectors, vectors, threshold=0.30)
+
+
 # ---- digests and rendering ----------------------------------------------------------------------------------------
 
 DIGEST_SQL = """
-i as (select lang || '/' || source as run_id, lang as profile, cast(doc_id as varchar) as item_id, split_part(text, chr(10), 1) as title,
-  cast(1 + n_chars % 10 as int) as score, 'https://d/' || doc_id as url from documents where 1 + n_chars % 10 >= 7 and lang <> 'es'),
-r as (select lang || '/' || source as run_id, lang as profile, cast(count(*) as int) as sources_checked, '2024-01-31' as run_date from documents group by all),
+i as (select lang || '/' || source || '/' || (doc_id % 3) as run_id, lang as profile, cast(doc_id as varchar) as item_id, split_part(text, chr(10), 1) as title,
+  cast(1 + n_chars % 10 as int) as score, 'https://d/' || doc_id as url from documents where 1 + n_chars % 10 >= 7),
+r as (select lang || '/' || source || '/' || (doc_id % 3) as run_id, lang as profile, cast(count(*) as int) as sources_checked, '2024-01-31' as run_date from documents group by all),
 a as (select run_id, count(*) as ingested, count(*) filter (where score >= 8) as high_relevance, max(score) as best_score from i group by run_id)"""
 
 
 def _digest(t: Tables) -> tuple[DataFrame, DataFrame]:
-    run = F.concat("lang", F.lit("/"), "source").alias("run_id")
+    run = F.concat("lang", F.lit("/"), "source", F.lit("/"), (F.col("doc_id") % 3).cast("string")).alias("run_id")
     items = t.documents.select(
         run, F.col("lang").alias("profile"), F.col("doc_id").cast("string").alias("item_id"),
         F.substring_index("text", "\n", 1).alias("title"),
         F.expr("cast(1 + n_chars % 10 as int)").alias("score"),
         F.concat(F.lit("https://d/"), F.col("doc_id").cast("string")).alias("url"), "source",
-    ).where("score >= 7 and profile <> 'es'").drop("source")
+    ).where("score >= 7").drop("source")
     runs = t.documents.groupBy(run, F.col("lang").alias("profile")).agg(
         F.count(F.lit(1)).cast("int").alias("sources_checked")).withColumn("run_date", F.lit("2024-01-31"))
     return runs, items

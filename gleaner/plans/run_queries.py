@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.operators import ledger, reports
 from gleaner.operators.predicates import filter_logs, filter_runs, notify_sinks
 from gleaner.operators.repair import attempts_and_cap, classify_failure
+from gleaner.plans import run_plan
 from gleaner.plans.registry import ORACLES, query
 from gleaner.plans.views import Tables, with_views
 from gleaner.functions.tags import source_family
+from gleaner.schemas import NOTES
 
 _TS = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
 
@@ -259,26 +262,64 @@ def duration_histogram(t: Tables) -> DataFrame:
         "profile", "n", F.round("quantile", 4).alias("p95"))
 
 
-@query(with_views("runs_v", body=STALLS + """
+@query(with_views("runs_v", body=STALLS + """, w as (select *,
+  case when run_id % 3 = 0 then 'arxiv' when run_id % 3 = 1 then 'rss' else 'unknown' end as source from runs_v)
 select 'run_starts' as name, 'kind=' || kind || ',profile=' || profile as labels, cast(count(*) as double) as value from runs_v group by kind, profile
 union all select 'runs_skipped', 'profile=' || profile || ',reason=breaker', cast(count(*) as double) from runs_v where status = 'skipped' group by profile
 union all select 'run_completions', 'kind=' || kind || ',outcome=' || status || ',profile=' || profile, cast(count(*) as double) from runs_v group by kind, status, profile
 union all select 'candidates_fetched', 'profile=' || profile || ',source=' || case when run_id % 3 = 0 then 'arxiv' when run_id % 3 = 1 then 'rss' else 'unknown' end, cast(sum(sources_checked) as double) from runs_v where sources_checked is not null group by all
 union all select 'ingestion_stalls', 'profile=' || profile || ',reason=' || case when ingestion_stall then 'ingestion_stall' else 'fetch_stall' end, cast(count(*) as double) from f where ingestion_stall or fetch_stall group by all
-union all select 'slug_collision_unresolved', '', cast(count(*) as double) from runs_v where run_id % 9 = 0"""))
+union all select 'slug_collision_unresolved', '', cast(count(*) as double) from runs_v where run_id % 9 = 0
+union all select 'run_duration', 'kind=' || kind || ',outcome=' || status || ',profile=' || profile, cast(sum(run_id % 100) as double)
+  from runs_v where status <> 'skipped' group by kind, status, profile
+union all select 'active_runs', 'kind=' || kind || ',profile=' || profile, cast(sum(case when run_id % 13 = 0 then 1 else 0 end) as double)
+  from runs_v group by kind, profile
+union all select 'articles_filtered', 'decision=drop,profile=' || profile || ',source=' || source, cast(sum(sources_checked - ingested) as double)
+  from w where sources_checked is not null group by profile, source
+union all select 'articles_inspected', 'profile=' || profile || ',source=' || source, cast(sum(ingested) as double)
+  from w where sources_checked is not null group by profile, source
+union all select 'cache_hits', 'profile=' || profile || ',source=' || source, cast(count(*) as double) from w where run_id % 4 = 0 group by profile, source
+union all select 'store_writes', 'profile=' || profile || ',source=' || source || ',status=created', cast(sum(ingested) as double)
+  from w where ingested > 0 group by profile, source
+union all select 'repair_candidates', 'kind=' || kind || ',profile=' || profile, cast(count(*) as double) from w where run_id % 5 = 1 group by kind, profile
+union all select 'model_validation_failures', 'tier=tier' || (1 + run_id % 3), cast(count(*) as double) from w where run_id % 7 = 2 group by run_id % 3
+union all select 'archive_missing', 'profile=' || profile || ',source=' || source, cast(count(*) as double) from w where run_id % 8 = 3 group by profile, source
+union all select 'slug_collision_dedup_recovery', '', cast(count(*) as double) from w where run_id % 10 = 4 having count(*) > 0
+union all select 'slug_collision_reclaimed', '', cast(count(*) as double) from w where run_id % 11 = 5 having count(*) > 0
+union all select 'source_acquisition_errors', 'kind=' || case when run_id % 2 = 0 then 'http' else 'timeout' end || ',source=' || source,
+  cast(count(*) as double) from w where status = 'failed' group by all"""))
 def metric_counters(t: Tables) -> DataFrame:
     tags = F.expr("case run_id % 3 when 0 then array('x', 'source:arxiv') when 1 then array('source:blog', 'source:arxiv') else array('x') end")
     profile, kind, status = F.col("profile"), F.col("kind"), F.col("status")
-    checked = F.col("sources_checked")
+    checked, ingested = F.col("sources_checked"), F.col("ingested")
+    source = source_family(F.lit(None).cast("string"), tags)
     reason = F.when(F.col("ingestion_stall"), "ingestion_stall").otherwise("fetch_stall")
+
+    def nth(n: int, rest: int) -> Column:
+        return F.col("run_id") % n == rest
+
     metrics = reports.metrics_long(ledger.stall_flags(t.runs_v), [
         reports.reading("run_starts", profile=profile, kind=kind),
         reports.reading("runs_skipped", status == "skipped", profile=profile, reason=F.lit("breaker")),
         reports.reading("run_completions", profile=profile, kind=kind, outcome=status),
-        reports.reading("candidates_fetched", checked.isNotNull(), checked, profile=profile,
-                        source=source_family(F.lit(None).cast("string"), tags)),
+        reports.reading("candidates_fetched", checked.isNotNull(), checked, profile=profile, source=source),
         reports.reading("ingestion_stalls", F.col("ingestion_stall") | F.col("fetch_stall"), profile=profile, reason=reason),
-        reports.reading("slug_collision_unresolved", F.col("run_id") % 9 == 0),
+        reports.reading("slug_collision_unresolved", nth(9, 0)),
+        reports.reading("run_duration", status != "skipped", F.col("run_id") % 100, profile=profile, kind=kind, outcome=status),
+        reports.reading("active_runs", None, nth(13, 0).cast("int"), profile=profile, kind=kind),
+        reports.reading("articles_filtered", checked.isNotNull(), checked - ingested, profile=profile, source=source,
+                        decision=F.lit("drop")),
+        reports.reading("articles_inspected", checked.isNotNull(), ingested, profile=profile, source=source),
+        reports.reading("cache_hits", nth(4, 0), profile=profile, source=source),
+        reports.reading("store_writes", ingested > 0, ingested, profile=profile, source=source, status=F.lit("created")),
+        reports.reading("repair_candidates", nth(5, 1), profile=profile, kind=kind),
+        reports.reading("model_validation_failures", nth(7, 2),
+                        tier=F.concat(F.lit("tier"), (1 + F.col("run_id") % 3).cast("string"))),
+        reports.reading("archive_missing", nth(8, 3), profile=profile, source=source),
+        reports.reading("slug_collision_dedup_recovery", nth(10, 4)),
+        reports.reading("slug_collision_reclaimed", nth(11, 5)),
+        reports.reading("source_acquisition_errors", status == "failed", source=source,
+                        kind=F.when(nth(2, 0), "http").otherwise("timeout")),
     ])
     shown = F.array_join(F.transform(F.array_sort(F.map_entries("labels")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
     return metrics.select("name", shown.alias("labels"), "value")
@@ -356,3 +397,58 @@ def notify(t: Tables) -> DataFrame:
          ("off", "digest", "digest", False, ["scheduled"], None)],
         "name STRING, type STRING, event_mode STRING, enabled BOOLEAN, notify_on ARRAY<STRING>, min_score INT")
     return notify_sinks(sinks, runs, items).select("run_id", "kind", "sink", "item_id")
+
+
+WHOLE_RUN_SQL = """c as (select lang as profile, case when doc_id % 2 = 0 then 'arxiv' else 'rss' end as source, doc_id,
+  1 + doc_id % 10 as score from documents where doc_id % 5 < 3)"""
+
+
+def _whole_run(t: Tables) -> run_plan.RunResult:
+    """One scheduled run over all documents: two fifths are older than the lookback, six in ten score below the gate."""
+    documents = t.documents
+    profiles = documents.select(F.col("lang").alias("profile")).distinct().select(
+        "profile", F.lit("d").alias("description"), F.lit(True).alias("enabled"), F.lit(7).alias("relevance"),
+        F.lit(8).alias("full_text"), F.lit(9).alias("deep_extract"), F.lit(8).alias("notify_immediate"),
+        F.lit(0.75).alias("edge_score"))
+    paper = F.col("doc_id") % 2 == 0
+    number = F.col("doc_id").cast("string")
+    items = documents.select(
+        F.col("lang").alias("profile"), F.when(paper, "arxiv").otherwise("rss").alias("source"), number.alias("item_id"),
+        F.concat(F.lit("Title "), number).alias("title"), F.col("text").alias("abstract"),
+        F.concat(F.lit("https://example.com/d/"), number).alias("source_url"),
+        F.expr("timestamp'2026-01-10 00:00:00' - make_dt_interval(cast(doc_id % 5 as int))").alias("published"),
+        F.array(F.lit("cs.AI")).alias("categories"), F.when(paper, "arxiv").otherwise("blog").alias("source_tag"),
+        F.when(~paper, "My Feed").alias("feed_name"), F.lit(None).cast("string").alias("html"))
+
+    def scorer(rows: pd.DataFrame) -> pd.DataFrame:
+        score = [float(1 + int(i) % 10) for i in rows["item_id"]]
+        return pd.DataFrame({"item_id": rows["item_id"], "score": score, "confidence": 0.5, "reason": "r",
+                             "filter_tags": [[]] * len(rows)})
+
+    plan = run_plan.RunPlan(now=datetime(2026, 1, 10, 12, tzinfo=timezone.utc))
+    stored = t.spark.createDataFrame([], NOTES)
+    return run_plan.run(t.spark, plan, profiles, stored, run_plan.Plugs(lambda spark, p: items, scorer),
+                        finished=datetime(2026, 1, 10, 12, 1, tzinfo=timezone.utc))
+
+
+@query(f"""with {WHOLE_RUN_SQL} select 'https://example.com/d/' || doc_id as source_url, 'Title ' || doc_id as title,
+  'title-' || doc_id as slug, 1 as version, profile || '=' || score as relevance, score / 10.0 as confidence,
+  case when source = 'arxiv' then 'papers/arxiv/2026/01' else 'articles/blog/2026/01' end as path from c where score >= 7""")
+def run_notes(t: Tables) -> DataFrame:
+    shown = F.transform("relevance", lambda e: F.concat(e["profile"], F.lit("="), e["score"].cast("string")))
+    return _whole_run(t).notes.select("source_url", "title", "slug", "version", F.array_join(shown, "|").alias("relevance"),
+                                      "confidence", "path")
+
+
+@query(f"""with {WHOLE_RUN_SQL},
+p as (select profile, count(*) as sources_checked, count(*) filter (where score >= 7) as ingested from c group by profile)
+select c.profile, c.source, count(*) as fetched, count(*) filter (where score >= 7) as filter_pass,
+  count(*) filter (where score < 7) as filter_drop, 0 as cache_hits, count(*) filter (where score >= 7) as created,
+  0 as failed, sources_checked, ingested, 60.0::double as duration_seconds, 'success' as outcome
+from c join p on p.profile = c.profile group by c.profile, c.source, sources_checked, ingested""")
+def run_report(t: Tables) -> DataFrame:
+    result = _whole_run(t)
+    runs = result.runs.select("profile", "sources_checked", "ingested", "duration_seconds", "outcome")
+    return result.funnel.join(runs, "profile").select(
+        "profile", "source", "fetched", "filter_pass", "filter_drop", "cache_hits", "created", "failed", "sources_checked",
+        "ingested", "duration_seconds", "outcome")

@@ -64,6 +64,11 @@ def folders(spark: SparkSession, path: str, prefix: str = "batch=") -> list[int]
     return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)

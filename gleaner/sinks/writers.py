@@ -9,10 +9,12 @@ from gleaner.functions.markdown import render_note
 from gleaner.functions.tags import archive_problem
 from gleaner.functions.text import archive_path
 from gleaner.operators.graph import upsert_edges
-from gleaner.session import checkpoint_dir, drop_folder
+from gleaner.schemas import EDGES
+from gleaner.sinks.generations import Generations
 from gleaner.vocabulary import TAGS, TagVocabulary
 
 LAYOUT = ("kind", "source", "year", "month")
+EDGE_BUCKETS = 256
 
 
 def with_layout(notes: DataFrame, published: str = "published") -> DataFrame:
@@ -25,39 +27,28 @@ def with_layout(notes: DataFrame, published: str = "published") -> DataFrame:
     )
 
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def write_notes(notes: DataFrame, path: str) -> None:
     """Put the rows in place of the stored notes of the same id; all other notes of their months stay.
 
-    The months the rows belong to, and those that hold an older row of one of their ids, are rewritten from a copy laid
-    aside in the shared checkpoint folder.
+    The months the rows belong to, and those that hold an older row of one of their ids, are written anew beside the old
+    ones; then all change at once (`Generations`).  `read_notes_table` reads the table.
     """
-    spark = notes.sparkSession
     rows = with_layout(notes)
-    if _exists(spark, path):
-        names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-        stored = spark.read.schema(names).parquet(path)
-        months = rows.select(*LAYOUT).unionByName(
-            stored.join(rows.select("note_id"), "note_id", "left_semi").select(*LAYOUT)).distinct()
-        kept = stored.join(months, list(LAYOUT), "left_semi").join(rows.select("note_id"), "note_id", "left_anti")
-        rows = rows.unionByName(kept)
-        left = months.join(rows.select(*LAYOUT), list(LAYOUT), "left_anti").collect()  # months: a handful of rows
-        rows = aside(rows, path)
-        for month in left:
-            drop_folder(spark, "/".join([path, *[f"{c}={month[c]}" for c in LAYOUT]]))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root)
+    table = Generations(notes.sparkSession, path, list(LAYOUT))
+    stored = table.read(_ddl(rows))
+    moved = stored.join(rows.select("note_id"), "note_id", "left_semi")
+    touched = table.parts_of(rows.select(*LAYOUT).unionByName(moved.select(*LAYOUT)))
+    kept = table.read(_ddl(rows), touched).join(rows.select("note_id"), "note_id", "left_anti")
+    table.replace(rows.unionByName(kept), touched)
 
 
-def aside(df: DataFrame, path: str) -> DataFrame:
-    """The rows written to the shared checkpoint folder and read back, so that `path` may be replaced."""
-    spark = df.sparkSession
-    place = f"{checkpoint_dir(spark).rstrip('/')}/aside-{spark.sparkContext.applicationId}-{abs(hash(path))}"
-    df.write.mode("overwrite").parquet(place)
-    return spark.read.schema(df.schema).parquet(place)
+def read_notes_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Notes as `write_notes` left them, with the partition columns; `schema` names them all."""
+    return Generations(spark, path, list(LAYOUT)).read(schema)
 
 
 def rendered(notes: DataFrame, vocab: TagVocabulary = TAGS) -> tuple[DataFrame, DataFrame]:
@@ -102,13 +93,18 @@ def append_collisions(results: DataFrame, path: str) -> None:
     append_json(results.where(F.col("status") == "slug_collision"), path)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Overwrite a table that `df` itself reads: the new rows are written aside first."""
-    aside(df, path).write.mode("overwrite").parquet(path)
+def write_edges(new: DataFrame, path: str, buckets: int = EDGE_BUCKETS) -> None:
+    """Merge edges into the table: buckets (by source note) that new edges fall into are written anew, then all change at
+    once.  The number of buckets must stay the same for a table."""
+    table = Generations(new.sparkSession, path, ["bucket"])
+    place = F.pmod(F.xxhash64("source_note_id"), F.lit(buckets)).cast("int")
+    touched = table.parts_of(new.select(place.alias("bucket")))
+    merged = upsert_edges(table.read(f"{EDGES}, bucket INT", touched).drop("bucket"), new)
+    table.replace(merged.select("type", "source_note_id", "target_note_id", "evidence", place.alias("bucket")), touched)
 
 
-def write_edges(existing: DataFrame, new: DataFrame, path: str) -> None:
-    replace_table(upsert_edges(existing, new).select("type", "source_note_id", "target_note_id", "evidence"), path)
+def read_edges(spark: SparkSession, path: str) -> DataFrame:
+    return Generations(spark, path, ["bucket"]).read(f"{EDGES}, bucket INT").drop("bucket")
 
 
 def write_digests(payloads: DataFrame, path: str) -> None:

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import json
-from datetime import date, datetime, timezone
+from collections import Counter
+from datetime import date, datetime, timedelta, timezone
 
 import pandas as pd
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -12,9 +14,9 @@ from gleaner.operators import ledger, reports
 from gleaner.operators.repair import attempts_and_cap
 from gleaner.plans import run_plan
 from gleaner.schemas import EDGES, NOTES, RUNS
-from gleaner.sinks import writers
+from gleaner.sinks import generations, writers
 from gleaner.sources import feeds, files
-from gleaner.streaming import carried, upserts, windows
+from gleaner.streaming import keyed, upserts, windows
 from gleaner.vocabulary import TAGS
 
 ATOM = """<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom">
@@ -106,13 +108,25 @@ def test_note_sinks(spark, tmp_path):
     notes = notes_frame(spark, [full_note(), full_note(note_id="a1", slug="a"), full_note(note_id="bad", tags=[])])
     writers.write_notes(notes.where("note_id <> 'bad'"), str(tmp_path / "notes"))
     writers.write_notes(notes.where("note_id = 'a1'").withColumn("version", F.lit(9).cast("bigint")), str(tmp_path / "notes"))
-    back = {(r.kind, r.source, r.year, r.month): r.version for r in spark.read.parquet(str(tmp_path / "notes")).collect()}
-    assert back == {("papers", "arxiv", 2026, 1): 1, ("articles", "blog", 2026, 1): 9}
+    schema = f"{NOTES}, published TIMESTAMP, source_tag STRING, kind STRING, source STRING, year STRING, month STRING"
+
+    def table():
+        return writers.read_notes_table(spark, str(tmp_path / "notes"), schema)
+
+    back = {(r.kind, r.source, r.year, r.month): r.version for r in table().collect()}
+    assert back == {("papers", "arxiv", "2026", "01"): 1, ("articles", "blog", "2026", "01"): 9}
     # other notes of the month stay, and a note that changes its month leaves the old one
     one = notes.where("note_id = 'a1'")
     writers.write_notes(one.withColumn("note_id", F.lit("a2")), str(tmp_path / "notes"))
     writers.write_notes(one.withColumn("published", F.add_months("published", 1).cast("timestamp")), str(tmp_path / "notes"))
-    assert {(r.note_id, r.month) for r in spark.read.parquet(str(tmp_path / "notes")).where("source = 'blog'").collect()} == {("a1", 2), ("a2", 1)}
+    assert {(r.note_id, r.month) for r in table().where("source = 'blog'").collect()} == {("a1", "02"), ("a2", "01")}
+    # names that need escaping, and none
+    odd = one.withColumn("note_id", F.lit("o")).withColumn("source_tag", F.lit("a/b=c %"))
+    writers.write_notes(odd.unionByName(odd.withColumn("note_id", F.lit("n")).withColumn("source_tag", F.lit(None).cast("string"))),
+                        str(tmp_path / "notes"))
+    writers.write_notes(odd.withColumn("version", F.lit(5).cast("bigint")), str(tmp_path / "notes"))
+    assert {(r.note_id, r.source, r.version) for r in table().where("note_id in ('o', 'n')").collect()} == {
+        ("o", "a/b=c %", 5), ("n", None, 1)}
     refused = writers.render_notes(notes, str(tmp_path / "text"))
     assert [r.problem for r in refused.collect()] == ["missing_ingested_by"]
     texts = spark.read.json(str(tmp_path / "text")).select(F.col("slug").alias("file"), "text")
@@ -125,12 +139,69 @@ def test_note_sinks(spark, tmp_path):
     assert good.count() == 1 and bad.first().error == "no_front_matter"
 
 
+class Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("dies", range(6))
+def test_a_killed_write_leaves_the_old_or_the_new_table(spark, tmp_path, monkeypatch, dies):
+    """Every folder that is made or dropped is a place to die; whatever the place, no reader sees a mixture."""
+    path = str(tmp_path / "t")
+
+    def edges(score, *sources):
+        return spark.createDataFrame([("related_to", s, "t", ("k", score)) for s in sources], EDGES)
+
+    def seen():
+        return {(r.source_note_id, r.evidence.score) for r in writers.read_edges(spark, path).collect()}
+
+    for score in (1.0, 2.0):
+        writers.write_edges(edges(score, "a", "b", "c"), path, 2)
+    old, new = seen(), {("a", 3.0), ("b", 2.0), ("c", 2.0), ("d", 3.0)}
+    left, drop = [dies], generations.drop_folder
+
+    def maybe(action):
+        def run(*args, **kw):
+            left[0] -= 1
+            if left[0] < 0:
+                raise Killed
+            return action(*args, **kw)
+        return run
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", maybe(DataFrameWriter.parquet))
+    monkeypatch.setattr(DataFrameWriter, "json", maybe(DataFrameWriter.json))
+    monkeypatch.setattr(generations, "drop_folder", maybe(drop))
+    try:
+        writers.write_edges(edges(3.0, "a", "d"), path, 2)
+        done = True
+    except Killed:
+        done = False
+    monkeypatch.undo()
+    assert seen() == (new if done or dies > 1 else old) and old == {(s, 2.0) for s in "abc"}
+    # half a list is no list
+    half = tmp_path / "t" / "list" / "v=99"
+    half.mkdir()
+    (half / "part-0.json").write_text('{"part":"bucket=0","gen":77}')
+    assert seen() == (new if done or dies > 1 else old)
+    writers.write_edges(edges(3.0, "a", "d"), path, 2)
+    assert seen() == new
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    path = str(tmp_path / "t")
+    many = spark.range(400).selectExpr("'related_to' as type", "cast(id as string) as source_note_id", "'t' as target_note_id",
+                                       "named_struct('kind', 'k', 'score', 1.0D) as evidence")
+    writers.write_edges(many, path, 32)
+    writers.write_edges(many.where("source_note_id = '7'"), path, 32)
+    table = generations.Generations(spark, path, ["bucket"])
+    assert sorted(Counter(table.current().values()).values()) == [1, 31] and writers.read_edges(spark, path).count() == 400
+
+
 def test_other_sinks(spark, tmp_path):
     edges = spark.createDataFrame([("builds_on", "a", "b", ("k", 1.0))], EDGES)
     path = str(tmp_path / "edges")
-    writers.write_edges(edges.limit(0), edges, path)
-    writers.write_edges(spark.read.schema(EDGES).parquet(path), edges, path)
-    assert spark.read.parquet(path).count() == 1
+    writers.write_edges(edges, path)
+    writers.write_edges(edges, path)
+    assert writers.read_edges(spark, path).count() == 1
     results = spark.createDataFrame([("x", "slug_collision", "d"), ("y", "created", "")], "item_id STRING, status STRING, detail STRING")
     writers.append_collisions(results, str(tmp_path / "c"))
     assert files.read_collisions(spark, str(tmp_path / "c")).count() == 1
@@ -184,50 +255,63 @@ def rows(df, *cols):
 
 
 @pytest.mark.parametrize("kind", ["stalls", "circuit", "attempts", "cadence"])
-def test_carried_state_equals_batch(spark, tables, tmp_path, kind):
-    store = carried.Carried(str(tmp_path / "store"))
+def test_keyed_state_equals_batch(spark, tables, tmp_path, kind):
     if kind == "stalls":
         df, order = tables.runs_v.withColumn("profile", F.col("profile") % 5), ["completed_at", "run_id"]
-        step, want, cols = carried.stall_step(store), ledger.stall_flags(df), ("run_id", "ingestion_stall", "fetch_stall")
+        of, want, cols = keyed.stalls, ledger.stall_flags(df), ("run_id", "ingestion_stall", "fetch_stall")
     elif kind == "circuit":
         df, order = tables.probes_v.withColumn("target", F.col("target") % 5), ["ts", "probe_id"]
-        step, want, cols = carried.circuit_step(store), ledger.circuit(df), ("probe_id", "bad_streak", "circuit_open")
+        of, want, cols = keyed.breaker, ledger.circuit(df), ("probe_id", "bad_streak", "circuit_open")
     elif kind == "attempts":
         df, order = tables.attempts_v, ["ts", "attempt_id"]
-        step, want, cols = carried.attempt_step(store), attempts_and_cap(df), ("attempt_id", "n_counted", "terminal", "flips")
+        of, want, cols = keyed.attempts, attempts_and_cap(df), ("attempt_id", "n_counted", "terminal", "flips")
     else:
         df, order = tables.runs_v.withColumn("profile", F.col("profile") % 5), ["completed_at", "run_id"]
         tags, bad = F.array("kind"), F.col("run_id") % 3 == 0
-        step = carried.cadence_step(store, 7, tags, bad)
         numbered = ledger.cadence(df, 7)
         closed = numbered.where("emits").select("profile", "window_id")
-        items = numbered.join(closed, ["profile", "window_id"], "left_semi").select("profile", "window_id", bad.alias("rejected"), tags.alias("tags"))
-        want, cols = reports.rejection_rates(items, ["profile", "window_id"]), ("profile", "window_id", "tag", "total", "n_rejected")
-    stream = batches(spark, df, tmp_path / "in", order)
-    run_to_end(carried.run(stream, step, str(tmp_path / "cp")))
-    assert rows(store.results(spark), *cols) == rows(want, *cols)
-    # a batch that runs again reads the same state and replaces its own output
-    last = df.withColumn("_part", F.ntile(3).over(Window.orderBy(*order))).where("_part = 3").drop("_part")
-    step(last, 2)
-    assert rows(store.results(spark), *cols) == rows(want, *cols)
-
-
-def test_late_rows_are_set_aside(spark, tmp_path):
+        items = numbered.join(closed, ["profile", "window_id"], "left_semi").select(
+            "profile", "window_id", bad.alias("rejected"), tags.alias("tags"))
+        of, want, cols = (lambda s: keyed.closed_windows(s, 7, tags, bad)), items, ("profile", "window_id", "rejected", "tags")
+    out = of(batches(spark, df, tmp_path / "in", order))
+    run_to_end(out.writeStream.format("parquet").option("path", str(tmp_path / "o")).option(
+        "checkpointLocation", str(tmp_path / "cp")))
+    assert rows(spark.read.schema(out.schema).parquet(str(tmp_path / "o")), *cols) == rows(want, *cols)
+
+
+def test_late_rows_per_key(spark, tmp_path):
+    """Each key has its own clock: rows behind another key are in time, rows behind their own are counted and marked."""
+    (tmp_path / "in").mkdir()
     schema = "attempt_id INT, note_id STRING, stage STRING, ts TIMESTAMP, failure_stage STRING"
-
-    def batch(*rows_in):
-        return spark.createDataFrame([(i, "n", "tier2", datetime(2026, 1, d), "parse") for i, d in rows_in], schema)
-
-    store = carried.Carried(str(tmp_path))
-    step = carried.attempt_step(store)
-    step(batch((1, 3), (2, 2)), 0)
-    step(batch((3, 1), (4, 3), (5, 4)), 1)
-    step(batch((3, 1), (4, 3), (5, 4)), 1)
-    step(batch((6, 3), (7, 9)), 2)
-    step(batch((8, 9)), 3)
-    got = {r.attempt_id: r.n_counted for r in store.results(spark).collect()}
-    assert got == {2: 1, 1: 2, 4: 3, 5: 4, 7: 5, 8: 6}
-    assert sorted(r.attempt_id for r in store.late(spark, schema).collect()) == [3, 6]
+    parts = [[(1, "a", 10), (2, None, 4)], [(3, "b", 5), (4, "b", 6), (5, "b", 11), (6, "a", 9), (7, None, None)], [(8, "b", 11), (9, "a", 12)]]
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    for part in parts:
+        data = [(i, n, "tier2", h and datetime(2026, 1, 1, h), "parse") for i, n, h in part]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        out = keyed.attempts(stream)
+        run_to_end(out.writeStream.format("parquet").option("path", str(tmp_path / "o")).option(
+            "checkpointLocation", str(tmp_path / "cp")))
+    got = {r.attempt_id: (r.n_counted, r.flips, r.late) for r in spark.read.parquet(str(tmp_path / "o")).collect()}
+    assert got == {1: (1, False, False), 2: (1, False, False), 3: (1, False, False), 4: (2, False, False), 5: (3, True, False),
+                   6: (2, False, True), 7: (2, False, False), 8: (4, False, False), 9: (3, True, False)}
+
+
+def test_abandoned_by_timer(spark, tmp_path):
+    """A start is told at its deadline though no row of it follows; a finished row may come first, but not too early."""
+    (tmp_path / "in").mkdir()
+    schema = "run_id LONG, profile STRING, at TIMESTAMP, kind STRING"
+    day = [(1, 0, "s"), (1, 1, "f"), (2, 0, "s"), (3, 2, "f"), (4, 1, "f"), (4, 2, "s"), (5, 3, "s"), (5, 10, "f"), (6, 20, "s")]
+    data = [(i, f"p{i}", datetime(2026, 1, 1, h), k) for i, h, k in day] + [(None, "n", datetime(2026, 1, 1), "s"), (7, "p", None, "s")]
+    parts = [data[:3], data[3:6], data[6:], [(3, "p3", datetime(2026, 1, 1, 1), "s")]]
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    out = keyed.abandoned(stream.where("kind = 's'").withColumnRenamed("at", "started_at"),
+                          stream.where("kind = 'f'").withColumnRenamed("at", "completed_at"), timedelta(hours=6))
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        run_to_end(out.writeStream.format("parquet").option("path", str(tmp_path / "o")).option(
+            "checkpointLocation", str(tmp_path / "cp")))
+    got = rows(spark.read.schema(out.schema).parquet(str(tmp_path / "o")), "run_id", "profile", "started_at", "status")
+    assert [g[0] for g in got] == [2, 4, 5] and got[0] == (2, "p2", datetime(2026, 1, 1), "abandoned")
 
 
 def test_dedupe_and_rates(spark, tmp_path):
@@ -275,56 +359,84 @@ def arrive(spark, *items):
 
 
 def test_upsert_stream_is_applied_once(spark, tmp_path):
-    step = upserts.upsert_step(str(tmp_path), buckets=4)
+    step = upserts.upsert_step(str(tmp_path), fold_every=2)
     step(arrive(spark, ("p", "1", "One", "https://e.com/1"), ("p", "2", "Two", "https://e.com/2")), 0)
     second = arrive(spark, ("q", "3", "One", "https://e.com/1"), ("p", "4", "Two", "https://f.org/4"))
     step(second, 1)
+    assert upserts.NoteTable(spark, str(tmp_path)).parts() == (1, [])
+    # run again after the fold: the table as it stood before the batch is still there
     step(second, 1)
     got = {r.source_url: r for r in upserts.read_store(spark, str(tmp_path)).collect()}
     assert got["https://e.com/1"].version == 2 and {e.profile for e in got["https://e.com/1"].relevance} == {"p", "q"}
     assert got["https://f.org/4"].title == "Two [f.org]" and got["https://e.com/2"].version == 1 and len(got) == 3
-
-
-def test_streamed_store_keeps_content_and_drops_reclaimed_notes(spark, tmp_path):
-    """Several batches give what one batch upsert gives, with whole notes, also where a bucket ends up empty."""
+    results = spark.read.parquet(f"{tmp_path}/results").collect()
+    assert sorted((r.batch, r.item_id, r.status) for r in results) == [
+        (0, "1", "created"), (0, "2", "created"), (1, "3", "updated"), (1, "4", "created")]
+
+
+def test_a_batch_that_died_leaves_the_table_as_it_was(spark, tmp_path):
+    step = upserts.upsert_step(str(tmp_path))
+    step(arrive(spark, ("p", "1", "One", "https://e.com/1")), 0)
+    # half a delta: files but no mark
+    half = tmp_path / "delta" / "batch=1"
+    spark.read.parquet(str(tmp_path / "delta" / "batch=0")).withColumn("title", F.lit("half")).write.parquet(str(half))
+    (half / "_SUCCESS").unlink()
+    assert [r.title for r in upserts.read_store(spark, str(tmp_path)).collect()] == ["One"]
+    step(arrive(spark, ("p", "2", "Two", "https://e.com/2")), 1)
+    assert sorted(r.title for r in upserts.read_store(spark, str(tmp_path)).collect()) == ["One", "Two"]
+
+
+def test_deltas_grow_with_the_batch_and_old_folders_go(spark, tmp_path):
+    step = upserts.upsert_step(str(tmp_path), fold_every=2)
+    for i in range(5):
+        step(arrive(spark, ("p", str(i), f"Note {i}", f"https://e.com/{i}"), ("q", f"x{i}", "Note 0", "https://e.com/0")), i)
+        assert spark.read.parquet(f"{tmp_path}/delta/batch={i}").count() == (1 if i == 0 else 2)
+    assert sorted(p.name for p in (tmp_path / "base").iterdir()) == ["upto=1", "upto=3"]
+    assert sorted(p.name for p in (tmp_path / "delta").iterdir()) == [f"batch={i}" for i in (2, 3, 4)]
+    got = {r.source_url: r.version for r in upserts.read_store(spark, str(tmp_path)).collect()}
+    assert got == {**{f"https://e.com/{i}": 1 for i in range(5)}, "https://e.com/0": 5}
+
+
+def test_streamed_store_keeps_content_and_drops_reclaimed_notes(spark, tmp_path, monkeypatch):
+    """Several batches give what one batch upsert gives, with whole notes, over several places."""
+    monkeypatch.setattr(upserts, "PLACE_ROWS", 1)
     blank = dict.fromkeys(f.name for f in spark.createDataFrame([], NOTES).schema)
     stored = [{"note_id": f"r{i}", "title": "Residue", "slug": "residue", "source_url": "", "tags": [], "version": 1} for i in range(2)]
     stored.append({"note_id": "k", "title": "Kept", "slug": "kept", "source_url": "", "tags": [], "full_text": "says", "version": 1})
-    rows = spark.createDataFrame([tuple({**blank, **r}.values()) for r in stored], NOTES)
-    place = upserts.bucket_of(64, F.coalesce(F.nullif("source_url", F.lit("")), "note_id"))
-    rows.withColumn("bucket", place).write.partitionBy("bucket").parquet(str(tmp_path / "notes"))
+    # the second try of a title meets this one
+    stored.append({"note_id": "h", "title": "Held [e.com]", "slug": "held-e-com", "source_url": "https://x.org/h", "tags": [], "version": 1})
+    stored.append({"note_id": "g", "title": "Held", "slug": "held", "source_url": "https://x.org/g", "tags": [], "version": 1})
+    upserts.seed(spark.createDataFrame([tuple({**blank, **r}.values()) for r in stored], NOTES), str(tmp_path))
     batches = [arrive(spark, ("p", "1", "Residue", "https://e.com/1"), ("p", "2", "Kept", "https://e.com/2")),
-               arrive(spark, ("q", "3", "Residue", "https://e.com/1")), arrive(spark, ("p", "4", "New", "https://e.com/4"))]
-    step = upserts.upsert_step(str(tmp_path), buckets=64)
+               arrive(spark, ("q", "3", "Residue", "https://e.com/1"), ("q", "5", "Held", "https://e.com/5")),
+               arrive(spark, ("p", "4", "New", "https://e.com/4"))]
+    step = upserts.upsert_step(str(tmp_path), fold_every=2)
     for i, batch in enumerate(batches):
         step(batch.withColumn("full_text", F.concat(F.lit("text "), "item_id")).withColumn("summary", F.lit("s")), i)
     got = {r.note_id: r for r in upserts.read_store(spark, str(tmp_path)).collect()}
-    assert "r0" not in got and got["k"].full_text == "says" and len(got) == 5
-    by_url = {r.source_url: (r.title, r.slug, r.full_text, r.summary, r.version) for r in got.values() if r.source_url}
+    assert "r0" not in got and got["k"].full_text == "says" and len(got) == 7
+    by_url = {r.source_url: (r.title, r.slug, r.full_text, r.summary, r.version) for r in got.values() if "e.com" in r.source_url}
     assert by_url == {"https://e.com/1": ("Residue", "residue", "text 3", "s", 2),
                       "https://e.com/2": ("Kept [e.com]", "kept-e-com", "text 2", "s", 1),
                       "https://e.com/4": ("New", "new", "text 4", "s", 1)}
+    assert [r.status for r in spark.read.parquet(f"{tmp_path}/results").where("item_id = '5'").collect()] == ["slug_collision"]
+
+
+def test_a_stream_waits_while_the_breaker_is_open(spark, tmp_path):
+    seen, breaker_open = [], [True]
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema("v INT").parquet(str(tmp_path / "in"))
 
+    def run(value):
+        spark.createDataFrame([(value,)], "v INT").write.mode("append").parquet(str(tmp_path / "in"))
+        writer = stream.writeStream.foreachBatch(lambda df, n: seen.append(sorted(r.v for r in df.collect()))).option(
+            "checkpointLocation", str(tmp_path / "cp"))
+        return upserts.run_unless_open(writer, lambda: breaker_open[0], spark, str(tmp_path / "runs"), "p")
 
-def test_gated_batches_are_replayed(spark, tmp_path):
-    seen, is_open = [], []
-
-    def step(batch, batch_id):
-        seen.append((batch_id, sorted(r.item_id for r in batch.collect())))
-
-    gate = upserts.gated(step, lambda: bool(is_open), str(tmp_path / "runs"), "p", str(tmp_path / "held"))
-    rows = [arrive(spark, ("p", str(i), "T", f"https://e.com/{i}")) for i in range(5)]
-    gate(rows[0], 0)
-    is_open.append(1)
-    gate(rows[1], 1)
-    gate(rows[2], 2)
-    is_open.clear()
-    gate(rows[3], 3)
-    gate(rows[3], 3)
-    gate(rows[4], 4)
-    assert seen == [(0, ["0"]), (3, ["1", "2", "3"]), (3, ["1", "2", "3"]), (4, ["4"])]
-    runs = files.read_runs(spark, str(tmp_path / "runs")).collect()
-    assert [r.status for r in runs] == ["skipped"] * 2
+    assert [run(1), run(2)] == [False, False] and seen == []
+    breaker_open[0] = False
+    assert run(3) and seen == [[1, 2, 3]]
+    assert [r.status for r in files.read_runs(spark, str(tmp_path / "runs")).collect()] == ["skipped"] * 2
 
 
 # ---- a whole run --------------------------------------------------------------------------------------------------

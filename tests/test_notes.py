@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from gleaner.operators import cascade, graph, repair, scoring, store
 from gleaner.schemas import NOTES, TIER3
-from gleaner.streaming.upserts import STORE
 from gleaner.vocabulary import TAGS
 
 # ---- scoring ------------------------------------------------------------------------------------------------------
@@ -153,7 +152,7 @@ def incoming_rows(spark, rows):
 def test_upsert(spark):
     existing = spark.createDataFrame([
         note("Known", "https://e.com/a", user_notes="## User Notes\nmine"), note("Taken", "https://e.com/t"),
-        note("Residue", "", tags=[])], STORE)
+        note("Residue", "", tags=[])], NOTES)
     new = incoming_rows(spark, [
         ("p", "1", "Known", "https://E.com/a/?utm_x=1", 9), ("q", "2", "Known again", "https://e.com/a", 6),
         ("p", "3", "Taken", "https://other.org/x", 8), ("p", "4", "Residue", "https://e.com/r", 7),
@@ -171,7 +170,7 @@ def test_upsert(spark):
 
 
 def test_upsert_keeps_content_columns(spark):
-    existing = spark.createDataFrame([note("Known", "https://e.com/a")], STORE).withColumn("full_text", F.lit("old")).withColumn(
+    existing = spark.createDataFrame([note("Known", "https://e.com/a")], NOTES).withColumn("full_text", F.lit("old")).withColumn(
         "archive_path", F.lit("kept.pdf"))
     new = incoming_rows(spark, [("p", "1", "Known", "https://e.com/a", 9), ("p", "2", "New", "https://e.com/b", 9)]).withColumn(
         "full_text", F.concat(F.lit("text "), "item_id"))
@@ -375,3 +374,24 @@ def test_upsert_applies_the_size_ladder(spark):
     assert got["C"].full_text is None and got["D"].version == 1 and "E" not in got
     assert {r.item_id: r.status for r in results.collect()} == {
         "1": "updated", "2": "content_too_large_skipped", "3": "created", "4": "created", "5": "content_too_large_skipped"}
+
+
+def test_related_index_against_the_exact_form(spark, monkeypatch):
+    """2,400 notes in clusters, some of them equal: nine in ten related notes are found, and their scores are exact."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(150, 32))
+    data = []
+    for i in range(2400):
+        v = centres[i % 150] + rng.normal(size=32) * rng.choice([0.3, 0.6, 0.9])
+        data.append(("p" if i % 4 else "q", i, [float(x) for x in v]))
+    data += [(p, i + 10_000, v) for p, i, v in data[:20]]
+    notes = spark.createDataFrame(data, "profile STRING, id LONG, vector ARRAY<DOUBLE>")
+    exact = {(r.source_id, r.target_id): (r.score, r["rank"]) for r in graph.related_to(notes, notes, threshold=0.75).collect()}
+    found = {(r.source_id, r.target_id): r.score for r in graph.related_index(
+        notes, notes, threshold=0.75, visits=6, shortlist=64, block_rows=500).collect()}
+    assert len(exact) > 3000 and len(found.keys() & exact.keys()) >= 0.9 * len(exact)
+    assert all(abs(found[k] - exact[k][0]) <= 1e-6 for k in found.keys() & exact.keys())
+    few = notes.where("id % 10 = 0")
+    some = graph.related_index(few, notes, threshold=0.75).collect()
+    assert some and all(r.source_id % 10 == 0 and r.source_id != r.target_id for r in some)
+    assert graph.related_index(notes.limit(0), notes.limit(0)).collect() == []
