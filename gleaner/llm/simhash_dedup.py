@@ -33,10 +33,8 @@ from gleaner.llm.shared import bounded_batches, free_name, settled
 RADIUS, WORDS, SEED = 3, 3, 42
 #: Different fingerprints that a bucket may hold before it is dealt again.
 BUCKET = 512
-#: Near copies in the pipeline: words of a shingle, the least similarity in tenths, keys, minima of a key, rounds of leaders.
-NEAR_WORDS, ALIKE, BANDS, ROWS, LEADERS = 5, 8, 32, 4, 2
-#: Rounds of leaders among texts that share rare shingles.
-PREFIX_LEADERS = 2
+#: Near copies in the pipeline: words of a shingle, the least similarity in tenths, keys, minima of a key.
+NEAR_WORDS, ALIKE, BANDS, ROWS = 5, 8, 32, 4
 _RNG = np.random.default_rng(SEED)
 FLIPS = _RNG.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
 FACTORS = _RNG.integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
@@ -236,10 +234,8 @@ def enough_ahead(ahead: Column, other_ahead: Column, n: Column, other_n: Column)
 def joined_by_likeness(places: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
     """`places` with the roots that texts alike connect: rows have ka, fp and bands; texts have ka and text.
 
-    Texts that share a key of minima meet in rounds: in each round all of a key's texts meet one of them, the leader,
-    and only keys whose texts are not all connected go on.  What the keys of minima leave open meets by rarest shingles,
-    again by leaders first; there pairs that their places rule out do not meet.  In the last round every pair meets that
-    could still be alike.
+    Texts that share a key of minima meet two of them, the key's leaders.  Texts of keys that this does not connect meet
+    by rarest shingles: every pair that is not connected yet and could be alike by its places there.
     """
     places = settled(places)
     one = rows.groupBy("ka").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands")) \
@@ -255,13 +251,14 @@ def joined_by_likeness(places: DataFrame, rows: DataFrame, texts: DataFrame) ->
     links_so_far: list[DataFrame] = []
     roots: DataFrame | None = None
 
-    def still_open(met: DataFrame, turn: int) -> DataFrame:
-        """What meets in keys that are not connected yet, with today's roots and the key's leader of this turn."""
+    def still_open(met: DataFrame) -> DataFrame:
+        """What meets in keys that are not connected yet, with today's roots and two leaders of the key."""
         now = met if roots is None else met.join(roots, met["root"] == roots["node"], "left").select(
             *[c for c in met.columns if c != "root"], F.coalesce(roots["root"], met["root"]).alias("root"))
-        whole = F.struct(F.xxhash64(F.lit(turn), "key", "ka").alias("by"), *[c for c in met.columns if c != "key"])
-        open_ = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(whole).alias("first")) \
-            .where("lo < hi").select("key", "first")
+        whole = F.struct(F.xxhash64("key", "ka").alias("by"), *[c for c in met.columns if c != "key"])
+        open_ = now.groupBy("key").agg(
+            F.min("root").alias("lo"), F.max("root").alias("hi"), F.array(F.min(whole), F.max(whole)).alias("leaders")) \
+            .where("lo < hi").select("key", "leaders")
         return settled(now.join(open_, "key"))
 
     def connect(pairs: DataFrame) -> None:
@@ -272,33 +269,20 @@ def joined_by_likeness(places: DataFrame, rows: DataFrame, texts: DataFrame) ->
             found = found.unionByName(more)
         roots = settled(components(found))
 
-    def with_leader(left: DataFrame) -> DataFrame:
-        return left.where(F.col("root") != F.col("first.root")).select(
-            F.col("ka").alias("x"), F.col("first.ka").alias("y"), F.col("root").alias("rx"),
-            F.col("first.root").alias("ry"))
-
-    left = None
-    for turn in range(LEADERS + 1):
-        left = still_open(met, turn)
-        if turn == LEADERS or left.isEmpty():
-            break
-        connect(with_leader(left))
+    left = still_open(met)
+    if not left.isEmpty():
+        connect(left.select("ka", "root", F.explode("leaders").alias("leader")).where(F.col("root") != F.col("leader.root"))
+                .select(F.col("ka").alias("x"), F.col("leader.ka").alias("y"), F.col("root").alias("rx"),
+                        F.col("leader.root").alias("ry")))
+        left = still_open(met)
     if not left.isEmpty():
         open_texts = left.groupBy("ka").agg(F.first("root").alias("root"))
         posted = settled(prefixes(sets.join(open_texts, "ka", "left_semi")).join(open_texts, "ka"))
-        for turn in range(PREFIX_LEADERS + 1):
-            left = still_open(posted, turn)
-            if left.isEmpty():
-                break
-            if turn < PREFIX_LEADERS:
-                connect(with_leader(left.where(enough_ahead(
-                    F.col("ahead"), F.col("first.ahead"), F.col("n"), F.col("first.n")))))
-            else:
-                x, y = left.drop("first"), left.select("key", *[F.col(c).alias(f"y_{c}") for c in posted.columns if c != "key"])
-                both = x.join(y, (x["key"] == y["key"]) & (F.col("root") < F.col("y_root")) & enough_ahead(
-                    F.col("ahead"), F.col("y_ahead"), F.col("n"), F.col("y_n")))
-                connect(both.select(F.col("ka").alias("x"), F.col("y_ka").alias("y"), F.col("root").alias("rx"),
-                                    F.col("y_root").alias("ry")))
+        other = posted.select("key", *[F.col(c).alias(f"y_{c}") for c in posted.columns if c != "key"])
+        both = posted.join(other, (posted["key"] == other["key"]) & (F.col("root") < F.col("y_root")) & enough_ahead(
+            F.col("ahead"), F.col("y_ahead"), F.col("n"), F.col("y_n")))
+        connect(both.select(F.col("ka").alias("x"), F.col("y_ka").alias("y"), F.col("root").alias("rx"),
+                            F.col("y_root").alias("ry")))
     if roots is None:
         return places
     return places.withColumnRenamed("root", "r").join(roots, F.col("r") == F.col("node"), "left") \
