@@ -41,9 +41,8 @@ ENCODINGS = (
 )
 #: What an ordinary word looks like; false discoveries allowed; bins of p-values for each factor of ten.
 ORDINARY, LEVEL, BINS = "^[A-Za-z]?[a-z]+$", 0.01, 10
-#: Ordinary words that a null needs at least, and long ones for tables that have fewer: common words in a row, cut to
-#: sizes of every band up to 181 characters.
-ENOUGH = 30
+#: Long ordinary words that the null is taken from, whatever the table holds: common words in a row, cut to sizes of
+#: every band up to 181 characters.
 _COMMON = ("information development international government community management understanding particular environment "
            "experience education production technology department important different following available national "
            "performance organization relationship individual everything according president character knowledge "
@@ -124,19 +123,14 @@ def battery(tokens: DataFrame) -> DataFrame:
 def random_tokens(tokens: DataFrame, level: float = LEVEL) -> DataFrame:
     """Of different tokens (column token) those declared random: token, encoding, p."""
     scored = settled(battery(tokens.where(F.col("token").isNotNull())))
-    ordinary = F.col("token").rlike(ORDINARY)
-    pooled = (F.count("*").alias("words"), F.avg("unevenness").alias("mean"), F.stddev_pop("unevenness").alias("sd"))
-    null, every = scored.where(ordinary).groupBy("band").agg(*pooled), scored.where(ordinary).agg(*pooled).first()
-    if every.words < ENOUGH:
-        words = tokens.sparkSession.range(1).select(F.explode(F.array(*[F.lit(w) for w in REFERENCE])).alias("token"))
-        known = battery(words)
-        null, every = known.groupBy("band").agg(*pooled), known.agg(*pooled).first()
-    # a band of few words takes the scores of all words, which are shorter and so closer to random: a stricter null
-    tested = scored.where(~ordinary).join(null, "band", "left") \
-        .withColumn("mean0", F.lit(every.mean).cast("double")).withColumn("sd0", F.lit(every.sd).cast("double")) \
-        .withColumn("enough", F.coalesce(F.col("words") >= ENOUGH, F.lit(False))) \
-        .withColumn("z", (F.col("unevenness") - F.when(F.col("enough"), F.col("mean")).otherwise(F.col("mean0")))
-                    / F.greatest(F.when(F.col("enough"), F.col("sd")).otherwise(F.col("sd0")), F.lit(0.5))) \
+    pooled = (F.avg("unevenness").alias("mean"), F.stddev_pop("unevenness").alias("sd"))
+    words = tokens.sparkSession.range(1).select(F.explode(F.array(*[F.lit(w) for w in REFERENCE])).alias("token"))
+    known = battery(words)
+    null, every = known.groupBy("band").agg(*pooled), known.agg(*pooled).first()
+    # bands beyond the longest word take the scores of all words, which are shorter and so closer to random
+    tested = scored.where(~F.col("token").rlike(ORDINARY)).join(null, "band", "left") \
+        .withColumn("z", (F.col("unevenness") - F.coalesce("mean", F.lit(every.mean)))
+                    / F.greatest(F.coalesce("sd", F.lit(every.sd)), F.lit(0.5))) \
         .where(F.col("z").isNotNull()) \
         .withColumn("p", F.greatest(normal_below(F.col("z")), F.lit(1e-30))) \
         .withColumn("bin", F.floor(F.log10("p") * BINS).cast("int") + 1)

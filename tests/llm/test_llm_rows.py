@@ -105,7 +105,7 @@ def test_permutation_index_of_uneven_lengths(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(600, 16)) * rng.uniform(0.5, 2.0, size=(600, 1))
     frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
-    got = permutation_index.search(frame, F.col("vec_id") % 20 == 0, k=10, pivots=128, prefix=32, least=0)
+    got = permutation_index.search(frame, F.col("vec_id") % 20 == 0, k=10, pivots=128, prefix=32)
     hits = 0
     for r in got.collect():
         s = x @ x[r.query_id]

@@ -57,3 +57,36 @@ def test_padding_stays_with_its_value(spark):
     keys = ["".join(rng.choice(BASE64) for _ in range(43)) + "=" for _ in range(10)]
     got = found(spark, [(i, f"k {key} e") for i, key in enumerate(keys)])
     assert sum(got[i] == [(2, 46)] for i in range(10)) >= 8
+
+
+def test_ordinary_words_beside_a_token_change_nothing(spark):
+    rng = random.Random(7)
+    rows = [(i, "".join(rng.choice(BASE64) for _ in range(size))) for i, size in enumerate([20, 24, 33, 40, 64, 90] * 7)]
+    letters = "etaoinshrdlu"
+    words = [(1000 + i, "".join(rng.choice(letters) for _ in range(rng.randint(20, 60)))) for i in range(600)]
+    alone = found(spark, rows)
+    assert sum(bool(spans) for spans in alone.values()) > 25
+    for n in (29, 30, 600):
+        got = found(spark, rows + words[:n])
+        assert {i: got[i] for i in alone} == alone
+
+
+def test_added_spans_against_a_plain_count_of_tokens(spark):
+    """Hex and base64 values of several lengths: found where they are long; ordinary prose and names are left alone."""
+    rng = random.Random(8)
+    kinds = {"base64": BASE64, "upper": string.ascii_uppercase + "234567"}
+    rows, planted = [], {}
+    for name, alphabet in kinds.items():
+        for size in (32, 48, 64):
+            for _ in range(12):
+                planted[len(rows)] = (name, size)
+                rows.append((len(rows), "say " + "".join(rng.choice(alphabet) for _ in range(size)) + " end"))
+    prose = ["internationalization of characteristics and misunderstandings", "com.example.service.configuration.Loader",
+             "a_very_long_function_name_with_many_words", "https://example.org/path/to/some/interesting/article"]
+    rows += [(1000 + i, prose[i % 4]) for i in range(40)]
+    got = found(spark, rows)
+    assert not any(got[1000 + i] for i in range(40))
+    for name in kinds:
+        for size in (48, 64):
+            hit = sum(got[i] == [(4, 4 + size)] for i, p in planted.items() if p == (name, size))
+            assert hit >= 10, (name, size, hit)
