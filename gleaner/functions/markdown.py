@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -226,3 +228,72 @@ def parse_repair(body: Column) -> Column:
 def parse_bullets(body: Column) -> Column:
     lines = F.split(F.regexp_replace(F.coalesce(body, F.lit("")), r"\r", ""), "\n")
     return F.transform(F.filter(lines, lambda t: t.startswith("- ")), lambda t: F.substr(t, F.lit(3)))
+
+
+# ---- editing ------------------------------------------------------------------------------------------------------
+
+#: before which sections a new one goes, by heading; after all others if none is there
+_PLACES = {"Repair": ("Profile Relevance", "User Notes"), "Profile Relevance": ("User Notes",)}
+_PIECE = "array<struct<heading:string,text:string>>"
+
+
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def pieces(text: Column) -> Column:
+    """A note as an array of (heading, text) that `joined_pieces` puts together again byte for byte.
+
+    What stands before the first section has no heading.  From `## User Notes` on everything is one piece, whatever its
+    lines look like.
+    """
+    def heading(part: Column) -> Column:
+        return F.when(part.startswith("## "), F.trim(F.regexp_extract(part, r"\A## ([^\r\n]*)", 1)))
+
+    def take(done: Column, part: Column) -> Column:
+        last = F.element_at(done, -1)
+        in_notes = F.coalesce(last["heading"] == "User Notes", F.lit(False))
+        longer = F.struct(last["heading"].alias("heading"), F.concat(last["text"], F.lit("\n"), part).alias("text"))
+        return F.when(in_notes, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(
+            F.concat(done, F.array(F.struct(heading(part).alias("heading"), part.alias("text")))))
+
+    def folded(parts: Column) -> Column:
+        first = F.array(F.struct(heading(F.get(parts, F.lit(0))).alias("heading"), F.get(parts, F.lit(0)).alias("text")))
+        rest = F.filter(parts, lambda _, i: i > 0)
+        return F.aggregate(rest, first.cast(_PIECE), lambda done, part: take(done, part).cast(_PIECE))
+
+    return _once(F.split(text, r"\n(?=## )", -1), folded)
+
+
+def joined_pieces(parts: Column) -> Column:
+    return F.array_join(F.transform(parts, lambda p: p["text"]), "\n")
+
+
+def set_section(text: Column, heading: str, body: Column) -> Column:
+    """The note with this body in its first section of the heading, added at its place if there is none and taken out
+    for a null body.  All other bytes stay as they are."""
+    def edited(parts: Column) -> Column:
+        at = F.array_position(F.transform(parts, lambda p: F.coalesce(p["heading"], F.lit(""))), heading).cast("int")
+        new = F.array(F.struct(F.lit(heading).alias("heading"), F.concat(
+            F.lit(f"## {heading}\n"), body).alias("text"))).cast(_PIECE)
+        without = F.filter(parts, lambda p, i: i != at - 1)
+        put = F.filter(F.transform(F.array(*[F.lit(p) for p in _PLACES.get(heading, ("User Notes",))]), lambda place:
+                       F.array_position(F.transform(parts, lambda p: F.coalesce(p["heading"], F.lit(""))), place)),
+                       lambda i: i > 0)
+        before = F.when(at > 0, at).otherwise(F.coalesce(F.get(put, F.lit(0)).cast("int"), F.size(parts) + 1)) - 1
+        rest = F.filter(without, lambda _, i: i >= before)
+        return F.when(body.isNull(), without).otherwise(F.concat(F.filter(without, lambda _, i: i < before), new, rest))
+
+    return _once(pieces(text), lambda parts: joined_pieces(edited(parts)))
+
+
+def with_repair(text: Column, repair: Column) -> Column:
+    """The note with these attempt counters; without the section where they are null."""
+    return set_section(text, "Repair", F.when(repair.isNotNull(), repair_body(repair)))
+
+
+def with_relevance(text: Column, relevance: Column) -> Column:
+    """The note with these scores of profiles."""
+    body = relevance_body(relevance)
+    return set_section(text, "Profile Relevance", F.when(body != "", F.concat(body, F.lit("\n"))).otherwise(""))

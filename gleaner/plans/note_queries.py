@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions import tags as tg
-from gleaner.functions.markdown import render_note as render
+from gleaner.functions.markdown import render_note as render, set_section, with_relevance, with_repair
 from gleaner.functions.text import slugify
 from gleaner.functions.urls import arxiv_canonical_url
 from gleaner.operators import cascade, graph, repair, reports, scoring, store
@@ -744,3 +744,39 @@ def parse_note(t: Tables) -> DataFrame:
         "file", "title", "source_url", F.array_join("tags", "|").alias("tags"), "archive_path", "confidence",
         F.array_join("tier1.contributions", "|").alias("contributions"), F.array_join("tier3.datasets", "|").alias("datasets"),
         F.md5("full_text").alias("full_text_md5"), shown.alias("relevance"), "user_notes")
+
+
+EDIT_SQL = """
+r as (select '## Repair' || chr(10) || '- tier2_attempts: 2' || chr(10) || '- tier2_last_stage: "parse"' || chr(10)
+  || '- tier2_last_error: "e f"' || chr(10) || '- tier3_attempts: 0' || chr(10) || '- tier3_last_stage: ""' || chr(10)
+  || '- tier3_last_error: ""' || chr(10) || '- archive_attempts: 0' || chr(10) || '- archive_last_kind: ""' || chr(10)
+  || '- archive_last_error: ""' || chr(10) as section, chr(10) || '## Profile Relevance' || chr(10) as mark),
+u as (select *, case when doc_id % 8 = 0 then '## User Notes' || chr(13) || chr(10) || 'kept ' || doc_id || chr(10)
+  || '## not a section' || chr(10) else '## User Notes' || chr(10) end as own from n),
+e as (select doc_id, note, case doc_id % 5 when 0 then replace(note, mark, chr(10) || section || mark)
+  when 1 then left(note, instr(note, mark) - 1) || mark || '### zz' || chr(10) || 'Score: 9/10' || chr(10) || 'new' || chr(10)
+    || chr(10) || own
+  when 2 then replace(left(note, length(note) - length(own) - 1), mark, chr(10) || section || mark)
+  when 3 then left(note, instr(note, mark) - 1) || chr(10) || section || chr(10) || own
+  else note end as edited from u, r)"""
+
+
+@query(f"""with {NOTE_FIELDS_SQL}, n as (select doc_id, {NOTE_TEXT_SQL} as note from s), {EDIT_SQL}
+select doc_id, length(edited) as n_chars, md5(edited) as note_md5 from e""")
+def edit_note(t: Tables) -> DataFrame:
+    """Counters added and set again, scores taken out and put back, notes without user notes or scores, untouched notes."""
+    texts = _structured(t).select("doc_id", render(**{n: F.col(n) for n in _NAMES}).alias("note"))
+
+    def counters(attempts: int) -> Column:
+        return F.from_json(F.lit(f'{{"tier2_attempts":{attempts},"tier2_last_stage":"parse","tier2_last_error":"e\\nf"}}'), REPAIR)
+
+    fresh = F.from_json(F.lit('[{"profile":"zz","score":9,"reason":"new"}]'), tg.RELEVANCE)
+    note, gone = F.col("note"), F.lit(None).cast("string")
+    kind = F.col("doc_id") % 5
+    edited = F.when(kind == 0, with_repair(with_repair(note, counters(1)), counters(2))).when(
+        kind == 1, with_relevance(set_section(note, "Profile Relevance", gone), fresh)).when(
+        kind == 2, with_repair(set_section(note, "User Notes", gone), counters(2))).when(
+        kind == 3, with_repair(set_section(note, "Profile Relevance", gone), counters(2))).otherwise(
+        with_repair(note, F.lit(None).cast(REPAIR)))
+    return texts.select("doc_id", edited.alias("edited")).select(
+        "doc_id", F.length("edited").alias("n_chars"), F.md5("edited").alias("note_md5"))
