@@ -19,13 +19,21 @@ TOKENIZER = "piece_bpe_32k.model"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that score as toxic."""
+    """Without the documents that score as toxic.
+
+    Null and empty texts score like texts without features; repeated rows stay or go together; an empty table stays
+    empty.  Columns are those of `docs`.
+    """
     labels = apply_settings(spark).read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return toxicity.not_toxic(docs, toxicity.fit(docs, labels))
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """With repeated passages cut out; n_chars follows the text.  A document of which nothing is left goes."""
+    """With repeated passages cut out; n_chars follows the text.  A document of which nothing is left goes.
+
+    The first copy by id stays, of equal ids the first by the text's digest.  Null texts and texts of fewer than three
+    lines stay as they are, and so does n_chars where nothing was cut; an empty table stays empty.
+    """
     apply_settings(spark)
     rows = line_dedup.without_repeats(docs)
     rows = rows.where((F.col("lines_cut") == 0) | (F.trim("text") != ""))
@@ -34,13 +42,19 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: that of the smallest id (null last), of equal ids that of the smaller
+    digest, of repeated rows one.  Null texts and texts without words are one group; an empty table stays empty.
+    """
     apply_settings(spark)
     return simhash_dedup.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as its source's target weight has it."""
+    """Every document as often as its source's target weight has it: its copies are rows, and none if it is not taken.
+
+    A null source is a source of its own; documents without words count with size zero; repeated rows count
+    each; an empty table stays empty.
+    """
     apply_settings(spark)
     return source_mix.mixed(docs)
 

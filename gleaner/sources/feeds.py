@@ -54,7 +54,7 @@ def stream_candidates(spark: SparkSession, path: str, schema: str, max_files: in
 
 
 def read_rss(spark: SparkSession, path: str, feeds: DataFrame, now: Column | None = None) -> DataFrame:
-    """RSS items and Atom entries, stamped with their feed's own tag and name, newest first.
+    """RSS items and Atom entries, stamped with their feed's own tag and name, in no order.
 
     `feeds` has (file, feed_url, source_tag, feed_name): which snapshot belongs to which feed.
     """

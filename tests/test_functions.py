@@ -10,6 +10,7 @@ from gleaner.functions import dates, markdown, payloads
 from gleaner.functions import tags as tg
 from gleaner.functions import text as tx
 from gleaner.functions import urls as ux
+from gleaner.schemas import REPAIR
 from gleaner.vocabulary import TagVocabulary
 
 V = None  # the column `v`, once there is a session
@@ -258,3 +259,33 @@ def test_repair_section_round_trip(spark):
     assert (back.tier2_attempts, back.tier2_last_stage, back.tier2_last_error, back.archive_last_kind) == (2, "parse", "broken", "http")
     odd = spark.createDataFrame([("- tier2_attempts: many\n- strange: 1\n",)], "b STRING")
     assert odd.select(markdown.parse_repair(F.col("b")).alias("r")).first().r.tier2_attempts == 0
+
+
+def test_notes_fall_into_pieces_and_back(evaluate):
+    texts = ["", "\n", "## A", "## A\n\n## A\nx\r\n## B  \n", "---\nt\n---\n# T\n\n## Archive\n\n## User Notes\n## Repair\nmine\n",
+             "\n## User Notes\r\nx\n## Profile Relevance\ny", "no sections at all\n\n", "##  Odd\n##Not one\n", "é\n## ü\n ## x\n", None]
+    assert evaluate(texts, markdown.joined_pieces(markdown.pieces(V))) == texts
+    headings = evaluate(texts[4:5], F.transform(markdown.pieces(V), lambda p: p["heading"]))
+    assert headings == [[None, "Archive", "User Notes"]]
+
+
+def test_sections_are_set_added_and_taken_out(evaluate):
+    note = "# T\n\n## Archive\n\n## Profile Relevance\n### p\nScore: 3/10\nr\n\n## User Notes\n## Repair\nmine\n"
+    bare, empty = "# T\n", ""
+    put = evaluate([note, bare, empty, None], markdown.set_section(V, "Repair", F.lit("b\n")))
+    assert put == [note.replace("\n## Profile", "\n## Repair\nb\n\n## Profile"), "# T\n\n## Repair\nb\n", "\n## Repair\nb\n", None]
+    assert evaluate(put[:1], markdown.set_section(V, "Repair", F.lit("c\n"))) == [put[0].replace("\nb\n", "\nc\n")]
+    assert evaluate(put[:1], markdown.set_section(V, "Repair", F.lit(None).cast("string"))) == [note]
+    assert evaluate([note], markdown.set_section(V, "User Notes", F.lit(None).cast("string"))) == [note.split("\n## User")[0]]
+    repaired = F.from_json(F.lit('{"tier2_attempts":2,"tier2_last_error":"a\\nb"}'), REPAIR)
+    text = evaluate([note], markdown.with_repair(V, repaired))[0]
+    back = evaluate([text], markdown.parse_repair(F.regexp_extract(
+        V, r"(?s)## Repair\n(.*?)\n## Profile", 1)))[0]
+    assert (back.tier2_attempts, back.tier2_last_error, back.archive_attempts) == (2, "a b", 0)
+
+
+def test_ids_of_holders(evaluate):
+    lines = ["first_existing_id=n-1; first_slug='a=b'; retry_existing_id=<missing>; x", "Slug 'q' already in use", None,
+             "refused existing_id=not hex", "xexisting_id=no; my_existing_id=no"]
+    assert evaluate(lines, tx.existing_ids(V)) == [["n-1"], [], None, ["not"], []]
+    assert evaluate(lines, tx.blocking_id(V)) == ["n-1", None, None, "not", None]
