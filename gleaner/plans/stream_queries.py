@@ -131,26 +131,28 @@ def stream_cadence(t: Tables) -> DataFrame:
 @query("""
 with s as (select event_id // 2 as run_id, cast(user_id as varchar) as profile, ts as started_at from events
   where event_id % 2 = 0 and event_type <> 'error'),
-f as (select event_id // 2 as run_id, ts as completed_at from events where event_id % 2 = 1),
-m as (select max(ts) - interval '10 minutes' as mark from events where event_id % 2 = 1 or event_type <> 'error')
-select s.run_id, s.profile, 'abandoned' as status from s, m where s.started_at + interval '20 days' <= mark and not exists (
-  select 1 from f where f.run_id = s.run_id and f.completed_at between s.started_at and s.started_at + interval '20 days')""")
+f as (select event_id // 2 as run_id, ts as completed_at from events where event_id % 2 = 1 and event_type <> 'click'),
+m as (select greatest((select max(started_at) from s), (select max(completed_at) from f)) - interval '10 minutes' as mark)
+select s.run_id, s.profile, 'abandoned' as status from s, m where s.started_at + interval '1 day' <= mark and not exists (
+  select 1 from f where f.run_id = s.run_id and f.completed_at between s.started_at and s.started_at + interval '1 day')""")
 def stream_abandoned(t: Tables) -> DataFrame:
     def of(events: DataFrame) -> DataFrame:
         rows = events.select((F.col("event_id") / 2).cast("long").alias("run_id"), F.col("user_id").alias("profile"),
                              F.col("ts").alias("started_at"), F.col("ts").alias("completed_at"), "event_type",
                              (F.col("event_id") % 2 == 0).alias("starts"))
-        return keyed.abandoned(rows.where("starts and event_type <> 'error'"), rows.where("not starts"), timedelta(days=20))
+        return keyed.abandoned(rows.where("starts and event_type <> 'error'"),
+                               rows.where("not starts and event_type <> 'click'"), timedelta(days=1))
 
     return _rows_of(t, "abandoned", of).select("run_id", "profile", "status")
 
 
-@query(f"""with {UPSERT_SQL}, c as (select n, count(*) as c from i group by n)
+@query(f"""with {UPSERT_SQL},
+c as (select n, count(*) as c, string_agg(profile || '=' || score, '|' order by profile desc) as newest from i group by n)
 select case when known then 's' || n else left(sha256('https://d.example.com/p/' || n), 32) end as note_id,
   case when known then 'Stored ' || n || ' [x]' when held then 'Title ' || n || ' [d.example.com]' else 'Title ' || n end
     as title,
   case when known then 'kept-' || n when held then 'title-' || n || '-d-example-com' else 'title-' || n end as slug,
-  case when known then 4 + c else c end as version, case when known then rel || '|old=4' else rel end as relevance,
+  case when known then 4 + c else c end as version, case when known then newest || '|old=4' else newest end as relevance,
   greatest(best, case when known then 4 else 0 end) / 10.0 as confidence, md5(text) as full_text_md5 from g join c using (n)
 union all select 'r' || n, 'Title ' || n, 'title-' || n, 1, '', 0.1, md5('old' || (select min(text) from i where i.n = g.n))
   from g where held""")
@@ -163,9 +165,9 @@ def stream_upsert(t: Tables) -> DataFrame:
     part = F.when(F.col("profile") == "a", 0).otherwise(1 + (number / 2).cast("long") % 2)
     rows.withColumn("part", part).write.partitionBy("part").parquet(f"{root}/all")
     step = upserts.upsert_step(f"{root}/table", fold_every=2)
-    stream = t.spark.readStream.schema(rows.schema).parquet(f"{root}/in")
     for n in range(3):
         t.spark.read.schema(rows.schema).parquet(f"{root}/all/part={n}").write.mode("append").parquet(f"{root}/in")
+        stream = t.spark.readStream.schema(rows.schema).parquet(f"{root}/in")
         stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{root}/cp").trigger(
             availableNow=True).start().awaitTermination()
     shown = F.array_join(F.transform("relevance", lambda e: F.concat(
