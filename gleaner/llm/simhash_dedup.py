@@ -205,7 +205,8 @@ def alike_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = [alike(x.values.to_numpy(), y.values.to_numpy()) for x, y in zip(batch.column(2), batch.column(3))]
+            near = [alike(np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8"))
+                    for x, y in zip(batch.column(2), batch.column(3))]
             found = batch.filter(pa.array(near, pa.bool_()))
             yield pa.RecordBatch.from_arrays(found.columns[:2], ["a", "b"])
 
@@ -219,7 +220,15 @@ def prefixes(sets: DataFrame) -> DataFrame:
     `enough_ahead` of them from their first common one on, so it stands among the first fifth of each; a shingle of one
     set alone is nobody's first common one.
     """
-    each = sets.select("ka", F.explode("hashes").alias("key"), F.size("hashes").alias("n"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ka, hashes in zip(batch.column(0), batch.column(1)):
+                keys = np.frombuffer(hashes.as_buffer(), "<i8")
+                n = len(keys)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, ka.as_py())), pa.array(keys), pa.array(np.full(n, n, np.int32))], ["ka", "key", "n"])
+
+    each = settled(sets.select("ka", "hashes").mapInArrow(run, "ka long, key long, n int"))
     held = each.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     order = Window.partitionBy("ka").orderBy(F.coalesce("c", F.lit(1)), "key")
     rows = each.join(held, "key", "left").withColumn("ahead", F.col("n") - F.row_number().over(order) + 1)
@@ -246,8 +255,7 @@ def joined_by_likeness(places: DataFrame, rows: DataFrame, texts: DataFrame) ->
     wanted = met.select(F.col("ka").alias("w")).distinct()
     # equal texts have equal sets, so any of them will do
     sets = settled(with_of_text(texts.join(wanted, F.col("ka") == F.col("w"), "left_semi").select("ka", "text"), "text", {
-        "hashes": (T.ArrayType(T.LongType()), pa.list_(pa.int64()), lambda t: shingles(t).view("<i8"))})
-        .dropDuplicates(["ka"]))
+        "hashes": (T.BinaryType(), pa.binary(), lambda t: shingles(t).astype("<u8").tobytes())}).dropDuplicates(["ka"]))
     links_so_far: list[DataFrame] = []
     roots: DataFrame | None = None
 
