@@ -296,6 +296,43 @@ def test_late_rows_per_key(spark, tmp_path):
                    6: (2, False, True), 7: (2, False, False), 8: (4, False, False), 9: (3, True, False)}
 
 
+@pytest.mark.parametrize("kind", ["attempts", "circuit", "stalls", "cadence", "abandoned"])
+def test_state_is_kept_by_bucket(spark, tmp_path, kind):
+    """Calls of Python and rows of state follow the buckets, not the keys; big numbers beside nulls come out as they were."""
+    (tmp_path / "in").mkdir()
+    big = 2**53 + 1
+    df = spark.range(300).selectExpr(
+        f"if(id < 10, null, id + {big}) as k", f"if(id % 7 = 0, null, id + {big}) as n", "timestamp_seconds(id) as ts",
+        "'parse' as failure_stage", "'tier2' as stage", "'degraded' as status", "'scheduled' as kind", "1 as checked")
+    df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    probes = stream.selectExpr("n as probe_id", "k as target", "ts", "status")
+    runs = stream.selectExpr("n as run_id", "k as profile", "kind", "'completed' as status", "ts as completed_at",
+                             "checked as sources_checked", "checked as ingested")
+    tried = stream.selectExpr("n as attempt_id", "k as note_id", "stage", "ts", "failure_stage")
+    out = {
+        "attempts": lambda: keyed.attempts(tried, buckets=4),
+        "circuit": lambda: keyed.breaker(probes, buckets=4),
+        "stalls": lambda: keyed.stalls(runs, buckets=4),
+        "cadence": lambda: keyed.closed_windows(runs, 1, F.array("kind"), F.lit(False), buckets=4),
+        "abandoned": lambda: keyed.abandoned(runs.withColumnRenamed("completed_at", "started_at"), runs.where("false"),
+                                             timedelta(minutes=5), buckets=4)}[kind]()
+    query = out.writeStream.format("parquet").option("path", str(tmp_path / "o")).option(
+        "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    held = max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress)
+    assert 0 < held <= 4 * 4
+    id_, key = {"attempts": ("attempt_id", "note_id"), "circuit": ("probe_id", "target"), "stalls": ("run_id", "profile")}.get(
+        kind, (None, "profile"))
+    got = spark.read.schema(out.schema).parquet(str(tmp_path / "o"))
+    if kind == "abandoned":
+        assert got.count() == 0
+    else:
+        assert sorted(got.select(key).collect(), key=repr) == sorted(df.select("k").collect(), key=repr)
+    if id_:
+        assert sorted(got.select(id_).collect(), key=repr) == sorted(df.select("n").collect(), key=repr)
+
+
 def test_abandoned_by_timer(spark, tmp_path):
     """A start is told at its deadline though no row of it follows; a finished row may come first, but not too early."""
     (tmp_path / "in").mkdir()
