@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from gleaner.vocabulary import SCORE_BATCH
 
 Scorer = Callable[[pd.DataFrame], pd.DataFrame]
 
+#: rows of whole batches that come to Python together
+CALL_ROWS = 1024
+
 
 def score_batches(
     candidates: DataFrame, keys: Sequence[str] = ("profile", "source"), order: str = "item_id",
@@ -112,7 +116,8 @@ def score_candidates(
 
     With `prompts` (profile, prompt), each row of a batch carries its profile's prompt as column `prompt`.
 
-    Rows of a batch are brought together by (keys, batch_id), so a hot source spreads over many tasks.  A batch whose
+    Rows are brought together by (keys, run of batches), about `CALL_ROWS` rows at a time, so a hot source spreads over many
+    tasks and Spark's cost of a group is not paid per batch; the scorer still sees one batch a call.  A batch whose
     scorer keeps failing, or returns an invalid row, poisons its (profile, source).  Without a scorer nothing passes.
     What the scorer answers is checkpointed before anything branches on it, so each batch is scored once.
     """
@@ -127,23 +132,34 @@ def score_candidates(
     schema = ", ".join(f"{k} {types[k]}" for k in group) + ", ok BOOLEAN, " + fields
     names = ["item_id", "score", "confidence", "reason", "filter_tags", "pos"]
 
-    def run_batch(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        out, ok = None, False
+    def score(rows: pd.DataFrame) -> tuple[pd.DataFrame, bool]:
         for _ in range(retries + 1):
             try:
-                out, ok = scorer(rows.sort_values(order, ignore_index=True)), True
-                break
+                out = scorer(rows)
+                return (none if out is None or out.empty else out), True
             except Exception:  # the scorer is foreign code: any failure fails the batch, not the job
                 continue
-        if out is None or out.empty:
-            out = pd.DataFrame({n: [None] for n in names})
-        out = out.reset_index(drop=True).assign(pos=range(len(out)), ok=ok)
-        for name, value in zip(group, key, strict=True):
-            out[name] = value
-        return out.reindex(columns=[*group, "ok", *names])
+        return none, False
+
+    none = pd.DataFrame({n: [None] for n in names})
+
+    def run_batches(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["batch_id", order], ignore_index=True)
+        batch_ids, starts = np.unique(rows["batch_id"].to_numpy(), return_index=True)
+        columns: dict[str, list] = {n: [] for n in ["batch_id", "ok", *names]}
+        for batch_id, at, end in zip(batch_ids, starts, [*starts[1:], len(rows)], strict=True):
+            out, ok = score(rows.iloc[at:end].drop(columns="_call").reset_index(drop=True))
+            columns["batch_id"] += [batch_id] * len(out)
+            columns["ok"] += [ok] * len(out)
+            columns["pos"] += range(len(out))
+            for name in names[:-1]:
+                columns[name] += out[name].tolist() if name in out.columns else [None] * len(out)
+        keyed = {k: pd.Series([v] * len(columns["ok"]), dtype=rows[k].dtype) for k, v in zip(keys, key[:-1], strict=True)}
+        return pd.DataFrame({**keyed, **columns})[[*group, "ok", *names]]
 
     checkpoint_dir(candidates.sparkSession)
-    raw = batched.groupBy(*group).applyInPandas(run_batch, schema).checkpoint()
+    calls = batched.withColumn("_call", F.floor(F.col("batch_id") / max(CALL_ROWS // max(size, 1), 1)))
+    raw = calls.groupBy(*keys, "_call").applyInPandas(run_batches, schema).checkpoint()
     in_batch = raw.join(batched.select(*group, "item_id"), [*group, "item_id"], "left_semi")
     problem = score_problem(F.col("item_id"), F.col("score"), F.col("reason"))
     status = raw.groupBy(*group).agg(

@@ -293,6 +293,23 @@ def test_related_equals_brute_force(spark, pivots, block, threshold):
     assert got == brute_force(vectors, 5, threshold)
 
 
+@pytest.mark.parametrize("call_rows", [1, 10, 1024])
+def test_batches_share_a_python_call(spark, monkeypatch, call_rows):
+    """Spark groups follow the rows, not the batches; the scorer still gets one batch a call, in order."""
+    monkeypatch.setattr(scoring, "CALL_ROWS", call_rows)
+    items = spark.range(3000).selectExpr("'p' as profile", "'s' as source", "lpad(id, 6, '0') as item_id")
+    calls = spark.sparkContext.accumulator(0)
+
+    def scorer(rows):
+        calls.add(1)
+        assert len(rows) <= 4 and rows.item_id.is_monotonic_increasing and "_call" not in rows and rows.index[0] == 0
+        return pd.DataFrame({"item_id": rows.item_id, "score": 5.0, "confidence": 0.5, "reason": "r", "filter_tags": [["t"]] * len(rows)})
+
+    out = scoring.score_candidates(items, scorer, size=4)
+    assert calls.value == 750 and out.count() == 3000 and calls.value == 750
+    assert out.where("batch_id = 749").count() == 4
+
+
 def test_related_index_misses_nothing(spark):
     """Random vectors at a low threshold: what the index does not visit is compared too."""
     rng = np.random.default_rng(5)
