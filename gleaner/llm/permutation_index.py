@@ -59,13 +59,13 @@ def shared_ranks(near: np.ndarray, rows: np.ndarray, ranks: np.ndarray, starts:
 
 
 def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-           pivots: int = PIVOTS, prefix: int = PREFIX, reranked: float = RERANKED) -> DataFrame:
+           pivots: int = PIVOTS, prefix: int = PREFIX, reranked: float = RERANKED, least: int = 0) -> DataFrame:
     """Each query row's k nearest found, by inner product in double precision: query_id, rank, vec_id, score.
 
     Every row for which `queries` holds is a query; candidates are the rows with another id.  All rows are indexed.
     Ties go to the smaller id; repeated candidate rows count each, repeated query rows return a list each.  Null,
     empty, zero or non-finite vectors and null ids take no part; vectors of different lengths raise an error.  An empty
-    table gives an empty result.  Of each shard at least k + 1 rows are reranked, and rows at the same footrule distance as
+    table gives an empty result.  Of each shard at least k + 1 (and `least`) rows are reranked, and rows at the same footrule distance as
     the last of them.
     """
     fine = vectors.where(F.col(id_col).isNotNull() & usable(F.col(vector_col), zero=False))
@@ -94,7 +94,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
         own, ids = np.frombuffer(q["ids"], "<i8"), np.frombuffer(s["ids"], "<i8")
         lists = [np.frombuffer(s[c], t) for c, t in (("rows", "<i4"), ("ranks", "<i2"), ("starts", "<i4"))]
         near = nearest_pivots(a @ centres.T, prefix)
-        keep = min(len(b), max(k + 1, math.ceil(reranked * len(b))))
+        keep = min(len(b), max(least, k + 1, math.ceil(reranked * len(b))))
         parts = []
         for at in range(0, len(a), 256):
             shared = shared_ranks(near[at:at + 256], *lists, len(b))
