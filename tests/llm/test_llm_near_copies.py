@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import random
+import time
+from pathlib import Path
+
+from pyspark.sql import functions as F
 
 from gleaner.llm import simhash_dedup
+from gleaner.llm.shared import settled
 
 SCHEMA = "doc_id long, text string"
 
@@ -92,3 +97,23 @@ def test_mixed_group_equals_all_pairs(spark):
     rows += [(1000 + i, " ".join(t.split()[rng.randint(0, 20):])) for i, t in rows[:60]] + [(2000, ""), (2001, None)]
     got = simhash_dedup.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(r.doc_id for r in got) == plain_kept([(i, t or "") for i, t in rows])
+
+
+def test_settled_frames_leave_no_shuffle_files(spark):
+    """What a stage settles holds no disk in shuffle files until the driver collects its garbage."""
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()
+
+    def files():
+        return {f.name for folder in folders for f in Path(folder.getPath()).glob("*/shuffle_*")}
+
+    before = files()
+    sums = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    kept = settled(sums.join(spark.range(7).withColumnRenamed("id", "k").hint("merge"), "k"))
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    # frames that were not settled keep theirs, so they can be read twice
+    assert sorted(kept.collect()) == sorted(sums.collect()) == sorted(sums.collect())
+    assert files() - before
