@@ -290,7 +290,19 @@ def trimmed(rows: DataFrame, limit: int, exists: Column, vocab: TagVocabulary =
 
 def upsert_notes(existing: DataFrame, incoming: DataFrame, key: str = "source_url", vocab: TagVocabulary = TAGS,
                  content_limit: int | None = None, retry_conflicts: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(new store, write results) of one batch, as if its rows were written one at a time in id order.
+    """(new store, write results) of one batch: what `upsert_changes` writes and takes away, applied to the store."""
+    written, gone, results = upsert_changes(existing, incoming, key, vocab, content_limit, retry_conflicts)
+    old = with_normalised_url(existing, key, key).withColumn(key, F.nullif(key, F.lit("")))
+    store = written.unionByName(
+        old.join(written.select(key), key, "left_anti").join(gone, "note_id", "left_anti").select(*existing.columns))
+    return store, results
+
+
+def upsert_changes(existing: DataFrame, incoming: DataFrame, key: str = "source_url", vocab: TagVocabulary = TAGS,
+                   content_limit: int | None = None, retry_conflicts: bool = True
+                   ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(written notes, ids of notes taken away, write results) of one batch, as if its rows were written one at a time
+    in id order.
 
     Incoming rows carry item_id, profile, title, score, reason, tags, user_notes, any content columns of the store, and
     optionally expected_version.  Each gets one result (profile, item_id, status, detail).  Rows without title or url
@@ -321,13 +333,16 @@ def upsert_notes(existing: DataFrame, incoming: DataFrame, key: str = "source_ur
     fresh = good.join(old.select(key), key, "left_anti")
     outcomes = resolve_collisions(
         fresh.select("item_id", "title", F.col(key).alias("source_url")),
-        old.select("note_id", "slug", "tags", F.col(key).alias("source_url"), note_body(old.columns).alias("body"))
+        # whether a body is blank is all that counts, so its first character stands for it
+        old.select("note_id", "slug", "tags", F.col(key).alias("source_url"),
+                   F.substring(F.trim(note_body(old.columns)), 1, 1).alias("body"))
     ).withColumnRenamed("source_url", key).drop("item_id").checkpoint()
     creates = outcomes.where(F.col("status") == "created").select(
         key, F.col("title").alias("_title"), F.col("slug").alias("_slug"), "reclaimed_id")
-    known = good.join(old.select(key), key, "left_semi")
-    writes = known.unionByName(good.join(creates.select(key, "_title"), key).withColumn(
-        "title", F.col("_title")).select(*known.columns))
+    # whole rows are moved once: known urls keep the title they bring, new ones take the one their slug is of
+    allowed = old.select(key).distinct().withColumn("_title", F.lit(None).cast("string")).unionByName(
+        creates.select(key, "_title"))
+    writes = good.join(allowed, key).withColumn("title", F.coalesce("_title", "title")).select(*good.columns)
     writes = writes.withColumn("confidence", F.lit(0.0)).withColumn("version", F.lit(0).cast("bigint"))
     merged = merge_notes(old.join(writes.select(key), key, "left_semi"), writes, key, vocab)
     # identity, and stored columns the incoming rows know nothing of
@@ -346,8 +361,6 @@ def upsert_notes(existing: DataFrame, incoming: DataFrame, key: str = "source_ur
     written = touched.where("fit <> 'skipped'")
     gone = creates.join(written.select(key), key, "left_semi").where(F.col("reclaimed_id").isNotNull()).select(
         F.col("reclaimed_id").alias("note_id"))
-    store = written.select(*existing.columns).unionByName(
-        old.join(written.select(key), key, "left_anti").join(gone, "note_id", "left_anti").select(*existing.columns))
     # what became of each url, and of each row that brought it
     by_url = touched.select(
         key, F.when(F.col("fit") == "skipped", "content_too_large_skipped").otherwise(F.col("_status")).alias("status"),
@@ -360,7 +373,7 @@ def upsert_notes(existing: DataFrame, incoming: DataFrame, key: str = "source_ur
     each = rows.select(key, "profile", "item_id").join(firsts, key).join(by_url, key).select(
         *named, F.when(later & (F.col("status") == "created"), "updated").otherwise(F.col("status")).alias("status"),
         "detail")
-    return store, results.unionByName(each)
+    return written.select(*existing.columns), gone, results.unionByName(each)
 
 
 def sweep_conflict_merge(pending: DataFrame, stored: DataFrame, vocab: TagVocabulary = TAGS) -> DataFrame:

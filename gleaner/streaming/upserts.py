@@ -18,7 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from gleaner.functions.text import slug_suffix_title, slugify
 from gleaner.functions.urls import with_normalised_url
-from gleaner.operators.store import upsert_notes
+from gleaner.operators.store import upsert_changes
 from gleaner.schemas import NOTES
 from gleaner.session import drop_folder, exists, folders
 from gleaner.vocabulary import TAGS, TagVocabulary
@@ -90,15 +90,17 @@ class NoteTable:
     def read(self, before: int | None = None) -> DataFrame:
         """All notes as they stand (before a batch)."""
         upto, batches = self.parts(before)
-        changed = self.newest(self.deltas(batches))
-        return self.base(upto).drop("place").join(changed.select("note_id"), "note_id", "left_anti").unionByName(
-            changed.where(~F.col("gone")).drop("gone"))
+        return self._standing(self.base(upto).drop("place"), self.deltas(batches))
+
+    def _standing(self, base: DataFrame, deltas: DataFrame) -> DataFrame:
+        kept = base.join(deltas.select("note_id"), "note_id", "left_anti")
+        return kept.unionByName(self.newest(deltas).where(~F.col("gone")).drop("gone"))
 
     def holding(self, urls: DataFrame, slugs: DataFrame, before: int) -> DataFrame:
         """The notes that hold any of the urls (source_url) or slugs (slug), as they stood before a batch.
 
-        In the base only the places those hash to are read: joins on the partition column prune it.  Of the deltas, at
-        most `fold_every` batches of changes, ids are looked up first and whole rows taken for those alone.
+        In the base only the places those hash to are read: joins on the partition column prune it.  Of the base and of
+        the deltas, at most `fold_every` batches of changes, ids are looked up first and whole rows taken for those alone.
         """
         upto, batches = self.parts(before)
         deltas, places = self.deltas(batches), self.places(upto)
@@ -106,12 +108,13 @@ class NoteTable:
         listed = self.slugs(upto).join(
             slugs.select("slug", place_of(places, F.col("slug")).alias("place")), ["slug", "place"], "left_semi")
         base = self.base(upto)
-        stored = base.join(near, ["source_url", "place"], "left_semi").unionByName(
-            base.join(listed.select("note_id", F.col("at").alias("place")), ["note_id", "place"], "left_semi"))
+        found = base.select("note_id", "source_url", "place").join(near, ["source_url", "place"], "left_semi") \
+            .select("note_id", "place").unionByName(listed.select("note_id", F.col("at").alias("place")))
         ids = deltas.join(urls, "source_url", "left_semi").select("note_id").unionByName(
-            deltas.join(slugs, "slug", "left_semi").select("note_id")).unionByName(stored.select("note_id")).distinct()
+            deltas.join(slugs, "slug", "left_semi").select("note_id")).unionByName(found.select("note_id")).distinct()
         changed = self.newest(deltas.join(ids, "note_id", "left_semi"))
-        kept = stored.drop("place").dropDuplicates(["note_id"]).join(changed.select("note_id"), "note_id", "left_anti")
+        stored = found.join(deltas.select("note_id"), "note_id", "left_anti")
+        kept = base.join(stored, ["note_id", "place"], "left_semi").drop("place")
         return kept.unionByName(changed.where(~F.col("gone")).drop("gone"))
 
     def append(self, rows: DataFrame, batch_id: int) -> None:
@@ -120,9 +123,23 @@ class NoteTable:
     def fold(self, batch_id: int) -> None:
         """Fold everything up to a batch into a new base, then drop what the base before no longer needs."""
         older, _ = self.parts(batch_id)
+        upto, batches = self.parts()
+        # notes are counted by their ids, so that their content is moved for the base alone
+        count = self._standing(self.base(upto).select("note_id"), self.deltas(batches).select("note_id", "gone", "batch")).count()
+        self.lay_base(self.read(), count, batch_id)
+        # a batch that runs again may still need the base before and what came after it
+        if older is not None:
+            for n in folders(self.spark, f"{self.path}/delta"):
+                if n <= older:
+                    drop_folder(self.spark, f"{self.path}/delta/batch={n}")
+            for n in folders(self.spark, f"{self.path}/base", "upto="):
+                if n < older:
+                    drop_folder(self.spark, f"{self.path}/base/upto={n}")
+
+    def lay_base(self, notes: DataFrame, count: int, batch_id: int) -> None:
+        """Write so many notes as the base of everything up to a batch."""
         target = f"{self.path}/base/upto={batch_id}"
-        notes = self.read()
-        places = max(-(-notes.count() // PLACE_ROWS), 1)
+        places = max(-(-count // PLACE_ROWS), 1)
         notes = notes.withColumn("place", place_of(places, _url_key()))
         notes.repartition("place").write.mode("overwrite").option(
             "partitionOverwriteMode", "static").partitionBy("place").parquet(f"{target}/notes")
@@ -132,14 +149,6 @@ class NoteTable:
         ).repartition("place").write.mode("overwrite").option(
             "partitionOverwriteMode", "static").partitionBy("place").parquet(f"{target}/slugs")
         self.spark.range(1).select(F.lit(places).alias("n")).write.mode("overwrite").parquet(f"{target}/places")
-        # a batch that runs again may still need the base before and what came after it
-        if older is not None:
-            for n in folders(self.spark, f"{self.path}/delta"):
-                if n <= older:
-                    drop_folder(self.spark, f"{self.path}/delta/batch={n}")
-            for n in folders(self.spark, f"{self.path}/base", "upto="):
-                if n < older:
-                    drop_folder(self.spark, f"{self.path}/base/upto={n}")
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
@@ -149,10 +158,9 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
 
 def seed(notes: DataFrame, path: str) -> None:
     """Begin a streamed table with the notes of a store."""
-    rows = with_normalised_url(notes, "source_url", "source_url").withColumn("gone", F.lit(False))
+    rows = with_normalised_url(notes, "source_url", "source_url").dropDuplicates(["note_id"])
     table = NoteTable(notes.sparkSession, path)
-    table.append(rows.select(*[f.name for f in table.deltas([]).schema if f.name != "batch"]), -1)
-    table.fold(-1)
+    table.lay_base(rows.select(*table.base(None).drop("place").columns), notes.select("note_id").distinct().count(), -1)
 
 
 def upsert_step(path: str, fold_every: int = FOLD_EVERY, vocab: TagVocabulary = TAGS,
@@ -169,12 +177,11 @@ def upsert_step(path: str, fold_every: int = FOLD_EVERY, vocab: TagVocabulary =
         retried = slugify(slug_suffix_title(F.col("title"), F.col("source_url")))
         slugs = incoming.select(F.explode(F.array(slugify(F.col("title")), retried)).alias("slug")).distinct()
         known = table.holding(urls, slugs, batch_id).checkpoint()
-        merged, results = upsert_notes(known, incoming, vocab=vocab, content_limit=content_limit)
-        merged = merged.checkpoint()
-        gone = known.select("note_id").join(merged.select("note_id"), "note_id", "left_anti").withColumn("gone", F.lit(True))
-        changed = merged.join(urls, "source_url", "left_semi").withColumn("gone", F.lit(False))
+        written, gone, results = upsert_changes(known, incoming, vocab=vocab, content_limit=content_limit)
+        changed = written.withColumn("gone", F.lit(False)).unionByName(
+            gone.withColumn("gone", F.lit(True)), allowMissingColumns=True)
         names = [f.name for f in table.deltas([]).schema if f.name != "batch"]
-        table.append(changed.unionByName(gone, allowMissingColumns=True).select(*names), batch_id)
+        table.append(changed.select(*names), batch_id)
         results.write.mode("overwrite").parquet(f"{table.path}/results/batch={batch_id}")
         if len(table.parts()[1]) >= fold_every:
             table.fold(batch_id)

@@ -589,3 +589,16 @@ def test_links(spark):
     vectors = spark.createDataFrame([("p", "a", [1.0, 0.0]), ("p", "b", [1.0, 0.1])], "profile STRING, id STRING, vector ARRAY<DOUBLE>")
     assert {(r.type, r.source_note_id, r.target_note_id) for r in run_plan.link(notes, vectors).collect()} == {
         ("builds_on", "a", "b"), ("related_to", "a", "b"), ("related_to", "b", "a")}
+
+
+def test_upsert_stream_writes_notes_once(spark, tmp_path):
+    """A store is laid out as the base at once, without a delta that says the same; repeated ids stay one note."""
+    fields = ["note_id", "version", "source_url", "slug", "full_text"]
+    rows = spark.createDataFrame([("n1", 1, "https://a.com/1", "one", "x"), ("n1", 1, "https://a.com/1", "one", "x"),
+                                  ("n2", 1, "", "two", "y")], fields)
+    blank = spark.createDataFrame([], NOTES)
+    notes = rows.select(*[(F.col(c) if c in fields else F.lit(None)).cast(kind).alias(c) for c, kind in blank.dtypes])
+    upserts.seed(notes, str(tmp_path))
+    table = upserts.NoteTable(spark, str(tmp_path))
+    assert table.parts() == (-1, []) and not (tmp_path / "delta").exists()
+    assert sorted((r.note_id, r.full_text) for r in table.read().collect()) == [("n1", "x"), ("n2", "y")]
